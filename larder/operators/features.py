@@ -1,12 +1,14 @@
 """Daily feature store: day context, item-day aggregates, share ratios and strict rolling
 windows for every item in one plan.
 
-Plan shape (checked by ``tests/test_plans.py``): the star is aggregated twice (by day, and
-by item and day) with partial aggregation before each shuffle, the small day context is
-joined back (AQE broadcasts it after measuring it), and all rolling columns of all horizons
-come from a single ``Window`` operator partitioned by item and ordered by day.  Windows run
-on the aggregated item-day table, so even an item with a third of all order lines only
-puts one row per day into its window partition.
+Plan shape of ``feature_store`` (checked by ``tests/test_plans.py``): the order-line star is
+read and shuffled **once**: a single grouping-sets aggregation computes the day level and
+the item-day level together (partial aggregation before the shuffle), a window partitioned
+by day copies the day context onto each item-day row, and all rolling columns of all
+horizons come from one window partitioned by item and ordered by day.  Both windows run on
+aggregated rows (at most one per item and day), so an item or a day holding a third of all
+order lines still puts only one row per day (or per item) into a window partition.
+
 """
 
 from __future__ import annotations
@@ -77,6 +79,95 @@ def daily_share(item_day: DataFrame, context: DataFrame, date_col: str = "time_d
     })
 
 
+def day_order_totals(order: DataFrame, order_detail: DataFrame,
+                     date_col: str = "time_date") -> DataFrame:
+    """Order-level part of the day context, computed at order grain: each order counts once
+    per day and its quantity and total once per order *line* (the fan-out of the
+    line-level join), using a per-order line count instead of the line-level join."""
+    lines = order_detail.groupBy("order_id").agg(F.count(F.lit(1)).alias("_lines"))
+    per_order = order.select("order_id", date_col, "quantity", "total_price").join(lines, "order_id")
+    return per_order.groupBy(date_col).agg(
+        F.count_distinct("order_id").alias("day_order_count_1d"),
+        F.sum(F.col("quantity") * F.col("_lines")).alias("day_total_quantity_1d"),
+        F.sum(F.col("total_price") * F.col("_lines")).alias("day_total_revenue_1d"),
+    )
+
+
+def daily_item_with_context(order: DataFrame, order_detail: DataFrame, dish: DataFrame,
+                            item_col: str = "dish_name", date_col: str = "time_date",
+                            items: list[str] | None = None) -> DataFrame:
+    """Same rows and columns as ``daily_share(daily_item(star), daily_context(star))`` for
+    ``star = star_join(order, order_detail, dish)``, with the order lines read once.
+
+    * Line level: one grouping-sets aggregation over the star, sets ``(item, day, order)``
+      and ``(day, dish_id)``, followed by a count per ``(item, day)`` and per day.  This gives
+      the distinct-order count per item-day and the distinct-item count per day with two
+      rows per line going into partial aggregation (a COUNT DISTINCT rewrite would make six).
+    * Order level: ``day_order_totals``.
+    * The day rows are copied onto that day's item rows by a window partitioned by day
+      (at most one row per item in a partition): no join, no second pass.
+    """
+    from larder.operators.star import star_join  # local import: star imports nothing from here
+
+    star = star_join(order, order_detail, dish)
+    keyed = star.groupingSets([[item_col, date_col, "order_id"], [date_col, "dish_id"]],
+                              item_col, date_col, "order_id", "dish_id")
+    fine = keyed.agg(
+        F.grouping_id().alias("_set"),
+        F.sum("dish_quantity").alias("_qty"),
+        F.sum("price_total_dish").alias("_rev"),
+        F.min("price_one_dish").alias("_price"),
+    )
+    # _set = 1: (item, day, order) rows (dish_id not grouped); otherwise (day, dish_id) rows.
+    per_item = F.col("_set") == F.lit(1)
+    levels = (fine.withColumn(item_col, F.when(per_item, F.col(item_col)))
+              .groupBy("_set", item_col, date_col).agg(
+                  F.count("order_id").alias("dish_count_in_order_1d"),
+                  F.count("dish_id").alias("day_order_variety_1d"),
+                  F.sum("_qty").alias("y_sales"),
+                  F.sum("_rev").alias("dish_revenue_day_1d"),
+                  F.min("_price").alias("dish_base_price")))
+    item_rows = levels.where(per_item & F.col(item_col).isNotNull())
+    if items is not None:
+        item_rows = item_rows.where(F.col(item_col).isin(list(items)))
+    variety_rows = levels.where(~per_item).select(date_col, "day_order_variety_1d")
+
+    rows = (item_rows.select(F.lit("item").alias("_kind"), item_col, date_col,
+                             "dish_count_in_order_1d", "y_sales", "dish_revenue_day_1d",
+                             "dish_base_price")
+            .unionByName(variety_rows.withColumn("_kind", F.lit("variety")), allowMissingColumns=True)
+            .unionByName(day_order_totals(order, order_detail, date_col)
+                         .withColumn("_kind", F.lit("orders")), allowMissingColumns=True))
+    day = Window.partitionBy(date_col)
+
+    def day_value(kind: str, c: str) -> Column:
+        return F.max(F.when(F.col("_kind") == F.lit(kind), F.col(c))).over(day)
+
+    ctx = {
+        "day_order_count_1d": day_value("orders", "day_order_count_1d"),
+        "day_total_quantity_1d": day_value("orders", "day_total_quantity_1d"),
+        "day_total_revenue_1d": day_value("orders", "day_total_revenue_1d"),
+        "day_order_variety_1d": day_value("variety", "day_order_variety_1d"),
+    }
+    ctx["avg_order_size_1d"] = safe_ratio(ctx["day_total_quantity_1d"], ctx["day_order_count_1d"])
+    joined = rows.select(
+        F.col("_kind"), F.col(item_col), F.col(date_col),
+        F.col("y_sales"),
+        F.col("dish_count_in_order_1d"),
+        safe_ratio(F.col("y_sales"), F.col("dish_count_in_order_1d")).alias("dish_quantity_in_order_avg_1d"),
+        F.col("dish_base_price"),
+        F.col("dish_revenue_day_1d"),
+        F.col("y_sales").alias("dish_total_quantity_1d"),
+        *[v.alias(k) for k, v in ctx.items()],
+    ).where(F.col("_kind") == F.lit("item")).drop("_kind")
+    return joined.withColumns({
+        "dish_sales_ratio_daily_1d": safe_ratio(F.col("dish_total_quantity_1d"), F.col("day_total_quantity_1d")),
+        "dish_order_ratio_daily_1d": safe_ratio(F.col("dish_count_in_order_1d"), F.col("day_order_count_1d")),
+        "dish_revenue_ratio_daily_1d": safe_ratio(F.col("dish_revenue_day_1d"), F.col("day_total_revenue_1d")),
+        "dish_order_size_ratio_1d": F.try_divide(F.col("dish_quantity_in_order_avg_1d"), F.col("avg_order_size_1d")),
+    })
+
+
 def rolling_columns(h: int, item_col: str = "dish_name", date_col: str = "time_date",
                     lag_days: int = 0) -> list[Column]:
     """The eleven strict rolling columns of horizon ``h``.
@@ -85,6 +176,7 @@ def rolling_columns(h: int, item_col: str = "dish_name", date_col: str = "time_d
     sales are absent and are not filled).  A value is given only when the frame holds exactly
     ``h`` rows; otherwise sums are 0 and ratios 0.0.  ``lag_days=k`` ends the frame ``k``
     rows earlier, so no value of the current day enters (``k=0``, the default, includes it).
+    Frames are at most ``max(horizons)`` rows, so the per-row cost is bounded.
     """
     w = (Window.partitionBy(item_col).orderBy(date_col)
          .rowsBetween(-(h - 1) - lag_days, -lag_days))
@@ -123,14 +215,13 @@ def rolling_features(share: DataFrame, horizons: tuple[int, ...] = HORIZONS,
     return share.select(*base, *rolled)
 
 
-def feature_store(star: DataFrame, horizons: tuple[int, ...] = HORIZONS,
-                  item_col: str = "dish_name", date_col: str = "time_date",
-                  items: list[str] | None = None, lag_days: int = 0) -> DataFrame:
-    """star -> (day context, item-day) -> shares -> rolling windows: 60 columns per item-day."""
-    context = daily_context(star, date_col)
-    item_day = daily_item(star, item_col, date_col, items)
-    return rolling_features(daily_share(item_day, context, date_col), horizons, item_col,
-                            date_col, lag_days)
+def feature_store(order: DataFrame, order_detail: DataFrame, dish: DataFrame,
+                  horizons: tuple[int, ...] = HORIZONS, item_col: str = "dish_name",
+                  date_col: str = "time_date", items: list[str] | None = None,
+                  lag_days: int = 0) -> DataFrame:
+    """Clean order, order_detail and dish tables -> 60 feature columns per item-day."""
+    share = daily_item_with_context(order, order_detail, dish, item_col, date_col, items)
+    return rolling_features(share, horizons, item_col, date_col, lag_days)
 
 
 def chrono_split(df: DataFrame, item_col: str = "dish_name", date_col: str = "time_date",

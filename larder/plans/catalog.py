@@ -43,7 +43,7 @@ def q_daily_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rolling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decimals_to_double(feat.feature_store(star(spark, sf_dir)))
+    out = decimals_to_double(feat.feature_store(*star_tables(spark, sf_dir)))
     return out.withColumns({c: F.round(c, 9) for c in ROUNDED_9})
 
 

@@ -1,7 +1,7 @@
 """DuckDB SQL equal in meaning to each registered query in ``larder.plans.catalog``.
 
 Tables are the test views (orders, lineitem, part, ...).  Sums are cast back to BIGINT
-(DuckDB widens them to HUGEINT) and decimals to DOUBLE so types match the Spark side.
+(DuckDB widens them to HUGEINT) so types match the Spark side; money is BIGINT cents.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from larder.operators.features import HORIZONS
 STAR_CTE = """
 ord AS (
   SELECT o.o_orderkey AS order_id, o.o_orderdate AS time,
-         CAST(o.o_totalprice AS DECIMAL(18,2)) AS total_price,
+         CAST(ROUND(o.o_totalprice * 100) AS BIGINT) AS total_price,
          COALESCE(q.quantity, 0) AS quantity,
          CAST(o.o_orderdate AS DATE) AS time_date, CAST(hour(o.o_orderdate) AS INTEGER) AS time_hour
   FROM orders o
@@ -19,10 +19,10 @@ ord AS (
              FROM lineitem GROUP BY l_orderkey) q ON o.o_orderkey = q.l_orderkey),
 det AS (
   SELECT l_orderkey AS order_id, l_partkey AS dish_id, CAST(l_quantity AS BIGINT) AS quantity,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS price
+         CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS price
   FROM lineitem),
 dsh AS (
-  SELECT p_partkey AS dish_id, p_brand AS dish_name, CAST(p_retailprice AS DECIMAL(18,2)) AS price
+  SELECT p_partkey AS dish_id, p_brand AS dish_name, CAST(ROUND(p_retailprice * 100) AS BIGINT) AS price
   FROM part),
 star AS (
   SELECT det.dish_id, det.order_id, det.quantity AS dish_quantity, det.price AS price_total_dish,
@@ -36,7 +36,7 @@ ctx AS (
   SELECT time_date,
          COUNT(DISTINCT order_id) AS day_order_count_1d,
          CAST(SUM(order_quantity) AS BIGINT) AS day_total_quantity_1d,
-         SUM(order_total_price) AS day_total_revenue_1d,
+         CAST(SUM(order_total_price) AS BIGINT) AS day_total_revenue_1d,
          COUNT(DISTINCT dish_id) AS day_order_variety_1d,
          CAST(SUM(order_quantity) AS DOUBLE) / NULLIF(COUNT(DISTINCT order_id), 0) AS avg_order_size_1d
   FROM star GROUP BY time_date)"""
@@ -48,7 +48,7 @@ item AS (
          COUNT(DISTINCT order_id) AS dish_count_in_order_1d,
          CAST(SUM(dish_quantity) AS DOUBLE) / NULLIF(COUNT(DISTINCT order_id), 0) AS dish_quantity_in_order_avg_1d,
          MIN(price_one_dish) AS dish_base_price,
-         SUM(price_total_dish) AS dish_revenue_day_1d,
+         CAST(SUM(price_total_dish) AS BIGINT) AS dish_revenue_day_1d,
          CAST(SUM(dish_quantity) AS BIGINT) AS dish_total_quantity_1d
   FROM star WHERE dish_name IS NOT NULL GROUP BY dish_name, time_date)"""
 
@@ -89,7 +89,7 @@ def _rolling_sql() -> str:
         cols += [
             f"{strict('day_order_count_1d')} AS day_order_count_{h}d",
             f"{strict('day_total_quantity_1d')} AS day_total_quantity_{h}d",
-            f"CAST({strict('day_total_revenue_1d', 'DECIMAL(38,2)')} AS DOUBLE) AS day_total_revenue_{h}d",
+            f"{strict('day_total_revenue_1d')} AS day_total_revenue_{h}d",
             f"{ratio('day_total_quantity_1d', 'day_order_count_1d')} AS avg_order_size_{h}d",
             f"{strict('day_order_variety_1d')} AS day_order_variety_{h}d",
             f"{strict('dish_count_in_order_1d')} AS dish_count_in_order_{h}d",
@@ -101,10 +101,10 @@ def _rolling_sql() -> str:
             f"AS dish_order_size_ratio_{h}d",
         ]
     base = ("dish_name, time_date, y_sales, dish_count_in_order_1d, dish_quantity_in_order_avg_1d, "
-            "CAST(dish_base_price AS DOUBLE) AS dish_base_price, "
-            "CAST(dish_revenue_day_1d AS DOUBLE) AS dish_revenue_day_1d, dish_total_quantity_1d, "
+            "dish_base_price, "
+            "dish_revenue_day_1d, dish_total_quantity_1d, "
             "day_order_count_1d, day_total_quantity_1d, "
-            "CAST(day_total_revenue_1d AS DOUBLE) AS day_total_revenue_1d, day_order_variety_1d, "
+            "day_total_revenue_1d, day_order_variety_1d, "
             "avg_order_size_1d, dish_sales_ratio_daily_1d, dish_order_ratio_daily_1d, "
             "dish_revenue_ratio_daily_1d, dish_order_size_ratio_1d")
     return (_with(STAR_CTE, CONTEXT_CTE, ITEM_CTE, SHARE_CTE)
@@ -114,24 +114,24 @@ def _rolling_sql() -> str:
 
 ORACLE: dict[str, str] = {
     "star_join": _with(STAR_CTE) + """
-SELECT dish_id, order_id, dish_quantity, CAST(price_total_dish AS DOUBLE) AS price_total_dish,
-       order_quantity, CAST(order_total_price AS DOUBLE) AS order_total_price, time_date, time_hour,
-       dish_name, CAST(price_one_dish AS DOUBLE) AS price_one_dish
+SELECT dish_id, order_id, dish_quantity, price_total_dish,
+       order_quantity, order_total_price, time_date, time_hour,
+       dish_name, price_one_dish
 FROM star""",
     "daily_context": _with(STAR_CTE, CONTEXT_CTE) + """
 SELECT time_date, day_order_count_1d, day_total_quantity_1d,
-       CAST(day_total_revenue_1d AS DOUBLE) AS day_total_revenue_1d, day_order_variety_1d, avg_order_size_1d
+       day_total_revenue_1d, day_order_variety_1d, avg_order_size_1d
 FROM ctx""",
     "daily_item": _with(STAR_CTE, ITEM_CTE) + """
 SELECT dish_name, time_date, y_sales, dish_count_in_order_1d, dish_quantity_in_order_avg_1d,
-       CAST(dish_base_price AS DOUBLE) AS dish_base_price,
-       CAST(dish_revenue_day_1d AS DOUBLE) AS dish_revenue_day_1d, dish_total_quantity_1d
+       dish_base_price,
+       dish_revenue_day_1d, dish_total_quantity_1d
 FROM item""",
     "daily_share": _with(STAR_CTE, CONTEXT_CTE, ITEM_CTE, SHARE_CTE) + """
 SELECT time_date, dish_name, y_sales, dish_count_in_order_1d, dish_quantity_in_order_avg_1d,
-       CAST(dish_base_price AS DOUBLE) AS dish_base_price,
-       CAST(dish_revenue_day_1d AS DOUBLE) AS dish_revenue_day_1d, dish_total_quantity_1d,
-       day_order_count_1d, day_total_quantity_1d, CAST(day_total_revenue_1d AS DOUBLE) AS day_total_revenue_1d,
+       dish_base_price,
+       dish_revenue_day_1d, dish_total_quantity_1d,
+       day_order_count_1d, day_total_quantity_1d, day_total_revenue_1d,
        day_order_variety_1d, avg_order_size_1d, dish_sales_ratio_daily_1d, dish_order_ratio_daily_1d,
        dish_revenue_ratio_daily_1d, dish_order_size_ratio_1d
 FROM share""",

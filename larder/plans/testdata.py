@@ -5,8 +5,9 @@
     order_detail <- lineitem  (l_orderkey, l_partkey, l_quantity, l_extendedprice)
     dish         <- part      (p_partkey, p_brand as the item name, p_retailprice)
 
-Money is read as DECIMAL(18,2) and quantities as BIGINT so that every sum is exact; callers
-turn decimals into doubles only at the edge (``decimals_to_double``).
+Money is held as BIGINT minor units (cents: ``round(price * 100)``), like the integer prices of
+the original tables, and quantities as BIGINT, so every sum is exact and stays on fast
+fixed-width arithmetic (no BigDecimal in aggregation or window buffers).
 """
 
 from __future__ import annotations
@@ -15,7 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY = "decimal(18,2)"
+
+
+def cents(col: str):
+    """Price with two decimals -> exact BIGINT minor units."""
+    return F.round(F.col(col) * F.lit(100)).cast("bigint")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +32,7 @@ def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderdate").alias("time"),
-        F.col("o_totalprice").cast(MONEY).alias("total_price"),
+        cents("o_totalprice").alias("total_price"),
     )
     qty = (table(spark, sf_dir, "lineitem")
            .groupBy(F.col("l_orderkey").alias("order_id"))
@@ -45,7 +50,7 @@ def order_detail_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("dish_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("l_extendedprice").cast(MONEY).alias("price"),
+        cents("l_extendedprice").alias("price"),
     )
 
 
@@ -54,7 +59,7 @@ def dish_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("dish_id"),
         F.col("p_brand").alias("dish_name"),
-        F.col("p_retailprice").cast(MONEY).alias("price"),
+        cents("p_retailprice").alias("price"),
     )
 
 
