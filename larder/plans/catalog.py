@@ -10,9 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder import specs
+from larder.functions.timecols import calendar_columns
+from larder.operators import clean, forecast, profile, reports
 from larder.operators import features as feat
 from larder.operators.star import star_join
-from larder.plans.testdata import decimals_to_double, star_tables
+from larder.plans.testdata import (cents, decimals_to_double, order_detail_table, order_table,
+                                   star_tables, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +56,231 @@ def q_chrono_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.chrono_split(items)
 
 
+# ---- cleaning -------------------------------------------------------------------------
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders")
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events")
+
+
+def q_dedupe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table twice plus a copy whose priority is lower-cased: exact copies go, rows that
+    differ only in letter case stay (dedupe runs before cleaning)."""
+    o = _orders(spark, sf_dir)
+    variant = o.withColumn("o_orderpriority", F.lower("o_orderpriority"))
+    return clean.dedupe(o.unionByName(o).unionByName(variant))
+
+
+def dirty_event_type() -> F.Column:
+    et = F.col("event_type")
+    return (F.when(et == "error", F.lit(None).cast("string"))
+            .when(et == "view", F.lit("   "))
+            .when(et == "click", F.concat(F.lit("  "), F.upper(et), F.lit(" ")))
+            .when(et == "purchase", F.concat(F.lit("\t"), et))
+            .otherwise(F.upper(et)))
+
+
+def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _events(spark, sf_dir).select("event_id", dirty_event_type().alias("event_type"))
+    return clean.clean_text_columns(raw, {"event_type": "unknown"})
+
+
+def dirty_whole_number(value: str, key: str) -> F.Column:
+    whole = F.floor(F.col(value)).cast("bigint").cast("string")
+    k = F.col(key) % 8
+    return (F.when(k == 0, F.lit("n/a")).when(k == 1, F.lit("")).when(k == 2, F.lit("   "))
+            .when(k == 3, F.concat(F.lit(" "), whole, F.lit(" ")))
+            .when(k == 4, F.concat(whole, F.lit(".5")))
+            .when(k == 5, F.concat(F.lit("+"), whole))
+            .when(k == 6, F.lit("1e3"))
+            .otherwise(whole))
+
+
+def q_clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _orders(spark, sf_dir).select(
+        "o_orderkey", dirty_whole_number("o_totalprice", "o_orderkey").alias("total_price"))
+    return clean.clean_numeric_columns(raw, {"total_price": 0}, ids=("o_orderkey",))
+
+
+def q_clean_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _events(spark, sf_dir)
+    et = F.col("event_type")
+    raw = e.select("event_id", F.when(et == "error", F.lit("bad"))
+                   .when(et == "view", F.date_format("ts", "yyyy-MM-dd"))
+                   .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("ts"))
+    return clean.parse_timestamp_columns(raw, ("ts",))
+
+
+def q_strip_accents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return clean.strip_accent_columns(docs, ("text",))
+
+
+def q_name_based_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _orders(spark, sf_dir)
+    status = F.col("o_orderstatus")
+    update_time = (F.when(status == "F", F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 5 HOURS"),
+                                                       "yyyy-MM-dd HH:mm:ss"))
+                   .when(status == "O", F.date_format("o_orderdate", "yyyy/MM/dd"))
+                   .otherwise(F.lit("pending")))
+    raw = o.select("o_orderkey", "o_orderstatus", "o_orderdate", update_time.alias("update_time"))
+    return clean.normalize_datetime_columns(raw)
+
+
+def raw_dish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part`` as a dirty item table: NULL / blank / shouted accented names, junk prices,
+    every row twice."""
+    p = table(spark, sf_dir, "part")
+    accented = F.translate(F.upper("p_name"), "AEIOU", "ÁÊÌÕÜ")
+    name = (F.when(F.col("p_size") == 1, F.lit(None).cast("string"))
+            .when(F.col("p_size") == 2, F.lit("  "))
+            .otherwise(F.concat(F.lit(" "), accented, F.lit(" "))))
+    price = (F.when(F.col("p_size") == 3, F.lit("abc"))
+             .otherwise(F.floor("p_retailprice").cast("bigint").cast("string")))
+    raw = p.select(F.col("p_partkey").alias("dish_id"), name.alias("dish_name"), price.alias("price"))
+    return raw.unionByName(raw)
+
+
+def q_standardize_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.standardize(raw_dish(spark, sf_dir), specs.DISH)
+
+
+def raw_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order table as text, with hours of day, unparseable times and blank prices."""
+    o = order_table(spark, sf_dir).join(
+        _orders(spark, sf_dir).select(F.col("o_orderkey").alias("order_id"), "o_orderstatus"), "order_id")
+    when = F.col("time") + F.make_dt_interval(hours=(F.col("order_id") % 24).cast("int"))
+    time_text = (F.when(F.col("o_orderstatus") == "P", F.lit("not a time"))
+                 .otherwise(F.date_format(when, "yyyy-MM-dd HH:mm:ss")))
+    price_text = (F.when(F.col("order_id") % 5 == 0, F.lit(""))
+                  .otherwise((F.col("total_price") / 100).cast("bigint").cast("string")))
+    return o.select("order_id", time_text.alias("time"), price_text.alias("total_price"),
+                    F.col("quantity").cast("string").alias("quantity"))
+
+
+def q_standardize_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.standardize(raw_order(spark, sf_dir), specs.ORDER)
+
+
+# ---- reports ---------------------------------------------------------------------------
+
+def _order_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders(spark, sf_dir).select(F.col("o_orderkey").alias("order_id"),
+                                         F.col("o_orderdate").alias("time"))
+
+
+def q_orders_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.orders_by_period(_order_times(spark, sf_dir), "quarter")
+
+
+def q_orders_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.orders_by_period(_order_times(spark, sf_dir), "month")
+
+
+def q_revenue_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.revenue_by_period(order_detail_table(spark, sf_dir), _order_times(spark, sf_dir), "quarter")
+
+
+def q_revenue_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.revenue_by_period(order_detail_table(spark, sf_dir), _order_times(spark, sf_dir), "month")
+
+
+def _item_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, detail, dish = star_tables(spark, sf_dir)
+    return reports.item_sales(detail, dish)
+
+
+def q_item_quantity_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.ranked(_item_sales(spark, sf_dir), "total_quantity", "dish_name")
+
+
+def q_item_revenue_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.ranked(_item_sales(spark, sf_dir), "total_revenue", "dish_name", k=10)
+
+
+def q_orders_by_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir).select(F.col("event_id").alias("order_id"), F.col("ts").alias("time"))
+    return reports.orders_by_slot(ev)
+
+
+def q_distinct_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = _orders(spark, sf_dir).select(F.to_date("o_orderdate").alias("time_date"))
+    return reports.distinct_sorted(days, "time_date")
+
+
+def q_calendar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _orders(spark, sf_dir)
+    return o.select("o_orderkey", *[v.alias(k) for k, v in calendar_columns("o_orderdate", weekday=True).items()])
+
+
+# ---- forecast views over the daily item series -------------------------------------------
+
+def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(time_date, dish_name, prediction): the daily item quantity stands in for a forecast."""
+    items = feat.daily_item(star(spark, sf_dir))
+    return items.select("time_date", "dish_name", F.col("y_sales").cast("double").alias("prediction"))
+
+
+def q_month_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast.month_mean(daily_series(spark, sf_dir))
+
+
+def q_day_vs_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast.day_vs_month(daily_series(spark, sf_dir))
+
+
+def q_pivot_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast.to_wide(daily_series(spark, sf_dir))
+
+
+def q_unpivot_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast.to_long(forecast.to_wide(daily_series(spark, sf_dir)))
+
+
+def q_forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = feat.daily_item(star(spark, sf_dir)).select("dish_name", "time_date", "y_sales")
+    scored = forecast.mean_baseline(feat.chrono_split(items))
+    metrics = forecast.regression_metrics(scored.where(F.col("split") == "test"))
+    return metrics.withColumns({c: F.round(c, 6) for c in ("MAE", "RMSE", "R2")})
+
+
+# ---- profiling -------------------------------------------------------------------------
+
+def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with NULLs injected: error types, high values and the props of views."""
+    e = _events(spark, sf_dir)
+    return e.select("event_id", "ts", "user_id",
+                    F.nullif(F.col("event_type"), F.lit("error")).alias("event_type"),
+                    F.when(F.col("value") <= 90, F.col("value")).alias("value"),
+                    F.when(F.col("event_type") != "view", F.col("props")).alias("props"))
+
+
+def q_profile_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.basic_profile(table(spark, sf_dir, "lineitem"))
+
+
+def q_profile_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.missing_percentage(dirty_events(spark, sf_dir))
+
+
+def q_profile_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = profile.numeric_profile(table(spark, sf_dir, "lineitem"))
+    return out.withColumns({c: F.round(c, 4) for c in out.columns if c.endswith(("_avg", "_std"))})
+
+
+def q_profile_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.cardinality(dirty_events(spark, sf_dir))
+
+
+def q_profile_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    c = c.withColumn("c_acctbal", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")))
+    return profile.correlations(c).withColumn("corr", F.round("corr", 6))
+
+
 QUERIES: dict[str, Query] = {
     "star_join": q_star_join,
     "daily_context": q_daily_context,
@@ -59,4 +288,31 @@ QUERIES: dict[str, Query] = {
     "daily_share": q_daily_share,
     "rolling_features": q_rolling_features,
     "chrono_split": q_chrono_split,
+    "dedupe_rows": q_dedupe_rows,
+    "clean_text": q_clean_text,
+    "clean_numeric": q_clean_numeric,
+    "clean_timestamp": q_clean_timestamp,
+    "strip_accents": q_strip_accents,
+    "name_based_datetime": q_name_based_datetime,
+    "standardize_dim": q_standardize_dim,
+    "standardize_order": q_standardize_order,
+    "orders_by_quarter": q_orders_by_quarter,
+    "orders_by_month": q_orders_by_month,
+    "revenue_by_quarter": q_revenue_by_quarter,
+    "revenue_by_month": q_revenue_by_month,
+    "item_quantity_rank": q_item_quantity_rank,
+    "item_revenue_top10": q_item_revenue_top10,
+    "orders_by_slot": q_orders_by_slot,
+    "distinct_days": q_distinct_days,
+    "calendar_features": q_calendar_features,
+    "month_mean": q_month_mean,
+    "day_vs_month": q_day_vs_month,
+    "pivot_by_day": q_pivot_by_day,
+    "unpivot_by_day": q_unpivot_by_day,
+    "forecast_metrics": q_forecast_metrics,
+    "profile_basic": q_profile_basic,
+    "profile_missing": q_profile_missing,
+    "profile_numeric": q_profile_numeric,
+    "profile_cardinality": q_profile_cardinality,
+    "profile_correlation": q_profile_correlation,
 }

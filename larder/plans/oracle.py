@@ -112,6 +112,97 @@ def _rolling_sql() -> str:
             + "\nFROM share\nWINDOW " + ",\n  ".join(windows))
 
 
+def _strip_accents_sql(x: str) -> str:
+    return (f"lower(trim(regexp_replace(regexp_replace(strip_accents({x}), '[^a-zA-Z0-9\\s]', '', 'g'), "
+            f"'\\s+', ' ', 'g')))")
+
+
+def _clean_bigint_sql(x: str) -> str:
+    return (f"CASE WHEN regexp_full_match({x}, '\\s*[+-]?[0-9]+\\s*') "
+            f"THEN coalesce(try_cast(trim({x}) AS BIGINT), 0) ELSE 0 END")
+
+
+def _clean_text_sql(x: str, default: str = "unknown") -> str:
+    return f"CASE WHEN {x} IS NULL OR trim({x}) = '' THEN '{default}' ELSE lower(trim({x})) END"
+
+
+_DIRTY_NUMBER = """CASE o_orderkey % 8 WHEN 0 THEN 'n/a' WHEN 1 THEN '' WHEN 2 THEN '   '
+         WHEN 3 THEN ' ' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) || ' '
+         WHEN 4 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) || '.5'
+         WHEN 5 THEN '+' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)
+         WHEN 6 THEN '1e3'
+         ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) END"""
+
+_DIRTY_EVENTS = """dirty_events AS (
+  SELECT event_id, ts, user_id, nullif(event_type, 'error') AS event_type,
+         CASE WHEN value <= 90 THEN value END AS value,
+         CASE WHEN event_type <> 'view' THEN props END AS props
+  FROM events)"""
+
+_ITEM_SALES = """sales AS (
+  SELECT dsh.dish_name, CAST(SUM(det.quantity) AS BIGINT) AS total_quantity,
+         CAST(SUM(det.quantity * det.price) AS BIGINT) AS total_revenue
+  FROM det JOIN dsh ON det.dish_id = dsh.dish_id GROUP BY dsh.dish_name)"""
+
+_SERIES = """series AS (SELECT time_date, dish_name, CAST(y_sales AS DOUBLE) AS prediction FROM item)"""
+
+# The test tables name 25 brands Brand#1 .. Brand#25.
+_BRANDS = [f"Brand#{i}" for i in range(1, 26)]
+
+_LINEITEM_TYPES = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
+                   ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
+                   ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"),
+                   ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")]
+_NUMERIC_LINEITEM = [c for c, t in _LINEITEM_TYPES if t in ("bigint", "int", "double")]
+
+
+def _profile_basic_sql() -> str:
+    values = ", ".join(f"('{c}', '{t}', {i + 1})" for i, (c, t) in enumerate(_LINEITEM_TYPES))
+    return (f"SELECT v.column_name, v.dtype, v.position, n.num_rows, {len(_LINEITEM_TYPES)} AS num_columns\n"
+            f"FROM (VALUES {values}) v(column_name, dtype, position), "
+            f"(SELECT COUNT(*) AS num_rows FROM lineitem) n")
+
+
+def _profile_numeric_sql() -> str:
+    cols = []
+    for c in _NUMERIC_LINEITEM:
+        cols += [f"MIN({c}) AS {c}_minimum", f"MAX({c}) AS {c}_maximum",
+                 f"ROUND(AVG({c}), 4) AS {c}_avg", f"ROUND(STDDEV_SAMP({c}), 4) AS {c}_std"]
+    return "SELECT " + ", ".join(cols) + " FROM lineitem"
+
+
+def _profile_missing_sql() -> str:
+    cols = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+    parts = [f"SELECT '{c}' AS column_name, CASE WHEN COUNT(*) > 0 THEN "
+             f"CAST((20000 * (COUNT(*) - COUNT({c})) + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 100.0 END "
+             f"AS missing_pct FROM dirty_events" for c in cols]
+    return _with(_DIRTY_EVENTS) + "\nUNION ALL\n".join(parts)
+
+
+def _profile_cardinality_sql() -> str:
+    parts = [f"SELECT '{c}' AS column_name, CAST(COUNT(DISTINCT {c}) + MAX(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) "
+             f"AS BIGINT) AS n_distinct FROM dirty_events" for c in ("event_type", "props")]
+    return _with(_DIRTY_EVENTS) + "\nUNION ALL\n".join(parts)
+
+
+def _profile_correlation_sql() -> str:
+    cols = ["c_custkey", "c_nationkey", "c_acctbal"]
+    parts = []
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            r = f"corr(coalesce(CAST({a} AS DOUBLE), 0.0), coalesce(CAST({b} AS DOUBLE), 0.0))"
+            parts.append(f"SELECT '{a}__{b}' AS pair, CASE WHEN isnan({r}) THEN NULL ELSE ROUND({r}, 6) END AS corr FROM cust")
+    return ("WITH cust AS (SELECT c_custkey, c_nationkey, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS c_acctbal "
+            "FROM customer)\n" + "\nUNION ALL\n".join(parts))
+
+
+def _pivot_sql() -> str:
+    cols = ", ".join(f"FIRST(prediction) FILTER (WHERE replace(dish_name, ' ', '_') = '{b}') AS \"{b}\""
+                     for b in _BRANDS)
+    return (_with(STAR_CTE, ITEM_CTE, _SERIES)
+            + f"SELECT time_date, {cols}, strftime(time_date, '%Y%m') AS month FROM series GROUP BY time_date")
+
+
 ORACLE: dict[str, str] = {
     "star_join": _with(STAR_CTE) + """
 SELECT dish_id, order_id, dish_quantity, price_total_dish,
@@ -145,4 +236,118 @@ FROM (SELECT dish_name, time_date, y_sales,
              ROW_NUMBER() OVER (PARTITION BY dish_name ORDER BY time_date) AS rn,
              COUNT(*) OVER (PARTITION BY dish_name) AS n
       FROM item)""",
+    "dedupe_rows": """
+SELECT DISTINCT * FROM (
+  SELECT * FROM orders UNION ALL SELECT * FROM orders UNION ALL
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, lower(o_orderpriority) FROM orders)""",
+    "clean_text": f"""
+WITH raw AS (
+  SELECT event_id, CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN '   '
+                    WHEN 'click' THEN '  ' || upper(event_type) || ' '
+                    WHEN 'purchase' THEN chr(9) || event_type ELSE upper(event_type) END AS event_type
+  FROM events)
+SELECT event_id, {_clean_text_sql('event_type')} AS event_type FROM raw""",
+    "clean_numeric": f"""
+WITH raw AS (SELECT o_orderkey, {_DIRTY_NUMBER} AS total_price FROM orders)
+SELECT o_orderkey, {_clean_bigint_sql('total_price')} AS total_price FROM raw""",
+    "clean_timestamp": """
+WITH raw AS (
+  SELECT event_id, CASE event_type WHEN 'error' THEN 'bad' WHEN 'view' THEN strftime(ts, '%Y-%m-%d')
+                    ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts
+  FROM events),
+p AS (SELECT event_id, try_strptime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM raw)
+SELECT event_id, ts, CAST(ts AS DATE) AS ts_date, CAST(hour(ts) AS INTEGER) AS ts_hour FROM p""",
+    "strip_accents": f"SELECT doc_id, {_strip_accents_sql('text')} AS text FROM documents",
+    "name_based_datetime": """
+WITH raw AS (
+  SELECT o_orderkey, o_orderstatus, o_orderdate,
+         CASE o_orderstatus WHEN 'F' THEN strftime(o_orderdate + INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:%S')
+              WHEN 'O' THEN strftime(o_orderdate, '%Y/%m/%d') ELSE 'pending' END AS update_time
+  FROM orders)
+SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+       strftime(coalesce(try_strptime(update_time, '%Y-%m-%d %H:%M:%S'), try_strptime(update_time, '%Y/%m/%d')),
+                '%Y-%m-%d %H:%M:%S') AS update_time
+FROM raw""",
+    "standardize_dim": f"""
+WITH raw AS (
+  SELECT p_partkey AS dish_id,
+         CASE WHEN p_size = 1 THEN NULL WHEN p_size = 2 THEN '  '
+              ELSE ' ' || translate(upper(p_name), 'AEIOU', 'ÁÊÌÕÜ') || ' ' END AS dish_name,
+         CASE WHEN p_size = 3 THEN 'abc' ELSE CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) END AS price
+  FROM part),
+d AS (SELECT DISTINCT * FROM (SELECT * FROM raw UNION ALL SELECT * FROM raw)),
+t AS (SELECT dish_id, {_clean_text_sql('dish_name')} AS dish_name, {_clean_bigint_sql('price')} AS price FROM d)
+SELECT dish_id, {_strip_accents_sql('dish_name')} AS dish_name, price FROM t""",
+    "standardize_order": _with(STAR_CTE) + f""",
+raw AS (
+  SELECT ord.order_id,
+         CASE WHEN o.o_orderstatus = 'P' THEN 'not a time'
+              ELSE strftime(ord.time + to_hours(CAST(ord.order_id % 24 AS INTEGER)), '%Y-%m-%d %H:%M:%S') END AS time,
+         CASE WHEN ord.order_id % 5 = 0 THEN '' ELSE CAST(CAST(floor(o.o_totalprice) AS BIGINT) AS VARCHAR) END AS total_price,
+         CAST(ord.quantity AS VARCHAR) AS quantity
+  FROM ord JOIN orders o ON ord.order_id = o.o_orderkey),
+d AS (SELECT DISTINCT * FROM raw),
+t AS (SELECT order_id, try_strptime(time, '%Y-%m-%d %H:%M:%S') AS time,
+             {_clean_bigint_sql('total_price')} AS total_price, {_clean_bigint_sql('quantity')} AS quantity
+      FROM d)
+SELECT order_id, time, total_price, quantity, CAST(time AS DATE) AS time_date,
+       CAST(hour(time) AS INTEGER) AS time_hour FROM t""",
+    "orders_by_quarter": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(quarter(o_orderdate) AS INTEGER) AS quarter, COUNT(*) AS count
+FROM orders GROUP BY 1, 2""",
+    "orders_by_month": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, COUNT(*) AS count
+FROM orders GROUP BY 1, 2""",
+    "revenue_by_quarter": _with(STAR_CTE) + """
+SELECT CAST(quarter(o.o_orderdate) AS INTEGER) AS quarter, CAST(SUM(det.quantity * det.price) AS BIGINT) AS total_revenue
+FROM det JOIN orders o ON det.order_id = o.o_orderkey GROUP BY 1""",
+    "revenue_by_month": _with(STAR_CTE) + """
+SELECT CAST(month(o.o_orderdate) AS INTEGER) AS month, CAST(SUM(det.quantity * det.price) AS BIGINT) AS total_revenue
+FROM det JOIN orders o ON det.order_id = o.o_orderkey GROUP BY 1""",
+    "item_quantity_rank": _with(STAR_CTE, _ITEM_SALES) + "SELECT * FROM sales",
+    "item_revenue_top10": _with(STAR_CTE, _ITEM_SALES)
+    + "SELECT * FROM sales ORDER BY total_revenue DESC, dish_name LIMIT 10",
+    "orders_by_slot": """
+SELECT CASE WHEN hour(ts) >= 6 AND hour(ts) < 11 THEN 'Morning' WHEN hour(ts) >= 11 AND hour(ts) < 14 THEN 'Noon'
+            WHEN hour(ts) >= 17 AND hour(ts) < 21 THEN 'Evening' ELSE 'Night' END AS time_slot,
+       COUNT(DISTINCT event_id) AS num_orders
+FROM events GROUP BY 1""",
+    "distinct_days": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS time_date FROM orders",
+    "calendar_features": """
+SELECT o_orderkey, CAST(month(o_orderdate) AS INTEGER) AS month, CAST(dayofyear(o_orderdate) AS INTEGER) AS day_of_year,
+       CAST(isodow(o_orderdate) - 1 AS INTEGER) AS weekday
+FROM orders""",
+    "month_mean": _with(STAR_CTE, ITEM_CTE, _SERIES) + """
+SELECT strftime(time_date, '%Y%m') AS month, dish_name, AVG(prediction) AS month_mean FROM series GROUP BY 1, 2""",
+    "day_vs_month": _with(STAR_CTE, ITEM_CTE, _SERIES) + """
+SELECT time_date, strftime(time_date, '%Y%m') AS month, dish_name,
+       upper(left(dish_name, 1)) || lower(substr(dish_name, 2)) AS display_name, prediction,
+       AVG(prediction) OVER (PARTITION BY strftime(time_date, '%Y%m'), dish_name) AS month_mean
+FROM series""",
+    "pivot_by_day": _pivot_sql(),
+    "unpivot_by_day": _with(STAR_CTE, ITEM_CTE, _SERIES) + """
+SELECT time_date, strftime(time_date, '%Y%m') AS month, replace(dish_name, ' ', '_') AS dish_name, prediction
+FROM series""",
+    "forecast_metrics": _with(STAR_CTE, ITEM_CTE) + """,
+split AS (
+  SELECT dish_name, time_date, y_sales,
+         CASE WHEN rn <= FLOOR(n * 0.6::DOUBLE) THEN 'train'
+              WHEN rn <= FLOOR(n * 0.6::DOUBLE) + FLOOR(n * 0.2::DOUBLE) THEN 'valid' ELSE 'test' END AS split
+  FROM (SELECT dish_name, time_date, y_sales,
+               ROW_NUMBER() OVER (PARTITION BY dish_name ORDER BY time_date) AS rn,
+               COUNT(*) OVER (PARTITION BY dish_name) AS n FROM item)),
+scored AS (
+  SELECT *, AVG(CASE WHEN split = 'train' THEN CAST(y_sales AS DOUBLE) END) OVER (PARTITION BY dish_name) AS prediction
+  FROM split)
+SELECT dish_name,
+       ROUND(AVG(ABS(CAST(y_sales AS DOUBLE) - prediction)), 6) AS MAE,
+       ROUND(SQRT(AVG((CAST(y_sales AS DOUBLE) - prediction) * (CAST(y_sales AS DOUBLE) - prediction))), 6) AS RMSE,
+       ROUND(1.0 - SUM((CAST(y_sales AS DOUBLE) - prediction) * (CAST(y_sales AS DOUBLE) - prediction))
+             / NULLIF(VAR_POP(CAST(y_sales AS DOUBLE)) * COUNT(y_sales), 0), 6) AS R2
+FROM scored WHERE split = 'test' GROUP BY dish_name""",
+    "profile_basic": _profile_basic_sql(),
+    "profile_missing": _profile_missing_sql(),
+    "profile_numeric": _profile_numeric_sql(),
+    "profile_cardinality": _profile_cardinality_sql(),
+    "profile_correlation": _profile_correlation_sql(),
 }
