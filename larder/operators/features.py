@@ -127,15 +127,10 @@ def daily_item_with_context(order: DataFrame, order_detail: DataFrame, dish: Dat
                   F.sum("_qty").alias("y_sales"),
                   F.sum("_rev").alias("dish_revenue_day_1d"),
                   F.min("_price").alias("dish_base_price")))
-    item_rows = levels.where(per_item & F.col(item_col).isNotNull())
-    if items is not None:
-        item_rows = item_rows.where(F.col(item_col).isin(list(items)))
-    variety_rows = levels.where(~per_item).select(date_col, "day_order_variety_1d")
-
-    rows = (item_rows.select(F.lit("item").alias("_kind"), item_col, date_col,
-                             "dish_count_in_order_1d", "y_sales", "dish_revenue_day_1d",
-                             "dish_base_price")
-            .unionByName(variety_rows.withColumn("_kind", F.lit("variety")), allowMissingColumns=True)
+    # ``levels`` must have a single consumer, or Spark would aggregate the star twice: its
+    # item rows and per-day variety rows travel together and are told apart by ``_kind``.
+    rows = (levels.withColumn("_kind", F.when(per_item, F.lit("item")).otherwise(F.lit("variety")))
+            .drop("_set")
             .unionByName(day_order_totals(order, order_detail, date_col)
                          .withColumn("_kind", F.lit("orders")), allowMissingColumns=True))
     day = Window.partitionBy(date_col)
@@ -159,7 +154,11 @@ def daily_item_with_context(order: DataFrame, order_detail: DataFrame, dish: Dat
         F.col("dish_revenue_day_1d"),
         F.col("y_sales").alias("dish_total_quantity_1d"),
         *[v.alias(k) for k, v in ctx.items()],
-    ).where(F.col("_kind") == F.lit("item")).drop("_kind")
+    )
+    keep = (F.col("_kind") == F.lit("item")) & F.col(item_col).isNotNull()
+    if items is not None:
+        keep = keep & F.col(item_col).isin(list(items))
+    joined = joined.where(keep).drop("_kind")
     return joined.withColumns({
         "dish_sales_ratio_daily_1d": safe_ratio(F.col("dish_total_quantity_1d"), F.col("day_total_quantity_1d")),
         "dish_order_ratio_daily_1d": safe_ratio(F.col("dish_count_in_order_1d"), F.col("day_order_count_1d")),

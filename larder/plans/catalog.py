@@ -15,6 +15,8 @@ from larder.functions.timecols import calendar_columns
 from larder.operators import clean, forecast, profile, reports
 from larder.operators import features as feat
 from larder.operators.star import star_join
+from larder.session import scratch_path
+from larder.sources import files
 from larder.plans.testdata import (cents, decimals_to_double, order_detail_table, order_table,
                                    star_tables, table)
 
@@ -281,6 +283,23 @@ def q_profile_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.correlations(c).withColumn("corr", F.round("corr", 6))
 
 
+# ---- sources and sinks ------------------------------------------------------------------
+
+def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standardised item table -> CSV in the shared scratch folder -> read back with its
+    declared schema (no inference)."""
+    path = scratch_path(spark, "dish-csv")
+    files.write_table(q_standardize_dim(spark, sf_dir), path, "csv")
+    return files.read_table(spark, path, "csv", schema="dish_id bigint, dish_name string, price bigint")
+
+
+def q_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily series -> Parquet partitioned by month, sorted by day inside -> read back."""
+    path = scratch_path(spark, "predictions")
+    files.write_predictions(daily_series(spark, sf_dir), path)
+    return files.read_predictions(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "star_join": q_star_join,
     "daily_context": q_daily_context,
@@ -315,4 +334,6 @@ QUERIES: dict[str, Query] = {
     "profile_numeric": q_profile_numeric,
     "profile_cardinality": q_profile_cardinality,
     "profile_correlation": q_profile_correlation,
+    "csv_roundtrip": q_csv_roundtrip,
+    "partitioned_roundtrip": q_partitioned_roundtrip,
 }

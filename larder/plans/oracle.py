@@ -345,9 +345,13 @@ SELECT dish_name,
        ROUND(1.0 - SUM((CAST(y_sales AS DOUBLE) - prediction) * (CAST(y_sales AS DOUBLE) - prediction))
              / NULLIF(VAR_POP(CAST(y_sales AS DOUBLE)) * COUNT(y_sales), 0), 6) AS R2
 FROM scored WHERE split = 'test' GROUP BY dish_name""",
+    "partitioned_roundtrip": _with(STAR_CTE, ITEM_CTE, _SERIES)
+    + "SELECT time_date, dish_name, prediction, strftime(time_date, '%Y%m') AS month FROM series",
     "profile_basic": _profile_basic_sql(),
     "profile_missing": _profile_missing_sql(),
     "profile_numeric": _profile_numeric_sql(),
     "profile_cardinality": _profile_cardinality_sql(),
     "profile_correlation": _profile_correlation_sql(),
 }
+
+ORACLE["csv_roundtrip"] = ORACLE["standardize_dim"]
