@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.numeric import safe_ratio, strict_ratio
 from larder.functions.timecols import calendar_columns
+from larder.session import cached
 
 HORIZONS = (3, 7, 14, 30)
 
@@ -210,7 +211,9 @@ def rolling_features(share: DataFrame, horizons: tuple[int, ...] = HORIZONS,
                      lag_days: int = 0) -> DataFrame:
     """All rolling columns for all horizons in one projection (one Window operator)."""
     base = [F.col(item_col), F.col(date_col), *[F.col(c) for c in ITEM_1D + CONTEXT_1D + SHARE_1D]]
-    rolled = [c for h in horizons for c in rolling_columns(h, item_col, date_col, lag_days)]
+    rolled = [c for h in horizons
+              for c in cached(("rolling", h, item_col, date_col, lag_days),
+                              lambda h=h: rolling_columns(h, item_col, date_col, lag_days))]
     return share.select(*base, *rolled)
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.session import cached
+
 
 
 def cents(col: str):
@@ -24,7 +26,9 @@ def cents(col: str):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One scan DataFrame per table file and session (the file listing is done once)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return cached(("table", path), lambda: spark.read.parquet(path))
 
 
 def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,3 +59,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/larder/{name}-{uuid.uuid4().hex}"
+
+
+_EXPR_CACHE: dict[tuple, object] = {}
+
+
+def cached(key: tuple, build):
+    """Memoise driver-side construction (Column expressions, table scans) per JVM session.
+
+    Building a Column or a DataFrame is one Py4J round trip per operation; plans with dozens
+    of window expressions spend more time there than executing on small inputs.  Built
+    objects are immutable, so reusing them is safe; the key includes the JVM session so a
+    new session never sees objects of an old one.
+    """
+    active = SparkSession.getActiveSession()
+    full_key = (id(active._jsparkSession) if active is not None else None, *key)
+    if full_key not in _EXPR_CACHE:
+        _EXPR_CACHE[full_key] = build()
+    return _EXPR_CACHE[full_key]
