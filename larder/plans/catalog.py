@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from larder import specs
 from larder.functions.timecols import calendar_columns
-from larder.operators import clean, forecast, profile, reports
+from larder.operators import clean, forecast, profile, reports, training
 from larder.operators import features as feat
 from larder.operators.star import star_join
 from larder.session import scratch_path
 from larder.sources import files
+from larder.streaming import standardize as streams
 from larder.plans.testdata import (cents, decimals_to_double, order_detail_table, order_table,
                                    star_tables, table)
 
@@ -300,6 +301,37 @@ def q_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_predictions(spark, path)
 
 
+# ---- streaming ---------------------------------------------------------------------------
+
+def q_stream_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``clean_text`` as a stream: the events file is read as a file stream, cleaned
+    micro-batch by micro-batch into Parquet (exactly once, checkpointed), and read back."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = streams.read_stream(spark, sf_dir, schema, "parquet", file_glob="events.parquet")
+    raw = stream.select("event_id", dirty_event_type().alias("event_type"))
+    cleaned = clean.clean_text_columns(raw, {"event_type": "unknown"})
+    out = scratch_path(spark, "stream-events")
+    return streams.run_available(cleaned, out, name="clean_text_" + out.rsplit("-", 1)[-1],
+                                 checkpoint_location=out + "-checkpoint")
+
+
+# ---- model training and batch prediction (no SQL form: rows-only check) -----------------
+
+PREDICT_PARAMS = training.BoostParams(n_estimators=10, max_depth=3, learning_rate=0.1, patience=3)
+
+
+def q_forecast_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features -> feature store (shared folder) -> chronological split -> one boosted model
+    per item with early stopping -> predictions for every item-day."""
+    path = scratch_path(spark, "features")
+    files.write_feature_store(feat.feature_store(*star_tables(spark, sf_dir)), path)
+    stored = training.with_model_calendar(files.read_feature_store(spark, path))
+    split = feat.chrono_split(stored)
+    items = forecast.item_list(split)
+    models = training.fit_item_models(split, items, default=PREDICT_PARAMS, max_parallel=8)
+    return training.predict_items(split, models)
+
+
 QUERIES: dict[str, Query] = {
     "star_join": q_star_join,
     "daily_context": q_daily_context,
@@ -336,4 +368,6 @@ QUERIES: dict[str, Query] = {
     "profile_correlation": q_profile_correlation,
     "csv_roundtrip": q_csv_roundtrip,
     "partitioned_roundtrip": q_partitioned_roundtrip,
+    "stream_clean_text": q_stream_clean_text,
+    "forecast_predict": q_forecast_predict,
 }

@@ -355,3 +355,4 @@ FROM scored WHERE split = 'test' GROUP BY dish_name""",
 }
 
 ORACLE["csv_roundtrip"] = ORACLE["standardize_dim"]
+ORACLE["stream_clean_text"] = ORACLE["clean_text"]
