@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-# Patterns tried, in order, by the lenient parser (own choice, not a reference value).
+# Layouts understood by the lenient parser (own choice, not a reference value): the shape
+# of the text (a regular expression) picks the one pattern to parse it with.  The shapes do
+# not overlap, so this equals trying the patterns in turn, without paying for failed parses.
 LENIENT_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd",
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{6}$", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$", "yyyy-MM-dd HH:mm"),
+    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
+    (r"^\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}$", "yyyy/MM/dd HH:mm:ss"),
+    (r"^\d{4}/\d{2}/\d{2}$", "yyyy/MM/dd"),
 )
 
 
@@ -23,17 +25,27 @@ def _col(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _parse_ntz(c: Column, fmt: str) -> Column:
+    """``to_timestamp_ntz`` reads the wall-clock time directly (no session time zone, so no
+    shift inside a daylight-saving gap) but raises on bad text under ANSI mode; the
+    ``try_to_timestamp`` test in front makes bad text NULL instead."""
+    return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))
+
+
 def parse_timestamp(col: Column | str, fmt: str = TIMESTAMP_FORMAT) -> Column:
     """Text in ``fmt`` -> TIMESTAMP_NTZ (wall-clock time, no zone); anything else -> NULL.
     A timestamp input passes through unchanged."""
-    c = _col(col)
-    return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+    return _parse_ntz(_col(col), fmt)
 
 
-def lenient_timestamp(col: Column | str, formats: tuple[str, ...] = LENIENT_FORMATS) -> Column:
-    """Try several text layouts in turn; first that parses wins; none -> NULL."""
+def lenient_timestamp(col: Column | str, formats: tuple[tuple[str, str], ...] = LENIENT_FORMATS) -> Column:
+    """Text in any of several layouts -> TIMESTAMP_NTZ; unknown layout or invalid value -> NULL."""
     c = _col(col)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    out = None
+    for shape, fmt in formats:
+        parsed = _parse_ntz(c, fmt)
+        out = F.when(c.rlike(shape), parsed) if out is None else out.when(c.rlike(shape), parsed)
+    return out
 
 
 def time_slot(hour: Column | str) -> Column:
