@@ -107,13 +107,16 @@ def fit_item_models(features: DataFrame, items: list[str], params: dict[str, Boo
 
 
 def predict_items(features: DataFrame, models: dict[str, PipelineModel], item_col: str = "dish_name",
-                  date_col: str = "time_date") -> DataFrame:
+                  date_col: str = "time_date", name_col: str = "dish_name") -> DataFrame:
     """Score every row of every item that has a model; items without a model are skipped,
-    as are models without rows.  Output: ``(time_date, dish_name, prediction)``."""
+    as are models without rows.  Output: ``(time_date, dish_name, prediction)``.
+
+    With ``item_col="dish_key"`` (the feature store's partition column) each item's rows
+    are read from its own partition folder only."""
     parts = [model.transform(features.where(F.col(item_col) == F.lit(item)))
-             .select(date_col, item_col, "prediction") for item, model in models.items()]
+             .select(date_col, name_col, "prediction") for item, model in models.items()]
     if not parts:
-        return features.sparkSession.createDataFrame([], f"{date_col} date, {item_col} string, prediction double")
+        return features.sparkSession.createDataFrame([], f"{date_col} date, {name_col} string, prediction double")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

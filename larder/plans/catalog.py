@@ -326,10 +326,11 @@ def q_forecast_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "features")
     files.write_feature_store(feat.feature_store(*star_tables(spark, sf_dir)), path)
     stored = training.with_model_calendar(files.read_feature_store(spark, path))
-    split = feat.chrono_split(stored)
-    items = forecast.item_list(split)
-    models = training.fit_item_models(split, items, default=PREDICT_PARAMS, max_parallel=8)
-    return training.predict_items(split, models)
+    # keyed by the partition column, so each item's fit and scoring read one folder only
+    split = feat.chrono_split(stored, item_col="dish_key")
+    items = forecast.item_list(split, "dish_key")
+    models = training.fit_item_models(split, items, default=PREDICT_PARAMS, item_col="dish_key", max_parallel=8)
+    return training.predict_items(split, models, item_col="dish_key")
 
 
 QUERIES: dict[str, Query] = {
