@@ -80,60 +80,51 @@ def daily_share(item_day: DataFrame, context: DataFrame, date_col: str = "time_d
     })
 
 
-def day_order_totals(order: DataFrame, order_detail: DataFrame,
-                     date_col: str = "time_date") -> DataFrame:
-    """Order-level part of the day context, computed at order grain: each order counts once
-    per day and its quantity and total once per order *line* (the fan-out of the
-    line-level join), using a per-order line count instead of the line-level join."""
-    lines = order_detail.groupBy("order_id").agg(F.count(F.lit(1)).alias("_lines"))
-    per_order = order.select("order_id", date_col, "quantity", "total_price").join(lines, "order_id")
-    return per_order.groupBy(date_col).agg(
-        F.count_distinct("order_id").alias("day_order_count_1d"),
-        F.sum(F.col("quantity") * F.col("_lines")).alias("day_total_quantity_1d"),
-        F.sum(F.col("total_price") * F.col("_lines")).alias("day_total_revenue_1d"),
-    )
+_SET_ITEM, _SET_VARIETY, _SET_ORDERS = 1, 10, 9  # grouping_id of (item, day, order_id, dish_id)
 
 
-def daily_item_with_context(order: DataFrame, order_detail: DataFrame, dish: DataFrame,
-                            item_col: str = "dish_name", date_col: str = "time_date",
+def daily_item_with_context(star: DataFrame, item_col: str = "dish_name", date_col: str = "time_date",
                             items: list[str] | None = None) -> DataFrame:
-    """Same rows and columns as ``daily_share(daily_item(star), daily_context(star))`` for
-    ``star = star_join(order, order_detail, dish)``, with the order lines read once.
-
-    * Line level: one grouping-sets aggregation over the star, sets ``(item, day, order)``
-      and ``(day, dish_id)``, followed by a count per ``(item, day)`` and per day.  This gives
-      the distinct-order count per item-day and the distinct-item count per day with two
-      rows per line going into partial aggregation (a COUNT DISTINCT rewrite would make six).
-    * Order level: ``day_order_totals``.
-    * The day rows are copied onto that day's item rows by a window partitioned by day
-      (at most one row per item in a partition): no join, no second pass.
+    """Same rows and columns as ``daily_share(daily_item(star), daily_context(star))``, with
+    the star aggregated in a single pass.
+
+    One grouping-sets aggregation over the star with the sets ``(item, day, order)``,
+    ``(day, dish_id)`` and ``(day, order)``, then a count per ``(item, day)`` and per day,
+    gives every distinct count (orders per item-day, items per day, orders per day) and the
+    order-level day totals: three rows per line go into partial aggregation, where a
+    COUNT DISTINCT rewrite of the two separate aggregations would need six, plus a second
+    scan and shuffle of the order lines.  The day rows are then copied onto that day's item
+    rows by a window partitioned by day (at most one row per item in a partition).
     """
-    from larder.operators.star import star_join  # local import: star imports nothing from here
-
-    star = star_join(order, order_detail, dish)
-    keyed = star.groupingSets([[item_col, date_col, "order_id"], [date_col, "dish_id"]],
+    keyed = star.groupingSets([[item_col, date_col, "order_id"], [date_col, "dish_id"],
+                               [date_col, "order_id"]],
                               item_col, date_col, "order_id", "dish_id")
     fine = keyed.agg(
         F.grouping_id().alias("_set"),
         F.sum("dish_quantity").alias("_qty"),
         F.sum("price_total_dish").alias("_rev"),
         F.min("price_one_dish").alias("_price"),
+        F.sum("order_quantity").alias("_order_qty"),
+        F.sum("order_total_price").alias("_order_rev"),
     )
-    # _set = 1: (item, day, order) rows (dish_id not grouped); otherwise (day, dish_id) rows.
-    per_item = F.col("_set") == F.lit(1)
-    levels = (fine.withColumn(item_col, F.when(per_item, F.col(item_col)))
-              .groupBy("_set", item_col, date_col).agg(
-                  F.count("order_id").alias("dish_count_in_order_1d"),
-                  F.count("dish_id").alias("day_order_variety_1d"),
-                  F.sum("_qty").alias("y_sales"),
-                  F.sum("_rev").alias("dish_revenue_day_1d"),
-                  F.min("_price").alias("dish_base_price")))
-    # ``levels`` must have a single consumer, or Spark would aggregate the star twice: its
-    # item rows and per-day variety rows travel together and are told apart by ``_kind``.
-    rows = (levels.withColumn("_kind", F.when(per_item, F.lit("item")).otherwise(F.lit("variety")))
-            .drop("_set")
-            .unionByName(day_order_totals(order, order_detail, date_col)
-                         .withColumn("_kind", F.lit("orders")), allowMissingColumns=True))
+    per_item = F.col("_set") == F.lit(_SET_ITEM)
+    # A single consumer of the aggregation (otherwise Spark would aggregate the star twice):
+    # item rows, per-day variety rows and per-day order rows travel together.
+    rows = (fine.withColumn(item_col, F.when(per_item, F.col(item_col)))
+            .groupBy("_set", item_col, date_col).agg(
+                F.count("order_id").alias("_orders"),
+                F.count("dish_id").alias("day_order_variety_1d"),
+                F.sum("_qty").alias("y_sales"),
+                F.sum("_rev").alias("dish_revenue_day_1d"),
+                F.min("_price").alias("dish_base_price"),
+                F.sum("_order_qty").alias("day_total_quantity_1d"),
+                F.sum("_order_rev").alias("day_total_revenue_1d"))
+            .withColumn("_kind", F.when(per_item, F.lit("item"))
+                        .when(F.col("_set") == F.lit(_SET_VARIETY), F.lit("variety"))
+                        .otherwise(F.lit("orders")))
+            .withColumn("dish_count_in_order_1d", F.col("_orders"))
+            .withColumn("day_order_count_1d", F.col("_orders"))
+            .drop("_set", "_orders"))
     day = Window.partitionBy(date_col)
 
     def day_value(kind: str, c: str) -> Column:
@@ -217,12 +208,11 @@ def rolling_features(share: DataFrame, horizons: tuple[int, ...] = HORIZONS,
     return share.select(*base, *rolled)
 
 
-def feature_store(order: DataFrame, order_detail: DataFrame, dish: DataFrame,
-                  horizons: tuple[int, ...] = HORIZONS, item_col: str = "dish_name",
+def feature_store(star: DataFrame, horizons: tuple[int, ...] = HORIZONS, item_col: str = "dish_name",
                   date_col: str = "time_date", items: list[str] | None = None,
                   lag_days: int = 0) -> DataFrame:
-    """Clean order, order_detail and dish tables -> 60 feature columns per item-day."""
-    share = daily_item_with_context(order, order_detail, dish, item_col, date_col, items)
+    """Order-line star (``star_join``) -> 60 feature columns per item-day."""
+    share = daily_item_with_context(star, item_col, date_col, items)
     return rolling_features(share, horizons, item_col, date_col, lag_days)
 
 

@@ -50,7 +50,7 @@ def q_daily_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rolling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decimals_to_double(feat.feature_store(*star_tables(spark, sf_dir)))
+    out = decimals_to_double(feat.feature_store(star(spark, sf_dir)))
     return out.withColumns({c: F.round(c, 9) for c in ROUNDED_9})
 
 
@@ -324,7 +324,7 @@ def q_forecast_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features -> feature store (shared folder) -> chronological split -> one boosted model
     per item with early stopping -> predictions for every item-day."""
     path = scratch_path(spark, "features")
-    files.write_feature_store(feat.feature_store(*star_tables(spark, sf_dir)), path)
+    files.write_feature_store(feat.feature_store(star(spark, sf_dir)), path)
     stored = training.with_model_calendar(files.read_feature_store(spark, path))
     # keyed by the partition column, so each item's fit and scoring read one folder only
     split = feat.chrono_split(stored, item_col="dish_key")

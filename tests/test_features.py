@@ -39,7 +39,7 @@ def test_strict_rolling_rows_not_calendar(spark):
     orders = [(i + 1, D0 + dt.timedelta(days=d), q, 10) for i, (d, q) in enumerate(zip(days, [1, 2, 3, 4]))]
     lines = [(i + 1, 10, q, 10 * q) for i, q in enumerate([1, 2, 3, 4])]
     order, detail, dish = tables(spark, orders, lines, [(10, "a", 10)])
-    out = feat.feature_store(order, detail, dish, horizons=(3,)).orderBy("time_date").collect()
+    out = feat.feature_store(star_join(order, detail, dish), horizons=(3,)).orderBy("time_date").collect()
     assert [r.dish_count_in_order_3d for r in out] == [0, 0, 3, 3]
     assert [r.day_total_quantity_3d for r in out] == [0, 0, 6, 9]
     assert [r.dish_sales_ratio_daily_3d for r in out] == [0.0, 0.0, 1.0, 1.0]
@@ -50,7 +50,7 @@ def test_zero_denominator_ratio_is_zero(spark):
     orders = [(i + 1, D0 + dt.timedelta(days=i), 0, 0) for i in range(3)]
     lines = [(i + 1, 10, 0, 0) for i in range(3)]
     order, detail, dish = tables(spark, orders, lines, [(10, "a", 0)])
-    out = feat.feature_store(order, detail, dish, horizons=(3,)).orderBy("time_date").collect()
+    out = feat.feature_store(star_join(order, detail, dish), horizons=(3,)).orderBy("time_date").collect()
     assert out[-1].avg_order_size_3d == 0.0 and out[-1].dish_revenue_ratio_daily_3d == 0.0
     assert out[-1].dish_sales_ratio_daily_1d is None  # 0 / 0 is NULL on the 1-day level
 
@@ -67,7 +67,7 @@ def test_lag_days_excludes_current_day(spark):
     orders = [(i + 1, D0 + dt.timedelta(days=i), 1, 1) for i in range(4)]
     lines = [(i + 1, 10, i + 1, 1) for i in range(4)]
     order, detail, dish = tables(spark, orders, lines, [(10, "a", 1)])
-    out = feat.feature_store(order, detail, dish, horizons=(2,), lag_days=1).orderBy("time_date").collect()
+    out = feat.feature_store(star_join(order, detail, dish), horizons=(2,), lag_days=1).orderBy("time_date").collect()
     # frame = the two rows before the current one
     assert [r.dish_count_in_order_2d for r in out] == [0, 0, 2, 2]
 
@@ -90,7 +90,7 @@ def random_star_tables(spark, seed):
 def test_single_pass_equals_join_plan(spark, seed):
     order, detail, dish = random_star_tables(spark, seed)
     star = star_join(order, detail, dish)
-    a = feat.daily_item_with_context(order, detail, dish)
+    a = feat.daily_item_with_context(star)
     b = feat.daily_share(feat.daily_item(star), feat.daily_context(star))
     cols = sorted(a.columns)
     assert sorted(cols) == sorted(b.columns)
@@ -101,7 +101,7 @@ def test_single_pass_equals_join_plan(spark, seed):
 @given(st.integers(0, 10_000))
 def test_rolling_against_plain_python(spark, seed):
     order, detail, dish = random_star_tables(spark, seed)
-    share = feat.daily_item_with_context(order, detail, dish)
+    share = feat.daily_item_with_context(star_join(order, detail, dish))
     out = feat.rolling_features(share, horizons=(3, 7)).collect()
     by_item = {}
     for r in sorted(share.collect(), key=lambda r: (r.dish_name, r.time_date)):

@@ -48,11 +48,12 @@ def test_item_training_reads_one_partition(spark, tmp_path):
 
     from larder.operators import features as feat
     from larder.operators import training
+    from larder.operators.star import star_join
     from larder.plans.testdata import star_tables
     from larder.sources import files
 
     path = str(tmp_path / "fs")
-    files.write_feature_store(feat.feature_store(*star_tables(spark, SF)), path)
+    files.write_feature_store(feat.feature_store(star_join(*star_tables(spark, SF))), path)
     split = feat.chrono_split(training.with_model_calendar(files.read_feature_store(spark, path)), item_col="dish_key")
     text = plan_text(split.where(F.col("dish_key") == "Brand#3"))
     assert re.search(r"PartitionFilters: \[[^\]]*dish_key#\d+ = Brand#3", text), text
