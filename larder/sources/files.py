@@ -78,10 +78,18 @@ def read_feature_store(spark: SparkSession, path: str, item: str | None = None,
     return df
 
 
-def write_predictions(predictions: DataFrame, path: str, date_col: str = "time_date") -> None:
-    """Predictions partitioned by ``yyyyMM`` month, each month's rows sorted by day."""
+def write_predictions(predictions: DataFrame, path: str, date_col: str = "time_date",
+                      item_col: str = "dish_name", num_partitions: int | None = None) -> None:
+    """Predictions partitioned by ``yyyyMM`` month, rows sorted by day inside every file.
+
+    Rows are range-partitioned on (month, day, item) rather than hashed on the month, so
+    one month (or one day) holding a large share of the rows is split over several writing
+    tasks instead of landing in one; each task's files hold a contiguous run of days."""
     with_month = predictions if "month" in predictions.columns else predictions.withColumn("month", month_key(date_col))
-    (with_month.repartition("month").sortWithinPartitions(date_col)
+    keys = ["month", date_col] + ([item_col] if item_col in with_month.columns else [])
+    ranged = (with_month.repartitionByRange(num_partitions, *keys) if num_partitions
+              else with_month.repartitionByRange(*keys))
+    (ranged.sortWithinPartitions(*keys[1:])
      .write.mode("overwrite").partitionBy("month").parquet(path))
 
 
