@@ -52,3 +52,17 @@ def test_normalize_datetime_columns_by_name(spark):
     got = {r.id: tuple(r) for r in clean.normalize_datetime_columns(raw).collect()}
     assert got[1] == (1, "2024-01-02 00:00:00", "2024-01-02 03:04:05", "keep me")
     assert got[2] == (2, None, None, "x")
+
+
+def test_ingredient_spec(spark):
+    raw = spark.createDataFrame([(1, 1, "Giá đỗ"), (2, 2, "  "), (3, 3, "Nước mắm (Phú Quốc)")],
+                                "id long, ingredient_id long, ingredient_name string")
+    got = {r.id: r.ingredient_name for r in clean.standardize(raw, specs.INGREDIENT).collect()}
+    assert got == {1: "gia o", 2: "unknown", 3: "nuoc mam phu quoc"}
+
+
+def test_order_detail_spec_keeps_ids(spark):
+    raw = spark.createDataFrame([(5, 9, 3, " Bún Chả ", "2", "70000"), (6, 9, 4, None, "", "n/a")],
+                                "id long, order_id long, dish_id long, dish_name string, quantity string, price string")
+    got = sorted(tuple(r) for r in clean.standardize(raw, specs.ORDER_DETAIL).collect())
+    assert got == [(5, 9, 3, "bun cha", 2, 70000), (6, 9, 4, "unknown", 0, 0)]
