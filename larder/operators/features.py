@@ -200,8 +200,19 @@ def rolling_columns(h: int, item_col: str = "dish_name", date_col: str = "time_d
 def rolling_features(share: DataFrame, horizons: tuple[int, ...] = HORIZONS,
                      item_col: str = "dish_name", date_col: str = "time_date",
                      lag_days: int = 0) -> DataFrame:
-    """All rolling columns for all horizons in one projection (one Window operator)."""
-    base = [F.col(item_col), F.col(date_col), *[F.col(c) for c in ITEM_1D + CONTEXT_1D + SHARE_1D]]
+    """All rolling columns for all horizons in one projection (one Window operator).
+
+    With ``lag_days=k`` the 1-day feature columns are also taken from ``k`` rows earlier
+    (NULL for the first ``k`` rows of an item), so that no value of the predicted day,
+    including ``dish_total_quantity_1d`` (equal to the target), is a feature; ``y_sales``
+    itself stays the current day's value."""
+    one_day = [c for c in ITEM_1D + CONTEXT_1D + SHARE_1D if c != "y_sales"]
+    if lag_days > 0:
+        order = Window.partitionBy(item_col).orderBy(date_col)
+        moved = [F.lag(c, lag_days).over(order).alias(c) for c in one_day]
+    else:
+        moved = [F.col(c) for c in one_day]
+    base = [F.col(item_col), F.col(date_col), F.col("y_sales"), *moved]
     rolled = [c for h in horizons
               for c in cached(("rolling", h, item_col, date_col, lag_days),
                               lambda h=h: rolling_columns(h, item_col, date_col, lag_days))]

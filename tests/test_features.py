@@ -68,8 +68,10 @@ def test_lag_days_excludes_current_day(spark):
     lines = [(i + 1, 10, i + 1, 1) for i in range(4)]
     order, detail, dish = tables(spark, orders, lines, [(10, "a", 1)])
     out = feat.feature_store(star_join(order, detail, dish), horizons=(2,), lag_days=1).orderBy("time_date").collect()
-    # frame = the two rows before the current one
+    # frame = the two rows before the current one; 1-day features come from the day before
     assert [r.dish_count_in_order_2d for r in out] == [0, 0, 2, 2]
+    assert [r.y_sales for r in out] == [1, 2, 3, 4]
+    assert [r.dish_total_quantity_1d for r in out] == [None, 1, 2, 3]
 
 
 def random_star_tables(spark, seed):
