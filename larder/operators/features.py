@@ -169,9 +169,10 @@ def rolling_columns(h: int, item_col: str = "dish_name", date_col: str = "time_d
     rows earlier, so no value of the current day enters (``k=0``, the default, includes it).
     Frames are at most ``max(horizons)`` rows, so the per-row cost is bounded.
     """
-    w = (Window.partitionBy(item_col).orderBy(date_col)
-         .rowsBetween(-(h - 1) - lag_days, -lag_days))
-    full = F.count(F.lit(1)).over(w) == F.lit(h)
+    order = Window.partitionBy(item_col).orderBy(date_col)
+    w = order.rowsBetween(-(h - 1) - lag_days, -lag_days)
+    # the frame holds exactly h rows once the item has h + lag_days rows up to this one
+    full = F.row_number().over(order) >= F.lit(h + lag_days)
 
     def s(c: str) -> Column:
         return F.sum(c).over(w)
