@@ -1,6 +1,6 @@
 """Registered queries over the test tables: one callable ``(spark, sf_dir) -> DataFrame`` per
-operator group, each reading whole tables.  Decimal results are turned into DOUBLE at the
-edge and column names match the SQL in ``larder.plans.oracle``.
+operator group, each reading whole tables.  Column names match the SQL in
+``larder.plans.oracle``; money is BIGINT cents throughout (see ``larder.plans.testdata``).
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from larder.operators.star import star_join
 from larder.session import scratch_path
 from larder.sources import files
 from larder.streaming import standardize as streams
-from larder.plans.testdata import (cents, decimals_to_double, order_detail_table, order_table,
+from larder.plans.testdata import (order_detail_table, order_table,
                                    star_tables, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,24 +33,24 @@ def star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decimals_to_double(star(spark, sf_dir))
+    return star(spark, sf_dir)
 
 
 def q_daily_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decimals_to_double(feat.daily_context(star(spark, sf_dir)))
+    return feat.daily_context(star(spark, sf_dir))
 
 
 def q_daily_item(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decimals_to_double(feat.daily_item(star(spark, sf_dir)))
+    return feat.daily_item(star(spark, sf_dir))
 
 
 def q_daily_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = star(spark, sf_dir)
-    return decimals_to_double(feat.daily_share(feat.daily_item(s), feat.daily_context(s)))
+    return feat.daily_share(feat.daily_item(s), feat.daily_context(s))
 
 
 def q_rolling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decimals_to_double(feat.feature_store(star(spark, sf_dir)))
+    out = feat.feature_store(star(spark, sf_dir))
     return out.withColumns({c: F.round(c, 9) for c in ROUNDED_9})
 
 

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from larder.session import cached
 
@@ -69,10 +68,3 @@ def dish_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return order_table(spark, sf_dir), order_detail_table(spark, sf_dir), dish_table(spark, sf_dir)
-
-
-def decimals_to_double(df: DataFrame) -> DataFrame:
-    """Exact decimal results -> DOUBLE (correctly rounded) at the output edge."""
-    casts = {f.name: F.col(f.name).cast("double") for f in df.schema.fields
-             if isinstance(f.dataType, T.DecimalType)}
-    return df.withColumns(casts) if casts else df

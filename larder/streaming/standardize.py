@@ -14,7 +14,6 @@ restarted query (or one that lost executors) resumes exactly once where it stopp
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -77,4 +76,4 @@ def run_available(df: DataFrame, path: str, name: str, checkpoint_location: str
     return df.sparkSession.read.parquet(path)
 
 
-__all__ = ["read_stream", "standardize_stream", "write_stream", "run_available", "F"]
+__all__ = ["read_stream", "standardize_stream", "write_stream", "run_available"]
