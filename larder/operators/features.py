@@ -32,14 +32,22 @@ SHARE_1D = ("dish_sales_ratio_daily_1d", "dish_order_ratio_daily_1d",
 
 def daily_context(star: DataFrame, date_col: str = "time_date") -> DataFrame:
     """One row per day over all items.  Order-level values are summed over the joined
-    *lines*, so an order with k lines counts k times (kept on purpose)."""
-    n_orders = F.count_distinct("order_id")
-    total_qty = F.sum("order_quantity")
-    return star.groupBy(date_col).agg(
+    *lines*, so an order with k lines counts k times (kept on purpose).
+
+    The two distinct counts come from one grouping-sets aggregation, sets ``(day, order)``
+    and ``(day, dish_id)``, followed by a count per day: two rows per line go into partial
+    aggregation, where the COUNT DISTINCT rewrite would make three."""
+    keyed = star.groupingSets([[date_col, "order_id"], [date_col, "dish_id"]], date_col, "order_id", "dish_id")
+    fine = keyed.agg(F.grouping_id().alias("_set"),
+                     F.sum("order_quantity").alias("_qty"), F.sum("order_total_price").alias("_rev"))
+    per_order = F.col("_set") == F.lit(1)  # (day, order) rows; (day, dish_id) rows have _set 2
+    n_orders = F.count(F.when(per_order, F.col("order_id")))
+    total_qty = F.sum(F.when(per_order, F.col("_qty")))
+    return fine.groupBy(date_col).agg(
         n_orders.alias("day_order_count_1d"),
         total_qty.alias("day_total_quantity_1d"),
-        F.sum("order_total_price").alias("day_total_revenue_1d"),
-        F.count_distinct("dish_id").alias("day_order_variety_1d"),
+        F.sum(F.when(per_order, F.col("_rev"))).alias("day_total_revenue_1d"),
+        F.count(F.when(~per_order, F.col("dish_id"))).alias("day_order_variety_1d"),
         safe_ratio(total_qty, n_orders).alias("avg_order_size_1d"),
     )
 
