@@ -57,3 +57,15 @@ def test_item_training_reads_one_partition(spark, tmp_path):
     split = feat.chrono_split(training.with_model_calendar(files.read_feature_store(spark, path)), item_col="dish_key")
     text = plan_text(split.where(F.col("dish_key") == "Brand#3"))
     assert re.search(r"PartitionFilters: \[[^\]]*dish_key#\d+ = Brand#3", text), text
+
+
+def test_revenue_report_joins_at_order_grain(spark, no_broadcast):
+    from larder.plans.catalog import q_revenue_by_quarter
+
+    df = q_revenue_by_quarter(spark, SF)
+    df.count()
+    text = plan_text(df)
+    join = text.index("SortMergeJoin")
+    below = text[join:]
+    # the line side of the join is already summed per order (partial + final aggregate)
+    assert re.search(r"HashAggregate\(keys=\[order_id#\d+L\], functions=\[sum", below), below
