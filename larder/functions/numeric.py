@@ -10,15 +10,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def clean_bigint(col: Column | str, default: int | float = 0) -> Column:
+def clean_bigint(col: Column | str, default: int | float = 0, text: bool = False) -> Column:
     """NULL, blank or not castable to BIGINT -> ``default``; else ``try_cast(x AS BIGINT)``.
 
     Text must be a whole number (surrounding spaces allowed): ``'3.7'``, ``'1e3'``, ``'abc'``
     and out-of-range values give the default.  A DOUBLE input is truncated (3.7 -> 3) and
-    NaN gives the default.  An integer default keeps the BIGINT type.
+    NaN gives the default.  An integer default keeps the BIGINT type.  ``text=True`` (set by
+    ``clean_numeric_columns`` for string columns) checks the whole-number shape first, so
+    the rule holds even in a session with ANSI mode off, where casts truncate decimals.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(c.try_cast("bigint"), F.lit(default))
+    value = c.try_cast("bigint")
+    if text:
+        value = F.when(c.rlike(r"^\s*[+-]?[0-9]+\s*$"), value)
+    return F.coalesce(value, F.lit(default))
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

@@ -28,7 +28,9 @@ def clean_text_columns(df: DataFrame, defaults: dict[str, str]) -> DataFrame:
 def clean_numeric_columns(df: DataFrame, defaults: dict[str, int | float],
                           ids: tuple[str, ...] = ()) -> DataFrame:
     present = {c: d for c, d in defaults.items() if c in df.columns and c not in ids}
-    return df.withColumns({c: clean_bigint(c, d) for c, d in present.items()}) if present else df
+    is_text = {f.name: isinstance(f.dataType, T.StringType) for f in df.schema.fields}
+    return (df.withColumns({c: clean_bigint(c, d, text=is_text[c]) for c, d in present.items()})
+            if present else df)
 
 
 def parse_timestamp_columns(df: DataFrame, columns: tuple[str, ...],
