@@ -38,6 +38,11 @@ class BoostParams:
     colsample_bytree: float = 0.9
     random_state: int = 42
     patience: int = 50  # early stopping: rounds without a better validation error
+    # "patience": fit, score every round on the valid rows, refit with the best round count;
+    # "tolerance": Spark's one-fit rule (stop when the validation error improves by less
+    # than ``tolerance`` relative); "none": no early stopping.
+    stopping: str = "patience"
+    tolerance: float = 0.01
 
 
 def params_from_config(config: dict[str, dict]) -> dict[str, BoostParams]:
@@ -56,11 +61,15 @@ def feature_columns(df: DataFrame, exclude: tuple[str, ...] = NOT_FEATURES) -> l
     return [f.name for f in df.schema.fields if f.name not in exclude and isinstance(f.dataType, numeric)]
 
 
-def _pipeline(cols: list[str], p: BoostParams, label: str, max_iter: int) -> Pipeline:
+def _pipeline(cols: list[str], p: BoostParams, label: str, max_iter: int,
+              validation_col: str | None = None) -> Pipeline:
     assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=p.max_depth,
                        stepSize=p.learning_rate, subsamplingRate=p.subsample,
                        featureSubsetStrategy=str(p.colsample_bytree), seed=p.random_state)
+    if validation_col is not None:
+        gbt = gbt.setValidationIndicatorCol(validation_col)
+        gbt.set(gbt.validationTol, p.tolerance)
     return Pipeline(stages=[assembler, gbt])
 
 
@@ -76,13 +85,21 @@ def best_round(errors: list[float], patience: int) -> int:
 
 
 def fit_item(rows: DataFrame, cols: list[str], p: BoostParams, label: str = "y_sales") -> PipelineModel:
-    """Fit on the ``train`` rows; with ``valid`` rows and ``patience`` > 0, keep only the
-    rounds up to the best validation error (refit with that many trees)."""
+    """Fit on the ``train`` rows, with early stopping on the ``valid`` rows (``p.stopping``).
+
+    ``patience`` keeps only the rounds up to the best validation error (refit with that many
+    trees); ``tolerance`` is Spark's single-fit rule; ``none`` (or no valid rows) fits all
+    ``n_estimators`` rounds."""
     train = rows.where(F.col("split") == "train")
     valid = rows.where(F.col("split") == "valid")
+    if p.stopping == "none" or (p.stopping == "patience" and p.patience <= 0) or valid.isEmpty():
+        return _pipeline(cols, p, label, p.n_estimators).fit(train)
+    if p.stopping == "tolerance":
+        both = rows.where(F.col("split").isin("train", "valid")).withColumn("_is_valid", F.col("split") == "valid")
+        return _pipeline(cols, p, label, p.n_estimators, "_is_valid").fit(both)
+    if p.stopping != "patience":
+        raise ValueError(f"Unsupported stopping rule: {p.stopping}")
     model = _pipeline(cols, p, label, p.n_estimators).fit(train)
-    if p.patience <= 0 or valid.isEmpty():
-        return model
     errors = model.stages[-1].evaluateEachIteration(model.stages[0].transform(valid), "squared")
     keep = best_round(list(errors), p.patience)
     if keep >= p.n_estimators:

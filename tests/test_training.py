@@ -55,3 +55,11 @@ def test_pooled_model(spark):
     df = series(spark)
     model = training.fit_pooled(df, SMALL)
     assert model.transform(df).count() == df.count()
+
+
+def test_tolerance_stopping_one_fit(spark):
+    df = series(spark, items=("pho bo",))
+    p = training.BoostParams(n_estimators=6, max_depth=2, learning_rate=0.3, stopping="tolerance")
+    model = training.fit_item(df, training.feature_columns(df), p)
+    assert model.stages[-1].getNumTrees <= 6
+    assert model.transform(df).count() == 30
