@@ -8,7 +8,6 @@ by day copies the day context onto each item-day row, and all rolling columns of
 horizons come from one window partitioned by item and ordered by day.  Both windows run on
 aggregated rows (at most one per item and day), so an item or a day holding a third of all
 order lines still puts only one row per day (or per item) into a window partition.
-
 """
 
 from __future__ import annotations
