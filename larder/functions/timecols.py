@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The timestamp text layout, and the time-of-day slots as [start, end) hours;
+# every other hour (14-16, 21-5) and a missing hour is "Night".
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_SLOTS = (("Morning", 6, 11), ("Noon", 11, 14), ("Evening", 17, 21))
+OTHER_SLOT = "Night"
 
 # Layouts understood by the lenient parser (own choice, not a reference value): the shape
 # of the text (a regular expression) picks the one pattern to parse it with.  The shapes do
@@ -49,13 +53,13 @@ def lenient_timestamp(col: Column | str, formats: tuple[tuple[str, str], ...] =
 
 
 def time_slot(hour: Column | str) -> Column:
-    """Hour of day -> slot: [6,11) Morning, [11,14) Noon, [17,21) Evening, all else
-    (14-16, 21-5 and NULL) Night."""
+    """Hour of day -> slot name (``TIME_SLOTS``); all other hours and NULL -> Night."""
     h = _col(hour)
-    return (F.when((h >= 6) & (h < 11), F.lit("Morning"))
-            .when((h >= 11) & (h < 14), F.lit("Noon"))
-            .when((h >= 17) & (h < 21), F.lit("Evening"))
-            .otherwise(F.lit("Night")))
+    out = None
+    for name, start, end in TIME_SLOTS:
+        cond = (h >= start) & (h < end)
+        out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
+    return out.otherwise(F.lit(OTHER_SLOT))
 
 
 def month_key(col: Column | str) -> Column:

@@ -19,7 +19,9 @@ from larder.functions.numeric import safe_ratio, strict_ratio
 from larder.functions.timecols import calendar_columns
 from larder.session import cached
 
+# Rolling horizons in rows, and the chronological split fractions.
 HORIZONS = (3, 7, 14, 30)
+TRAIN_FRACTION, VALID_FRACTION = 0.6, 0.2
 
 CONTEXT_1D = ("day_order_count_1d", "day_total_quantity_1d", "day_total_revenue_1d",
               "day_order_variety_1d", "avg_order_size_1d")
@@ -236,7 +238,7 @@ def feature_store(star: DataFrame, horizons: tuple[int, ...] = HORIZONS, item_co
 
 
 def chrono_split(df: DataFrame, item_col: str = "dish_name", date_col: str = "time_date",
-                 train: float = 0.6, valid: float = 0.2) -> DataFrame:
+                 train: float = TRAIN_FRACTION, valid: float = VALID_FRACTION) -> DataFrame:
     """Chronological split per item by row position: the first ``floor(n*train)`` rows are
     ``train``, the next ``floor(n*valid)`` ``valid``, the rest ``test``.  The window holds
     one row per item-day, so its partitions stay small."""
