@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import specs
+from larder.functions.text import item_key
 from larder.functions.timecols import calendar_columns
 from larder.operators import clean, forecast, profile, reports, training
 from larder.operators import features as feat
@@ -235,12 +236,19 @@ def q_day_vs_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.day_vs_month(daily_series(spark, sf_dir))
 
 
+def item_keys(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Wide-table columns from the (small) item dimension, so listing them does not run a
+    pass over the order lines."""
+    dish = star_tables(spark, sf_dir)[2]
+    return forecast.item_list(dish.withColumn("_key", item_key("dish_name")), "_key")
+
+
 def q_pivot_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast.to_wide(daily_series(spark, sf_dir))
+    return forecast.to_wide(daily_series(spark, sf_dir), items=item_keys(spark, sf_dir))
 
 
 def q_unpivot_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast.to_long(forecast.to_wide(daily_series(spark, sf_dir)))
+    return forecast.to_long(forecast.to_wide(daily_series(spark, sf_dir), items=item_keys(spark, sf_dir)))
 
 
 def q_forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
