@@ -125,3 +125,15 @@ def test_rolling_against_plain_python(spark, seed):
         for h in (3, 7):
             got = (r[f"day_order_count_{h}d"], r[f"dish_count_in_order_{h}d"], r[f"dish_sales_ratio_daily_{h}d"])
             assert got == expect[(r.dish_name, r.time_date, h)]
+
+
+def test_item_filter_keeps_full_day_context(spark):
+    orders = [(1, D0, 4, 40), (2, D0, 6, 60)]
+    lines = [(1, 10, 4, 40), (2, 20, 6, 60)]
+    order, detail, dish = tables(spark, orders, lines, [(10, "a", 10), (20, "b", 10)])
+    star = star_join(order, detail, dish)
+    only_a = feat.feature_store(star, horizons=(3,), items=["a"]).collect()
+    assert [r.dish_name for r in only_a] == ["a"]
+    r = only_a[0]
+    assert (r.day_order_count_1d, r.day_total_quantity_1d, r.day_order_variety_1d) == (2, 10, 2)
+    assert r.dish_sales_ratio_daily_1d == 0.4
