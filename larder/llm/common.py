@@ -10,7 +10,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,27 @@ BITMAP_BITS = 1 << 23
 # ---------------------------------------------------------------------------------------
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that tasks can import it
+    wherever the driver was started."""
+    root = Path(__file__).resolve().parents[1]
+    app = spark.sparkContext.applicationId
+    if app in _shipped or not root.is_dir():
+        return
+    target = Path(tempfile.mkdtemp(prefix="larder-code-")) / f"{root.name}-code.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for path in sorted(root.rglob("*.py")):
+            archive.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(app)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table; any further columns of the file are left alone."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
@@ -52,6 +73,7 @@ class Scratch:
     no reader needs it; what a returned DataFrame still reads is deleted when Python exits."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/larder-{name}-{uuid.uuid4().hex}"
         self.live: set[str] = set()
