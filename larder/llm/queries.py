@@ -3,18 +3,54 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from larder.llm import common as C
+from larder.llm import mixing, nearest, packing, pii, toxicity
 from larder.llm import quality_rules as quality
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file that the packing query and the pipeline count tokens with."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(C.read(spark, sf_dir, "documents", "doc_id", "text"), C.read(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_packing(C.read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(C.read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.read(spark, sf_dir, "documents", "doc_id", "text")
     found = quality.quality_rules(docs, C.read(spark, sf_dir, "labels", "doc_id", "quality"))
     return found.select("doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
 
 
-QUERIES = {"op8_quality_rules": op8_quality_rules}
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(C.read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(C.read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op7_mixing": op7_mixing,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_nearest": op9_nearest,
+    "op10_pii": op10_pii,
+}
 
 #: DuckDB SQL by query name.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_mixing": mixing.sql()}
