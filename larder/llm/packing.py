@@ -136,7 +136,7 @@ def fractional(lengths: np.ndarray, demand: np.ndarray, params: PackingParams) -
         config = np.minimum(price(lengths, value, params.capacity), np.floor(demand - covered)).astype(np.int64)
         used = np.flatnonzero(config)
         open_for = np.min((demand[used] - covered[used]) / config[used])
-        times = float(min(open_for, max(np.min(params.step * demand[used] / config[used]), 1.0)))
+        times = float(min(open_for, np.min(params.step * demand[used] / config[used])))
         covered += times * config
         found.append((config, times))
     return found
