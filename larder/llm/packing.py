@@ -169,24 +169,34 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tup
     return sorted(merged.items())
 
 
+def rounded(lengths: np.ndarray, demand: np.ndarray, found: list[tuple[np.ndarray, float]], least: float, capacity: int) -> list:
+    """Whole sequences from a fractional solution: every configuration used ``least`` times or
+    more is rounded down, and best fit places what is left."""
+    out, left = [], demand.copy()
+    for config, times in found:
+        used = np.flatnonzero(config)
+        whole = int(min(np.floor(times + 1e-9), (left[used] // config[used]).min()))
+        if whole > 0 and times >= least:
+            left = left - whole * config
+            out.append((tuple((int(lengths[i]), int(config[i])) for i in used[::-1]), whole))
+    more = left > 0
+    return out + best_fit(lengths[more], left[more], capacity)
+
+
 def patterns(histogram: dict[int, int], params: PackingParams = PackingParams()) -> list[tuple[tuple[tuple[int, int], ...], int]]:
-    """[((length, copies), ...), sequences] that place every piece of the histogram exactly."""
+    """[((length, copies), ...), sequences] that place every piece of the histogram exactly: the
+    roundings of the configuration program at four levels, the one with fewest sequences."""
     out = []
     rest = {n: c for n, c in histogram.items() if c > 0}
     full = rest.pop(params.capacity, 0)
     if full:
         out.append((((params.capacity, 1),), full))
-    lengths = np.array(sorted(rest), np.int64)
-    left = np.array([rest[n] for n in lengths.tolist()], np.int64)
-    if len(lengths):
-        for config, times in sorted(fractional(lengths, left.astype(float), params), key=lambda t: -t[1]):
-            used = np.flatnonzero(config)
-            whole = int(min(np.floor(times + 1e-9), (left[used] // config[used]).min()))
-            if whole > 0:
-                left = left - whole * config
-                out.append((tuple((int(lengths[i]), int(config[i])) for i in used[::-1]), whole))
-        more = left > 0
-        out += best_fit(lengths[more], left[more], params.capacity)
+    if rest:
+        lengths = np.array(sorted(rest), np.int64)
+        demand = np.array([rest[n] for n in lengths.tolist()], np.int64)
+        found = sorted(fractional(lengths, demand.astype(float), params), key=lambda t: -t[1])
+        tries = [rounded(lengths, demand, found, least, params.capacity) for least in (1, 8, 64, np.inf)]
+        out += min(tries, key=lambda t: sum(many for _, many in t))
     return out
 
 
