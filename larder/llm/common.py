@@ -8,10 +8,11 @@ read as empty.  Words are the maximal runs of bytes other than 0x20 and 0x09-0x0
 from __future__ import annotations
 
 import atexit
+import hashlib
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -106,21 +107,10 @@ def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
     """A bitmap of fixed size with the bit ``key mod bits`` set for every 64-bit key.
 
     Used as a broadcast prefilter: a clear bit proves that a key is absent, a set bit proves
-    nothing, so an exact step always follows.  Blocks of 8192 bits are assembled by Spark; the
-    driver receives at most ``bits / 8`` bytes plus block numbers, whatever the data."""
+    nothing, so an exact step always follows.  Tasks assemble blocks of 8192 bits; the driver
+    receives each block once, at most ``bits / 8`` bytes in all, whatever the data."""
     block = 8192
 
-    def assemble(batches):
-        for batch in batches:
-            table = pa.Table.from_batches([batch]).to_pandas()
-            marks, rows = [], []
-            for number, group in table.groupby("block"):
-                mark = np.zeros(block, np.uint8)
-                mark[np.concatenate([np.frombuffer(x, np.int16) for x in group["low"]]).astype(np.int64)] = 1
-                marks.append(np.packbits(mark, bitorder="little").tobytes())
-                rows.append(number)
-            yield pa.RecordBatch.from_pydict({"block": pa.array(rows, pa.int64()), "part": pa.array(marks, pa.binary())})
-
     def local(batches):
         for batch in batches:
             key = np.unique(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64) & (bits - 1))
@@ -131,10 +121,19 @@ def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
                 "block": pa.array(number[heads], pa.int64()),
                 "low": pa.array([low[a:b].tobytes() for a, b in zip(heads, ends)], pa.binary())})
 
+    def assemble(batches):
+        marks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, low in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                mark = marks.setdefault(number, np.zeros(block, np.uint8))
+                mark[np.frombuffer(low, np.int16)] = 1
+        yield pa.RecordBatch.from_pydict({
+            "block": pa.array(list(marks), pa.int64()),
+            "part": pa.array([np.packbits(m, bitorder="little").tobytes() for m in marks.values()], pa.binary())})
+
     parts = keys.select(F.col(column).cast("long")).na.drop().mapInArrow(local, "block long, low binary")
-    parts = parts.mapInArrow(assemble, "block long, part binary")
     out = np.zeros(bits // 8, np.uint8)
-    for row in parts.toLocalIterator():
+    for row in parts.repartition("block").mapInArrow(assemble, "block long, part binary").collect():
         at = row["block"] * (block // 8)
         out[at:at + block // 8] |= np.frombuffer(bytes(row["part"]), np.uint8)
     return out
@@ -269,3 +268,92 @@ def starts_inside(offsets: np.ndarray, width: int, n: int) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+# ---------------------------------------------------------------------------------------
+# texts by content
+# ---------------------------------------------------------------------------------------
+
+
+def digest(text: bytes) -> tuple[int, int]:
+    """128 bits that name a text, as two signed 64-bit numbers.  What an operator finds out about
+    a text depends on its content only, so it is keyed by this and not by a row."""
+    found = hashlib.blake2b(text, digest_size=16).digest()
+    return int.from_bytes(found[:8], "little", signed=True), int.from_bytes(found[8:], "little", signed=True)
+
+
+class Seen:
+    """Texts that this task has met, up to a bounded number; used to skip exact copies early."""
+
+    def __init__(self, remember: int = 100_000):
+        self.names: set = set()
+        self.remember = remember
+
+    def again(self, name) -> bool:
+        if name in self.names:
+            return True
+        if len(self.names) >= self.remember:
+            self.names.clear()
+        self.names.add(name)
+        return False
+
+
+def copies(docs: DataFrame, size_of, least: int) -> DataFrame:
+    """(t1, t2, copies) of texts of ``size_of(bytes) >= least`` that occur twice or more.  Counts
+    are combined before the shuffle, so a text with any number of copies is one row a task."""
+    def run(batches):
+        for _, data, offsets in chunks(batches, "text"):
+            body = data.tobytes()
+            names = [digest(t) for t in (body[a:b] for a, b in zip(offsets[:-1], offsets[1:])) if len(t) >= least and size_of(t) >= least]
+            yield pa.RecordBatch.from_pydict({"t1": pa.array([n[0] for n in names], pa.int64()), "t2": pa.array([n[1] for n in names], pa.int64())})
+
+    rows = docs.select("text").mapInArrow(run, "t1 long, t2 long")
+    return rows.groupBy("t1", "t2").agg(F.count("*").alias("copies")).where("copies > 1")
+
+
+def finish(docs: DataFrame, whole: DataFrame, covered: DataFrame, removed: Callable, size_of: Callable, kept_hash: Callable,
+           names: tuple[str, ...]) -> DataFrame:
+    """One row per document: doc_id, size, ``names`` counts and kept_sha256.
+
+    ``whole``: (t1, t2) of texts that are removed wholly; ``covered``: (t1, t2, found list) of the
+    others that lose something.  Only texts whose bit is set in a bitmap of ``covered`` travel with
+    their row; the join decides.  ``removed(text, found)`` gives (counts, kept_sha256)."""
+    marks = bitmap(covered, "t1")
+    kinds = docs.schema["doc_id"].dataType.simpleString()
+
+    def name(batches):
+        for part, data, offsets in chunks(batches, "text"):
+            body = data.tobytes()
+            texts = [body[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+            keys = [digest(t) for t in texts]
+            t1 = np.array([k[0] for k in keys], np.int64)
+            touched = in_bitmap(marks, t1.view(U64)) if len(t1) else np.zeros(0, bool)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": part.column(part.schema.get_field_index("doc_id")), "t1": pa.array(t1), "t2": pa.array([k[1] for k in keys], pa.int64()),
+                "size": pa.array([size_of(t) for t in texts], pa.int64()), "hash": pa.array([kept_hash(t) for t in texts], pa.string()),
+                "body": pa.array([t if hit else None for t, hit in zip(texts, touched)], pa.binary())})
+
+    rows = docs.select("doc_id", "text").mapInArrow(name, f"doc_id {kinds}, t1 long, t2 long, size long, hash string, body binary")
+    joined = rows.join(covered, ["t1", "t2"], "left").join(whole.select("t1", "t2", F.lit(True).alias("whole")), ["t1", "t2"], "left")
+    nothing = kept_hash(b"")
+
+    def settle(batches):
+        for batch in batches:
+            ids, size, sha, body, found, gone = (batch.column(i) for i in range(6))
+            counts, hashes = [], []
+            for n, h, text, at, all_gone in zip(size.to_pylist(), sha.to_pylist(), body, found, gone.to_pylist()):
+                if all_gone:
+                    counts.append((n, 1)[:len(names)])
+                    hashes.append(nothing)
+                elif at.is_valid:
+                    c, h = removed(text.as_py(), at.values)
+                    counts.append(c[:len(names)])
+                    hashes.append(h)
+                else:
+                    counts.append((0, 0)[:len(names)])
+                    hashes.append(h)
+            columns = [pa.array([c[i] for c in counts], pa.int64()) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([ids, size, *columns, pa.array(hashes, pa.string())], ["doc_id", "size", *names, "kept_sha256"])
+
+    return joined.select("doc_id", "size", "hash", "body", "found", "whole").mapInArrow(
+        settle, f"doc_id {kinds}, size long, " + ", ".join(f"{n} long" for n in names) + ", kept_sha256 string")

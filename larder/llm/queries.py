@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import common as C
-from larder.llm import mixing, nearest, packing, pii, toxicity
+from larder.llm import mixing, nearest, packing, pii, recompression, suffix_dedup, toxicity
 from larder.llm import quality_rules as quality
 
 
@@ -25,6 +25,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(C.read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.substring_dedup(C.read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op6_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.substring_dedup(C.read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(C.read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
@@ -46,6 +54,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op6_recompression": op6_recompression,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op9_nearest": op9_nearest,
