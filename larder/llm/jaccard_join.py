@@ -25,8 +25,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.llm import common as C
 
@@ -419,3 +420,42 @@ def similar_components(docs: DataFrame, params: JoinParams = JoinParams()) -> Da
     smallest = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component"))
     return rows.join(smallest, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
+    """``docs`` with one document of each component: the smallest doc_id (NULL last).  Documents
+    without words all stay, and of rows alike in doc_id and shingles one stays."""
+    rows = membership(docs, params)
+    best = Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "node")
+    first = (rows.where(F.col("root").isNotNull()).withColumn("place", F.row_number().over(best)).where("place = 1")
+             .select(F.col("doc_id").cast("string").alias("kept_id"), F.col("node").alias("kept_node")))
+    scratch = C.Scratch(docs.sparkSession, "representatives")
+    first = scratch.keep(first, "first")
+
+    def key(doc_id, node) -> int:
+        return C.digest(f"{doc_id}:{node}".encode())[0]
+
+    def keys(batches):
+        for batch in batches:
+            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_pydict({"key": pa.array([key(*p) for p in pairs], pa.int64())})
+
+    marks = C.bitmap(first.mapInArrow(keys, "key long"), "key")
+    names = docs.columns
+    id_at = names.index("doc_id")
+
+    def name(batches):
+        # a clear bit proves that a row is not kept: copies are dropped before any shuffle
+        for part, data, offsets in C.chunks(batches, "text"):
+            nodes = [node_of(s) if len(s) else None for s in shingle_sets(data, offsets, params.width)]
+            own = np.array([key(i, n) for i, n in zip(part.column(id_at).to_pylist(), nodes)], np.int64)
+            stay = C.in_bitmap(marks, own.view(U64)) | np.array([n is None for n in nodes]) if len(own) else np.zeros(0, bool)
+            named = pa.RecordBatch.from_arrays([*part.columns, pa.array(nodes, pa.int64())], [*names, "_jaccard_node"])
+            yield named.filter(pa.array(stay))
+
+    named = docs.mapInArrow(name, T.StructType([*docs.schema.fields, T.StructField("_jaccard_node", T.LongType())]))
+    found = (named.where(F.col("_jaccard_node").isNotNull()).join(first, F.col("_jaccard_node") == F.col("kept_node"))
+             .where(F.col("doc_id").cast("string").eqNullSafe(F.col("kept_id"))))
+    alike = Window.partitionBy("_jaccard_node").orderBy(F.xxhash64("text"))
+    found = found.withColumn("_jaccard_place", F.row_number().over(alike)).where("_jaccard_place = 1")
+    return found.select(*names).unionByName(named.where(F.col("_jaccard_node").isNull()).select(*names))

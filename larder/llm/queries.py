@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import common as C
-from larder.llm import jaccard_join, mixing, nearest, packing, pii, recompression, suffix_dedup, toxicity
+from larder.llm import html_extract, jaccard_join, mixing, nearest, packing, pii, recompression, suffix_dedup, toxicity
 from larder.llm import quality_rules as quality
 
 
@@ -33,6 +33,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(C.read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(C.read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op6_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.substring_dedup(C.read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_html_extract": op5_html_extract,
     "op6_recompression": op6_recompression,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
