@@ -167,47 +167,56 @@ class FieldParams:
     #: A candidate is added when some kind has at least this marginal.
     accept: float = 0.6
     smoothing: float = 0.5
+    #: Share of each feature's log ratio that counts.
+    feature_share: float = 0.2
+    #: Agreements believed before any count, between similar and between same mentions.
+    similar_belief: float = 20.0
+    same_belief: float = 5_000.0
+    strongest: float = 12.0
 
 
 @dataclass
 class Field:
-    """Log potentials: of a feature under each label, of the labels, of neighbours, of skips."""
+    """Log potentials: of a feature under each label, of the labels, of neighbours, of skips
+    between similar mentions and between mentions with the same content."""
 
     unary: dict[str, np.ndarray]
     prior: np.ndarray
     chain: np.ndarray
-    skip: np.ndarray
+    similar: np.ndarray
+    same: np.ndarray
 
     def node(self, text: str) -> np.ndarray:
         return self.prior + sum((self.unary[f] for f in features(text) if f in self.unary), np.zeros(LABELS))
 
 
-def edges(texts: list[str]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """(chain, skip) edges.  Skips join each mention to the previous one with the same key, so
-    their number is linear in the mentions."""
+def edges(texts: list[str]) -> list[tuple[int, int, str]]:
+    """(mention, later mention, kind of edge).  Skips join each mention to the previous one with
+    the same key, so their number is linear in the mentions."""
     last: dict[str, int] = {}
-    skips = set()
+    skips: dict[tuple[int, int], str] = {}
     for i, text in enumerate(texts):
         for key in similarity_keys(text):
             if key in last:
-                skips.add((last[key], i))
+                skips.setdefault((last[key], i), "same" if key[0] == "=" else "similar")
             last[key] = i
-    return [(i, i + 1) for i in range(len(texts) - 1)], sorted(skips)
+    return [(i, i + 1, "chain") for i in range(len(texts) - 1)] + [(i, j, kind) for (i, j), kind in sorted(skips.items())]
 
 
-def marginals(unary: np.ndarray, clamped: np.ndarray, chain: list, skip: list, field: Field, params: FieldParams) -> np.ndarray:
+def marginals(unary: np.ndarray, clamped: np.ndarray, joined: list[tuple[int, int, str]], field: Field, params: FieldParams) -> np.ndarray:
     """Loopy sum-product message passing; ``clamped`` is a label or -1 by node."""
     score = unary.copy()
     for i in np.flatnonzero(clamped >= 0):
         score[i] = -1e3
         score[i, clamped[i]] = 0
-    a = np.array([e[0] for e in chain + skip] + [e[1] for e in chain + skip], np.int64)
-    b = np.array([e[1] for e in chain + skip] + [e[0] for e in chain + skip], np.int64)
+    a = np.array([e[0] for e in joined] + [e[1] for e in joined], np.int64)
+    b = np.array([e[1] for e in joined] + [e[0] for e in joined], np.int64)
     if not len(a):
         p = np.exp(score - score.max(1, keepdims=True))
         return p / p.sum(1, keepdims=True)
     half = len(a) // 2
-    table = np.stack([field.chain] * len(chain) + [field.skip] * len(skip))
+    tables = {"chain": field.chain, "similar": field.similar, "same": field.same}
+    table = np.stack([tables[e[2]] for e in joined])
     table = np.concatenate([table, table.transpose(0, 2, 1)])
     message = np.zeros((len(a), LABELS))
     back = np.r_[np.arange(half, 2 * half), np.arange(half)]
@@ -244,7 +253,7 @@ def evidence(docs: DataFrame) -> DataFrame:
     """Counts over the corpus behind the potentials: (what, key, label, other, n)."""
 
     def run(batches):
-        unary, prior, chain, skip = Counter(), Counter(), Counter(), Counter()
+        unary, prior, pairs = Counter(), Counter(), Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if not text or not ("@" in text or _DIGIT.search(text) or " at " in text):
@@ -255,12 +264,11 @@ def evidence(docs: DataFrame) -> DataFrame:
                 for (kind, _, _), said in zip(nodes, texts):
                     prior[kind] += 1
                     unary.update((f, kind) for f in features(said))
-                own, far = edges(texts)
-                chain.update((nodes[i][0], nodes[j][0]) for i, j in own)
-                # only pairs of clamped nodes say how labels of like mentions agree
-                skip.update((nodes[i][0], nodes[j][0]) for i, j in far if NONE not in (nodes[i][0], nodes[j][0]))
+                # only pairs of base matches say how the labels of like mentions agree
+                pairs.update((what, nodes[i][0], nodes[j][0]) for i, j, what in edges(texts)
+                             if what == "chain" or NONE not in (nodes[i][0], nodes[j][0]))
         rows = [("unary", f, k, 0, n) for (f, k), n in unary.items()] + [("prior", "", k, 0, n) for k, n in prior.items()]
-        rows += [("chain", "", i, j, n) for (i, j), n in chain.items()] + [("skip", "", i, j, n) for (i, j), n in skip.items()]
+        rows += [(what, "", i, j, n) for (what, i, j), n in pairs.items()]
         if rows:
             kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["what", "key", "label", "other", "n"])
@@ -273,7 +281,8 @@ def fit(docs: DataFrame, params: FieldParams = FieldParams()) -> Field:
     """Potentials from the counts of all of ``docs``.  The number of features is bounded by the
     shapes that ``features`` can name, so the collected table is small whatever the corpus."""
     s = params.smoothing
-    prior, chain, skip = np.full(LABELS, s), np.full((LABELS, LABELS), s), np.full((LABELS, LABELS), s)
+    prior = np.full(LABELS, s)
+    pairs = {what: np.full((LABELS, LABELS), s) for what in ("chain", "similar", "same")}
     unary: dict[str, np.ndarray] = defaultdict(lambda: np.full(LABELS, s))
     for r in evidence(docs).collect():
         if r["what"] == "unary":
@@ -281,16 +290,19 @@ def fit(docs: DataFrame, params: FieldParams = FieldParams()) -> Field:
         elif r["what"] == "prior":
             prior[r["label"]] += r["n"]
         else:
-            (chain if r["what"] == "chain" else skip)[r["label"], r["other"]] += r["n"]
+            pairs[r["what"]][r["label"], r["other"]] += r["n"]
     label = prior / prior.sum()
-    skip = skip + skip.T + np.eye(LABELS) * 20
-    skip[NONE, :NONE] = skip[:NONE, NONE] = s  # unseen by construction: like mentions differ rarely
-    # features are shape descriptions of one string, far from independent: their mean counts
-    scale = 1.0 / 3.0
-    return Field(
-        {f: scale * np.log(n / prior) for f, n in unary.items()}, np.log(label),
-        np.log(chain / chain.sum() / np.outer(chain.sum(1), chain.sum(0)) * chain.sum() ** 2) * scale,
-        np.log(skip / skip.sum() / np.outer(label, label)).clip(-6, 6))
+
+    def agree(counts: np.ndarray, belief: float) -> np.ndarray:
+        # a prior belief that like mentions agree, then what the corpus says of base matches
+        counts = counts + counts.T + np.eye(LABELS) * belief
+        return np.log(counts / counts.sum() / np.outer(label, label)).clip(-params.strongest, params.strongest)
+
+    chain = pairs["chain"]
+    lift = chain * chain.sum() / np.outer(chain.sum(1), chain.sum(0))
+    # features all describe one string, far from independent: their logs are averaged in part
+    return Field({f: params.feature_share * np.log(n / prior) for f, n in unary.items()}, np.log(label), params.feature_share * np.log(lift),
+                 agree(pairs["similar"], params.similar_belief), agree(pairs["same"], params.same_belief))
 
 
 def find(text: str | None, field: Field, params: FieldParams = FieldParams()) -> tuple[list[Span], list[Span]]:
@@ -304,7 +316,7 @@ def find(text: str | None, field: Field, params: FieldParams = FieldParams()) ->
     nodes = sorted(base + more, key=lambda s: (s[1], s[0]))
     texts = [text[a:b] for _, a, b in nodes]
     clamped = np.array([k if k != NONE else -1 for k, _, _ in nodes])
-    p = marginals(np.stack([field.node(t) for t in texts]), clamped, *edges(texts), field, params)
+    p = marginals(np.stack([field.node(t) for t in texts]), clamped, edges(texts), field, params)
     added = []
     for i in np.flatnonzero(clamped < 0):
         kind = int(p[i, :NONE].argmax())
