@@ -15,6 +15,7 @@ Defined results
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import defaultdict
 from dataclasses import dataclass
@@ -51,23 +52,55 @@ class PackingParams:
 # ---------------------------------------------------------------------------------------
 
 
-def _token_memory(path: str, remember: int = 400_000):
-    """word bytes -> its ids as little-endian unsigned 32-bit bytes.  The tokenizer drops white
-    space and never joins across it, so a text's ids are its words' ids in a row."""
-    from tokenizers import Tokenizer
+class Vocabulary:
+    """Ids of words as little-endian unsigned 32-bit bytes.
 
-    tokenizer = Tokenizer.from_file(path)
+    The tokenizer drops white space and never joins across it, so a text's ids are its words' ids
+    in a row.  It also never joins letters or digits with the signs after them and reads ASCII
+    letters in lower case, so words are looked up without a trailing comma or stop and in lower
+    case.  One per tokenizer file and Python worker, of bounded size."""
 
-    class Memory(dict):
-        def __missing__(self, word: bytes) -> bytes:
-            ids = tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-            out = np.asarray(ids, "<u4").tobytes()
-            if len(self) >= remember:
-                self.clear()
-            self[word] = out
-            return out
+    known: dict[str, Vocabulary] = {}
 
-    return Memory()
+    def __init__(self, path: str, remember: int = 1_000_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        self.remember = remember
+        self.ids: dict[bytes, bytes] = {}
+
+    @classmethod
+    def of(cls, path: str) -> Vocabulary:
+        if path not in cls.known:
+            cls.known[path] = cls(path)
+        return cls.known[path]
+
+    @staticmethod
+    def parts(word: bytes) -> tuple[bytes, bytes]:
+        """(what is looked up, signs after it); a word that may hold a special token stays whole."""
+        if b"<|" in word:
+            return word, b""
+        core = word.rstrip(b".,")
+        if core == word or not core or not core[-1:].isalnum():
+            core, tail = word, b""
+        else:
+            tail = word[len(core):]
+        return (core.lower() if core.isascii() else core), tail
+
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of every word of the set."""
+        if len(self.ids) > self.remember:
+            self.ids.clear()
+        split = {w: self.parts(w) for w in words}
+        new = list({p for pair in split.values() for p in pair if p and p not in self.ids})
+        for start in range(0, len(new), 10_000):
+            some = new[start:start + 10_000]
+            for word, found in zip(some, self.encode([w.decode("utf-8") for w in some], add_special_tokens=False)):
+                self.ids[word] = np.asarray(found.ids, "<u4").tobytes()
+        self.ids[b""] = b""
+        return {w: self.ids[core] + self.ids[tail] for w, (core, tail) in split.items()}
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -75,13 +108,15 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
     cut every ``capacity`` ids.  ``with_ids`` adds the ids themselves."""
 
     def run(batches):
-        memory = _token_memory(tokenizer_path)
+        vocabulary = Vocabulary.of(tokenizer_path)
         end = np.asarray([END], "<u4").tobytes()
         for part, data, offsets in C.chunks(batches, "text"):
             body, rows = data.tobytes(), []
             ids = part.column(part.schema.get_field_index("doc_id")).to_pylist()
-            for i, doc_id in enumerate(ids):
-                tokens = b"".join(map(memory.__getitem__, body[offsets[i]:offsets[i + 1]].split())) + end
+            texts = [body[a:b].split() for a, b in zip(offsets[:-1], offsets[1:])]
+            memory = vocabulary.learn(set().union(*texts))
+            for doc_id, words in zip(ids, texts):
+                tokens = b"".join(map(memory.__getitem__, words)) + end
                 for piece, start in enumerate(range(0, len(tokens) // 4, capacity)):
                     own = tokens[4 * start:4 * (start + capacity)]
                     row = (doc_id, piece, start, len(own) // 4, zlib.crc32(own))
