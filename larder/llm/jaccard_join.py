@@ -428,7 +428,7 @@ def one_of_each(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame
     rows = membership(docs, params)
     best = Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "node")
     first = (rows.where(F.col("root").isNotNull()).withColumn("place", F.row_number().over(best)).where("place = 1")
-             .select(F.col("doc_id").cast("string").alias("kept_id"), F.col("node").alias("kept_node")))
+             .select(F.col("doc_id").cast("string").alias("_jaccard_kept_id"), F.col("node").alias("_jaccard_kept_node")))
     scratch = C.Scratch(docs.sparkSession, "representatives")
     first = scratch.keep(first, "first")
 
@@ -454,8 +454,8 @@ def one_of_each(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame
             yield named.filter(pa.array(stay))
 
     named = docs.mapInArrow(name, T.StructType([*docs.schema.fields, T.StructField("_jaccard_node", T.LongType())]))
-    found = (named.where(F.col("_jaccard_node").isNotNull()).join(first, F.col("_jaccard_node") == F.col("kept_node"))
-             .where(F.col("doc_id").cast("string").eqNullSafe(F.col("kept_id"))))
+    found = (named.where(F.col("_jaccard_node").isNotNull()).join(first, F.col("_jaccard_node") == F.col("_jaccard_kept_node"))
+             .where(F.col("doc_id").cast("string").eqNullSafe(F.col("_jaccard_kept_id"))))
     alike = Window.partitionBy("_jaccard_node").orderBy(F.xxhash64("text"))
     found = found.withColumn("_jaccard_place", F.row_number().over(alike)).where("_jaccard_place = 1")
     return found.select(*names).unionByName(named.where(F.col("_jaccard_node").isNull()).select(*names))
