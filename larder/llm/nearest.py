@@ -55,9 +55,9 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
         for i in range(d):
             swap = (x[0] ^ x[i]) & low
             inverted = (x[i] & q) != 0
-            x[0], x[i] = np.where(inverted, x[0] ^ low, x[0] ^ swap), np.where(inverted, x[i], x[i] ^ swap)
-            if i == 0:
-                x[0] = x[i]
+            first = np.where(inverted, x[0] ^ low, x[0] ^ swap)
+            x[i] = np.where(inverted, x[i], x[i] ^ swap)
+            x[0] = first
         q >>= 1
     for i in range(1, d):
         x[i] = x[i] ^ x[i - 1]
