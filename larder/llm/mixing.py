@@ -144,9 +144,9 @@ def mix(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
 
 def select_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """``docs`` with every row as often as the mix takes it (rows it does not take are absent)."""
-    taken = (mix(docs, params).where("copies > 0").groupBy(F.col("doc_id").alias("_mix_id"), F.col("n_tokens").alias("_mix_tokens"),
+    taken = (mix(docs, params).groupBy(F.col("doc_id").alias("_mix_id"), F.col("n_tokens").alias("_mix_tokens"),
                                                             *[F.col(c).alias(f"_mix_{i}") for i, c in enumerate(params.levels)])
-             .agg(F.sum("copies").alias("_mix_copies"), F.count("*").alias("_mix_rows")))
+             .agg(F.sum("copies").alias("_mix_copies"), F.count("*").alias("_mix_rows")).where("_mix_copies > 0"))
     own = docs.select("*", n_tokens().alias("_mix_n"), *[c.alias(f"_mix_own_{i}") for i, c in enumerate(level_columns(docs, params))])
     match = own["doc_id"].cast("long").eqNullSafe(taken["_mix_id"]) & (own["_mix_n"] == taken["_mix_tokens"])
     for i in range(len(params.levels)):
