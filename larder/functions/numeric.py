@@ -35,3 +35,8 @@ def strict_ratio(num: Column, den: Column, full: Column) -> Column:
     """Ratio for strict windows: ``num / den`` when the frame is ``full`` and ``den != 0``,
     else 0.0."""
     return F.when(full & (den != F.lit(0)), num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))
+
+
+def grouped_number(col: Column | str) -> Column:
+    """Number -> text with thousands separators and one decimal, as ``1,234.5``; NULL stays NULL."""
+    return F.format_number(F.col(col) if isinstance(col, str) else col, 1)

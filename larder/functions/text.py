@@ -30,6 +30,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+ITEM_KEY_PREFIX = "item-"
+
 _ASCII_ALNUM = re.compile(r"[^a-zA-Z0-9]")
 
 
@@ -95,6 +97,13 @@ def display_name(col: Column | str) -> Column:
 
 
 def item_key(col: Column | str) -> Column:
-    """Item name -> path-safe key: spaces become ``_``."""
+    """Item name -> partition key: the name itself behind a fixed prefix, so that different
+    names never share a key and a key is never empty or read back as a number or date.  Spark
+    escapes characters that a path cannot hold."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.replace(c, F.lit(" "), F.lit("_"))
+    return F.concat(F.lit(ITEM_KEY_PREFIX), c)
+
+
+def quoted(name: str) -> str:
+    """A column name as an identifier, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"

@@ -11,18 +11,13 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TIME_SLOTS = (("Morning", 6, 11), ("Noon", 11, 14), ("Evening", 17, 21))
 OTHER_SLOT = "Night"
 
-# Layouts understood by the lenient parser (own choice, not a reference value): the shape
-# of the text (a regular expression) picks the one pattern to parse it with.  The shapes do
-# not overlap, so this equals trying the patterns in turn, without paying for failed parses.
-LENIENT_FORMATS = (
-    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
-    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{6}$", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
-    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$", "yyyy-MM-dd HH:mm"),
-    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
-    (r"^\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}$", "yyyy/MM/dd HH:mm:ss"),
-    (r"^\d{4}/\d{2}/\d{2}$", "yyyy/MM/dd"),
-)
+# The lenient parser's layouts (own choice): a date as year-month-day (``-`` or ``/``, one or two
+# digits), as eight digits or as month/day/year, then optionally a time of day with seconds, a
+# fraction of 1 to 9 digits and a zone.  Wall-clock time is kept, the zone is not applied.
+_EIGHT_DIGITS = r"^\s*(\d{4})(\d{2})(\d{2})(?=\D|$)"
+_MONTH_FIRST = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})(?=\D|$)"
+_LAYOUT = (r"^\s*(\d{4})[-/](\d{1,2})[-/](\d{1,2})"
+           r"(?:(?:T|\s+)(\d{1,2}):(\d{2})(?::(\d{2})(?:\.(\d{1,9}))?)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?\s*$")
 
 
 def _col(col: Column | str) -> Column:
@@ -36,20 +31,22 @@ def _parse_ntz(c: Column, fmt: str) -> Column:
     return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))
 
 
-def parse_timestamp(col: Column | str, fmt: str = TIMESTAMP_FORMAT) -> Column:
+def parse_timestamp(col: Column | str, fmt: str = TIMESTAMP_FORMAT, text: bool = True) -> Column:
     """Text in ``fmt`` -> TIMESTAMP_NTZ (wall-clock time, no zone); anything else -> NULL.
-    A timestamp input passes through unchanged."""
-    return _parse_ntz(_col(col), fmt)
-
-
-def lenient_timestamp(col: Column | str, formats: tuple[tuple[str, str], ...] = LENIENT_FORMATS) -> Column:
-    """Text in any of several layouts -> TIMESTAMP_NTZ; unknown layout or invalid value -> NULL."""
-    c = _col(col)
-    out = None
-    for shape, fmt in formats:
-        parsed = _parse_ntz(c, fmt)
-        out = F.when(c.rlike(shape), parsed) if out is None else out.when(c.rlike(shape), parsed)
-    return out
+    ``text=False`` is for a DATE or timestamp input, whose wall-clock time is kept as it is."""
+    return _parse_ntz(_col(col), fmt) if text else _col(col).cast("timestamp_ntz")
+
+
+def lenient_timestamp(col: Column | str) -> Column:
+    """Text in any of the layouts above -> TIMESTAMP_NTZ; unknown layout or invalid value -> NULL."""
+    c = F.regexp_replace(_col(col), _EIGHT_DIGITS, "$1-$2-$3")
+    c = F.regexp_replace(c, _MONTH_FIRST, "$3-$1-$2")
+    part = [F.regexp_extract(c, _LAYOUT, i) for i in range(1, 8)]
+    clock = [F.when(p == "", F.lit("0")).otherwise(p) for p in part[3:6]]
+    fraction = F.substring(F.rpad(part[6], 6, "0"), 1, 6)
+    whole = F.concat(part[0], F.lit("-"), part[1], F.lit("-"), part[2], F.lit(" "), clock[0], F.lit(":"), clock[1], F.lit(":"), clock[2],
+                     F.lit("."), F.when(part[6] == "", F.lit("000000")).otherwise(fraction))
+    return F.when(c.rlike(_LAYOUT), _parse_ntz(whole, "yyyy-M-d H:m:s.SSSSSS"))
 
 
 def time_slot(hour: Column | str) -> Column:

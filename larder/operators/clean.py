@@ -35,9 +35,11 @@ def clean_numeric_columns(df: DataFrame, defaults: dict[str, int | float],
 
 def parse_timestamp_columns(df: DataFrame, columns: tuple[str, ...],
                             fmt: str = TIMESTAMP_FORMAT) -> DataFrame:
-    """Parse each column and add ``{c}_date`` and ``{c}_hour`` next to it; bad text -> NULL."""
+    """Parse each column and add ``{c}_date`` and ``{c}_hour`` next to it; bad text -> NULL.
+    Columns that are timestamps or dates already keep their wall-clock time."""
+    is_text = {f.name: isinstance(f.dataType, T.StringType) for f in df.schema.fields}
     for c in [c for c in columns if c in df.columns]:
-        df = df.withColumn(c, parse_timestamp(c, fmt))
+        df = df.withColumn(c, parse_timestamp(c, fmt, text=is_text[c]))
         df = df.withColumns({f"{c}_date": F.to_date(c), f"{c}_hour": F.hour(c)})
     return df
 

@@ -9,19 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.functions.text import display_name, item_key
+from larder.functions.text import display_name, quoted
 from larder.functions.timecols import month_key
 
-MAX_WIDE_ITEMS = 10_000  # Spark's own default limit on pivot values
-
 
 def regression_metrics(df: DataFrame, label: str = "y_sales", prediction: str = "prediction",
                        item_col: str = "dish_name") -> DataFrame:
     """(item, MAE, RMSE, R2) per item in one aggregation.  R2 = 1 - SSE/SST with
     SST = n * population variance of the label; NULL when the label is constant."""
     err = F.col(label).cast("double") - F.col(prediction).cast("double")
+    # rows without a prediction count in neither sum
+    scored = F.when(F.col(prediction).isNotNull(), F.col(label).cast("double"))
     sse = F.sum(err * err)
-    sst = F.var_pop(F.col(label).cast("double")) * F.count(F.col(label))
+    sst = F.var_pop(scored) * F.count(scored)
     return df.groupBy(item_col).agg(
         F.avg(F.abs(err)).alias("MAE"),
         F.sqrt(F.avg(err * err)).alias("RMSE"),
@@ -37,24 +37,20 @@ def mean_baseline(split_df: DataFrame, label: str = "y_sales", item_col: str = "
     return split_df.withColumn("prediction", train_mean)
 
 
-def item_list(df: DataFrame, item_col: str = "dish_name", limit: int = MAX_WIDE_ITEMS) -> list[str]:
-    """Sorted distinct item names, for the columns of a wide table.  Bounded: raises when
-    there are more than ``limit`` items (a wide table is a display format for a menu)."""
-    names = [r[0] for r in df.select(item_col).where(F.col(item_col).isNotNull())
-             .distinct().orderBy(item_col).limit(limit + 1).collect()]
-    if len(names) > limit:
-        raise ValueError(f"more than {limit} items: use the long table")
-    return names
-
-
-def to_wide(long_df: DataFrame, items: list[str] | None = None, item_col: str = "dish_name",
+def to_wide(long_df: DataFrame, columns: dict[str, str], item_col: str = "dish_name",
             value_col: str = "prediction", date_col: str = "time_date") -> DataFrame:
-    """Long -> wide: one row per day, one column per item key (spaces -> ``_``), plus the
-    ``yyyyMM`` month.  Equal to an outer merge of per-item tables on the day, because
-    (day, item) is unique.  Pass ``items`` to skip the distinct-items job."""
-    keyed = long_df.withColumn("_key", item_key(item_col))
-    keys = items if items is not None else item_list(keyed, "_key")
-    wide = keyed.groupBy(date_col).pivot("_key", keys).agg(F.first(value_col))
+    """Long -> wide, a display format: one row per day and one column per item of ``columns``
+    (item name -> column name, the caller's own list), plus the ``yyyyMM`` month.
+
+    Raises for two items with one column name and for a column named like the day or the month;
+    the query fails if a day has two values of one item.  Items not listed are left out."""
+    names = list(columns.values())
+    if len(set(names)) < len(names) or {date_col, "month"} & set(names):
+        raise ValueError("column names must be unique and differ from the day and month columns")
+    value = (F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("two values for one day and item")).cast("double"))
+             .otherwise(F.max(F.col(value_col).cast("double"))))
+    wide = long_df.groupBy(date_col).pivot(item_col, list(columns)).agg(value)
+    wide = wide.select(date_col, *[F.col(quoted(item)).alias(name) for item, name in columns.items()])
     return wide.withColumn("month", month_key(date_col))
 
 
@@ -62,8 +58,8 @@ def to_long(wide_df: DataFrame, item_col: str = "dish_name", value_col: str = "p
             date_col: str = "time_date", id_cols: tuple[str, ...] = ("month",)) -> DataFrame:
     """Wide -> long.  ``month`` is an id column, never an item; empty cells are dropped."""
     ids = [date_col, *[c for c in id_cols if c in wide_df.columns]]
-    values = [c for c in wide_df.columns if c not in ids]
-    return (wide_df.unpivot(ids, values, item_col, value_col)
+    values = [F.col(quoted(c)) for c in wide_df.columns if c not in ids]
+    return (wide_df.unpivot([F.col(quoted(c)) for c in ids], values, item_col, value_col)
             .where(F.col(value_col).isNotNull()))
 
 
@@ -77,8 +73,11 @@ def month_mean(long_df: DataFrame, item_col: str = "dish_name", value_col: str =
 def day_vs_month(long_df: DataFrame, item_col: str = "dish_name", value_col: str = "prediction",
                  date_col: str = "time_date", day: str | None = None) -> DataFrame:
     """Each day's value next to the item's mean over that month, with a display name.
-    The window holds one item-month (at most 31 rows).  ``day`` keeps one calendar day."""
-    month = month_key(date_col)
+    The window holds one item-month (at most 31 rows).  ``day`` (``yyyy-MM-dd``) keeps one calendar
+    day; only its month is read, by partition where the table has a ``month`` column."""
+    month = F.col("month") if "month" in long_df.columns else month_key(date_col)
+    if day is not None:
+        long_df = long_df.where(month == F.lit(day[:7].replace("-", "")))
     w = Window.partitionBy(month, F.col(item_col))
     out = long_df.select(
         F.col(date_col), month.alias("month"), F.col(item_col),

@@ -4,12 +4,20 @@ per-pair jobs), reshaped to a long table with ``explode`` of a literal array of
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Types counted as numeric by the profiler (Short, Byte and Decimal are not).
+from larder.functions.text import quoted
+
+# Types counted as numeric by the profiler (Short, Byte and Decimal are not), and the
+# statistics of the numeric profile with their column suffixes.
 NUMERIC_TYPES = (T.IntegerType, T.LongType, T.DoubleType, T.FloatType)
+STATISTICS = (("minimum", F.min), ("maximum", F.max), ("avg", F.avg), ("std", F.stddev_samp))
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -41,7 +49,7 @@ def missing_percentage(df: DataFrame) -> DataFrame:
     """(column_name, missing_pct): percentage of NULLs (NaN is not missing), rounded half-up
     to 2 decimals with integer arithmetic; NULL for an empty input."""
     cols = df.columns
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.count(F.col(c)).alias(f"_c{i}") for i, c in enumerate(cols)]
+    aggs = [F.count(F.lit(1)).alias("_n")] + [F.count(quoted(c)).alias(f"_c{i}") for i, c in enumerate(cols)]
     counted = df.agg(*aggs)
     n = F.col("_n")
     return _long(counted, [(c, [F.when(n > 0, F.expr(f"(20000 * (_n - _c{i}) + _n) div (2 * _n)")
@@ -55,11 +63,7 @@ def numeric_profile(df: DataFrame) -> DataFrame:
     cols = numeric_columns(df)
     if not cols:
         return df.sparkSession.createDataFrame([], T.StructType([]))
-    aggs = []
-    for c in cols:
-        aggs += [F.min(c).alias(f"{c}_minimum"), F.max(c).alias(f"{c}_maximum"),
-                 F.avg(c).alias(f"{c}_avg"), F.stddev_samp(c).alias(f"{c}_std")]
-    return df.agg(*aggs)
+    return df.agg(*[measure(quoted(c)).alias(f"{c}_{suffix}") for c in cols for suffix, measure in STATISTICS])
 
 
 def cardinality(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
@@ -68,8 +72,8 @@ def cardinality(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataF
     cols = string_columns(df)
     aggs = []
     for i, c in enumerate(cols):
-        d = F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
-        aggs += [d.alias(f"_d{i}"), F.max(F.col(c).isNull().cast("int")).alias(f"_z{i}")]
+        d = F.approx_count_distinct(quoted(c), rsd) if approx else F.count_distinct(F.col(quoted(c)))
+        aggs += [d.alias(f"_d{i}"), F.max(F.col(quoted(c)).isNull().cast("int")).alias(f"_z{i}")]
     counted = df.agg(*aggs) if aggs else None
     if counted is None:
         return df.sparkSession.createDataFrame([], "column_name string, n_distinct bigint")
@@ -79,14 +83,20 @@ def cardinality(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataF
 
 def correlations(df: DataFrame) -> DataFrame:
     """(pair, corr) for every pair ``c1__c2`` of numeric columns (i < j), Pearson, NULL read
-    as 0.0.  A constant column or an empty input gives NULL instead of failing."""
+    as 0.0.  A constant column or an empty input gives NULL instead of failing.
+
+    One aggregation of a vector per row computes all pairs, however many columns there are; the
+    driver receives the matrix, one number per pair."""
     cols = numeric_columns(df)
-    x = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols}
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    schema = "pair string, corr double"
     if not pairs:
-        return df.sparkSession.createDataFrame([], "pair string, corr double")
-    aggs = [F.try_divide(F.covar_pop(x[a], x[b]), F.stddev_pop(x[a]) * F.stddev_pop(x[b])).alias(f"_r{i}")
-            for i, (a, b) in enumerate(pairs)]
-    counted = df.agg(*aggs)
-    out = _long(counted, [(f"{a}__{b}", [F.col(f"_r{i}").alias("corr")]) for i, (a, b) in enumerate(pairs)])
-    return out.withColumnRenamed("column_name", "pair")
+        return df.sparkSession.createDataFrame([], schema)
+    values = df.select(*[F.coalesce(F.col(quoted(c)).cast("double"), F.lit(0.0)).alias(f"c{i}") for i, c in enumerate(cols)])
+    vectors = VectorAssembler(inputCols=values.columns, outputCol="v", handleInvalid="keep").transform(values).select("v")
+    matrix = None if vectors.isEmpty() else Correlation.corr(vectors, "v").head()[0].toArray()
+
+    def cell(i: int, j: int) -> float | None:
+        return None if matrix is None or math.isnan(matrix[i, j]) else float(matrix[i, j])
+
+    return df.sparkSession.createDataFrame([(f"{cols[i]}__{cols[j]}", cell(i, j)) for i, j in pairs], schema)

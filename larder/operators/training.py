@@ -1,14 +1,13 @@
-"""Per-item gradient-boosted regression: fit with patience-based early stopping, evaluate,
-predict.
+"""Gradient-boosted regression over the feature store: one distributed fit for all items, or
+per-item models for a caller-given list; early stopping, save, load and predict.
 
-Each item gets its own Spark ML ``Pipeline(VectorAssembler, GBTRegressor)``.  Fits are
-distributed Spark jobs; several items are fitted at once from a small thread pool (Spark
-schedules concurrent jobs).  The input should be a materialised feature table (for example
-the Parquet feature store, partitioned by item) so that every fit reads only its item's
-partition and a lost executor costs a re-read, not a recomputation of the features.
+``fit_pooled`` trains one Spark ML ``Pipeline(VectorAssembler, GBTRegressor)`` over all items.  The
+item enters as its mean label over its train rows, so there is no limit on the number of items and
+an item without train rows has a defined input (the mean over all train rows).  Early stopping uses
+the valid rows inside the same fit.  The number of Spark jobs depends on the trees, not on items.
 
-For catalogues with thousands of items, ``fit_pooled`` trains one model over all items with
-the item as an extra feature: one distributed fit instead of thousands of small ones.
+``fit_item_models`` fits one model per item of a list the caller gives, with per-item settings
+(``params_from_config``), for a menu of bounded size.
 """
 
 from __future__ import annotations
@@ -17,9 +16,9 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +29,8 @@ NOT_FEATURES = ("y_sales", "time_date", "dish_name", "dish_key", "split", "month
 
 @dataclass(frozen=True)
 class BoostParams:
-    """Boosting settings.  Defaults are the command-line defaults of the original trainer."""
+    """Boosting settings."""
+    # The command-line defaults of the original trainer.
     n_estimators: int = 800
     max_depth: int = 7
     learning_rate: float = 0.03
@@ -110,17 +110,20 @@ def fit_item(rows: DataFrame, cols: list[str], p: BoostParams, label: str = "y_s
 def fit_item_models(features: DataFrame, items: list[str], params: dict[str, BoostParams] | None = None,
                     default: BoostParams = BoostParams(), item_col: str = "dish_name",
                     label: str = "y_sales", max_parallel: int = 4) -> dict[str, PipelineModel]:
-    """One model per item of ``items`` (a bounded menu), fitted concurrently.  ``features``
-    must carry the ``split`` column (``chrono_split``)."""
+    """One model per item of ``items`` (the caller's own list, a bounded menu), fitted
+    concurrently.  ``features`` must carry the ``split`` column (``chrono_split``).  Settings are
+    looked up by item name, with spaces as given or as ``_``.  Items without train rows get no
+    model and do not stop the others."""
     cols = feature_columns(features)
     params = params or {}
 
-    def one(item: str) -> tuple[str, PipelineModel]:
-        p = params.get(item.replace(" ", "_"), default)
-        return item, fit_item(features.where(F.col(item_col) == F.lit(item)), cols, p, label)
+    def one(item: str) -> tuple[str, PipelineModel | None]:
+        p = params.get(item, params.get(item.replace(" ", "_"), default))
+        rows = features.where(F.col(item_col) == F.lit(item))
+        return item, None if rows.where(F.col("split") == "train").isEmpty() else fit_item(rows, cols, p, label)
 
     with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
-        return dict(pool.map(one, items))
+        return {item: model for item, model in pool.map(one, items) if model is not None}
 
 
 def predict_items(features: DataFrame, models: dict[str, PipelineModel], item_col: str = "dish_name",
@@ -140,10 +143,49 @@ def predict_items(features: DataFrame, models: dict[str, PipelineModel], item_co
     return out
 
 
-def fit_pooled(features: DataFrame, p: BoostParams = BoostParams(), item_col: str = "dish_name",
-               label: str = "y_sales") -> PipelineModel:
-    """One model for all items (item index as a feature): one distributed fit."""
-    cols = feature_columns(features) + ["_item_index"]
-    indexer = StringIndexer(inputCol=item_col, outputCol="_item_index", handleInvalid="keep")
-    pipe = _pipeline(cols, p, label, p.n_estimators)
-    return Pipeline(stages=[indexer, *pipe.getStages()]).fit(features.where(F.col("split") == "train"))
+@dataclass
+class PooledModel:
+    """One model for all items: the fitted pipeline, the items' train means and the mean over all
+    train rows, which stands in for items without train rows."""
+    pipeline: PipelineModel
+    means: DataFrame
+    overall: float
+
+    def save(self, root: str) -> None:
+        self.pipeline.write().overwrite().save(f"{root}/pipeline")
+        self.means.withColumn("overall", F.lit(self.overall)).write.mode("overwrite").parquet(f"{root}/means")
+
+    @classmethod
+    def load(cls, spark: SparkSession, root: str) -> PooledModel:
+        means = spark.read.parquet(f"{root}/means")
+        overall = means.agg(F.max("overall")).head()[0]
+        return cls(PipelineModel.load(f"{root}/pipeline"), means.drop("overall"), overall)
+
+
+def _with_item_mean(features: DataFrame, means: DataFrame, overall: float, item_col: str) -> DataFrame:
+    return (features.join(means, item_col, "left")
+            .withColumn(ITEM_MEAN, F.coalesce(F.col(ITEM_MEAN), F.lit(float(overall)))))
+
+
+ITEM_MEAN = "_item_mean"
+
+
+def fit_pooled(features: DataFrame, p: BoostParams = BoostParams(stopping="tolerance"), item_col: str = "dish_name",
+               label: str = "y_sales") -> PooledModel:
+    """One distributed fit over the train rows of all items, stopping early on their valid rows.
+    ``features`` should be materialised (it is read once per boosting round)."""
+    cols = feature_columns(features) + [ITEM_MEAN]
+    train = features.where(F.col("split") == "train")
+    means = train.groupBy(item_col).agg(F.avg(F.col(label).cast("double")).alias(ITEM_MEAN))
+    overall = train.agg(F.avg(F.col(label).cast("double"))).head()[0]
+    if overall is None:
+        raise ValueError("no train rows")
+    rows = _with_item_mean(features.where(F.col("split").isin("train", "valid")), means, overall, item_col)
+    return PooledModel(fit_item(rows, cols, p, label), means, float(overall))
+
+
+def predict_pooled(features: DataFrame, model: PooledModel, item_col: str = "dish_name", date_col: str = "time_date",
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(time_date, dish_name, prediction)`` and the columns of ``keep`` for every row."""
+    scored = model.pipeline.transform(_with_item_mean(features, model.means, model.overall, item_col))
+    return scored.select(date_col, item_col, *keep, "prediction")

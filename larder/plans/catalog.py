@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import specs
-from larder.functions.text import item_key
+from larder.functions.numeric import grouped_number
+from larder.functions.text import display_name
 from larder.functions.timecols import calendar_columns
 from larder.operators import clean, forecast, profile, reports, training
 from larder.operators import features as feat
 from larder.operators.star import star_join
 from larder.session import scratch_path
-from larder.sources import files
+from larder.sources import files, models
 from larder.streaming import standardize as streams
 from larder.plans.testdata import (order_detail_table, order_table,
                                    star_tables, table)
@@ -46,8 +47,7 @@ def q_daily_item(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_daily_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = star(spark, sf_dir)
-    return feat.daily_share(feat.daily_item(s), feat.daily_context(s))
+    return feat.daily_item_with_context(star(spark, sf_dir))
 
 
 def q_rolling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +169,53 @@ def q_standardize_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.standardize(raw_order(spark, sf_dir), specs.ORDER)
 
 
+def q_standardize_order_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose time is a timestamp already: wall-clock time is kept in any session zone."""
+    o = order_table(spark, sf_dir)
+    when = F.col("time") + F.make_dt_interval(hours=(F.col("order_id") % 24).cast("int"))
+    return clean.standardize(o.select("order_id", when.alias("time"), "total_price", "quantity"), specs.ORDER)
+
+
+def dirty_name(col: str) -> F.Column:
+    return F.when(F.length(col) % 7 == 0, F.lit(" ")).otherwise(F.concat(F.lit(" "), F.translate(F.upper(col), "AEIOU", "ÁÊÌÕÜ")))
+
+
+def q_standardize_dish_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as recipe lines: dirty ingredient names, units and quantities."""
+    p = table(spark, sf_dir, "part")
+    raw = p.select(F.col("p_partkey").alias("id"), F.col("p_partkey").alias("dish_id"), F.col("p_size").cast("bigint").alias("ingredient_id"),
+                   dirty_name("p_name").alias("ingredient_name"),
+                   F.when(F.col("p_size") % 5 == 0, F.lit("x")).otherwise(F.col("p_size").cast("string")).alias("quantity"),
+                   F.when(F.col("p_size") % 3 == 0, F.lit(None).cast("string")).otherwise(F.upper("p_type")).alias("unit"))
+    return clean.standardize(raw.unionByName(raw), specs.DISH_DETAIL)
+
+
+def q_standardize_ingredient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    raw = p.select(F.col("p_partkey").alias("id"), F.col("p_size").cast("bigint").alias("ingredient_id"), dirty_name("p_name").alias("ingredient_name"))
+    return clean.standardize(raw.unionByName(raw), specs.INGREDIENT)
+
+
+def q_standardize_order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their item's dirty name, quantities and prices as text."""
+    li = table(spark, sf_dir, "lineitem")
+    raw = li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("dish_id"),
+                    dirty_name("l_linestatus").alias("dish_name"), F.col("l_quantity").cast("bigint").cast("string").alias("quantity"),
+                    F.when(F.col("l_linenumber") == 1, F.lit("")).otherwise(F.floor("l_extendedprice").cast("bigint").cast("string")).alias("price"))
+    return clean.standardize(raw, specs.ORDER_DETAIL)
+
+
+def q_datetime_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One time in eight layouts, by order key; the last is unreadable."""
+    o = _orders(spark, sf_dir)
+    when = F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+    layouts = ["yyyy-MM-dd HH:mm:ss'.5'", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSS", "' 'yyyy-MM-dd", "yyyy-M-d", "yyyyMMdd", "MM/dd/yyyy"]
+    text = F.lit("soon")
+    for i, layout in enumerate(layouts):
+        text = F.when(F.col("o_orderkey") % 8 == i, F.date_format(when, layout)).otherwise(text)
+    return clean.normalize_datetime_columns(o.select("o_orderkey", text.alias("update_time")))
+
+
 # ---- reports ---------------------------------------------------------------------------
 
 def _order_times(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,6 +248,10 @@ def q_item_quantity_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.ranked(_item_sales(spark, sf_dir), "total_quantity", "dish_name")
 
 
+def q_item_revenue_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.ranked(_item_sales(spark, sf_dir), "total_revenue", "dish_name")
+
+
 def q_item_revenue_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.ranked(_item_sales(spark, sf_dir), "total_revenue", "dish_name", k=10)
 
@@ -236,19 +287,55 @@ def q_day_vs_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.day_vs_month(daily_series(spark, sf_dir))
 
 
-def item_keys(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Wide-table columns from the (small) item dimension, so listing them does not run a
-    pass over the order lines."""
-    dish = star_tables(spark, sf_dir)[2]
-    return forecast.item_list(dish.withColumn("_key", item_key("dish_name")), "_key")
+#: The wide table's columns, listed by the caller: the test tables name 25 brands.
+WIDE_COLUMNS = {f"Brand#{i}": f"Brand#{i}" for i in range(1, 26)}
 
 
 def q_pivot_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast.to_wide(daily_series(spark, sf_dir), items=item_keys(spark, sf_dir))
+    return forecast.to_wide(daily_series(spark, sf_dir), WIDE_COLUMNS)
 
 
 def q_unpivot_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast.to_long(forecast.to_wide(daily_series(spark, sf_dir), items=item_keys(spark, sf_dir)))
+    return forecast.to_long(forecast.to_wide(daily_series(spark, sf_dir), WIDE_COLUMNS))
+
+
+def q_month_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.list_months(q_partitioned_roundtrip(spark, sf_dir))
+
+
+def q_month_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One chosen month of the stored series (partition pruning)."""
+    path = scratch_path(spark, "predictions")
+    files.write_predictions(daily_series(spark, sf_dir), path)
+    return files.read_predictions(spark, path, month="199503")
+
+
+def q_day_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One chosen day of the stored series next to its month means; only that month is read."""
+    return forecast.day_vs_month(q_partitioned_roundtrip(spark, sf_dir), day="1995-03-15")
+
+
+def q_item_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One chosen item; its shares still compare with all items of the day."""
+    return feat.daily_item_with_context(star(spark, sf_dir), items=["Brand#7"])
+
+
+def q_display_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Display names of item keys of several words."""
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", display_name(F.replace("p_name", F.lit(" "), F.lit("_"))).alias("display_name"))
+
+
+def q_grouped_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders(spark, sf_dir).select("o_orderkey", grouped_number("o_totalprice").alias("shown"))
+
+
+def q_metrics_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics where every third row has no prediction: those rows count in no measure."""
+    li = table(spark, sf_dir, "lineitem")
+    rows = li.select(F.col("l_returnflag").alias("dish_name"), F.col("l_quantity").cast("bigint").alias("y_sales"),
+                     F.when(F.col("l_orderkey") % 3 != 0, F.col("l_linenumber") * 5.0).alias("prediction"))
+    return forecast.regression_metrics(rows).withColumns({c: F.round(c, 6) for c in ("MAE", "RMSE", "R2")})
 
 
 def q_forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,6 +396,24 @@ def q_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_predictions(spark, path)
 
 
+def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "dish-parquet")
+    files.write_table(q_standardize_dim(spark, sf_dir), path, "parquet")
+    return files.read_table(spark, path, "parquet")
+
+
+def _feature_store(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "features")
+    files.write_feature_store(feat.feature_store(star(spark, sf_dir)), path)
+    return path
+
+
+def q_feature_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One item's series from the stored features: only its folder is read."""
+    out = files.read_feature_store(spark, _feature_store(spark, sf_dir), item="Brand#7").drop("dish_key")
+    return out.withColumns({c: F.round(c, 9) for c in ROUNDED_9})
+
+
 # ---- streaming ---------------------------------------------------------------------------
 
 def q_stream_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,25 +425,58 @@ def q_stream_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = clean.clean_text_columns(raw, {"event_type": "unknown"})
     out = scratch_path(spark, "stream-events")
     return streams.run_available(cleaned, out, name="clean_text_" + out.rsplit("-", 1)[-1],
-                                 checkpoint_location=out + "-checkpoint")
+                                 checkpoint_location=scratch_path(spark, "stream-checkpoint"))
+
 
+# ---- model training and batch prediction ---------------------------------------------------
 
-# ---- model training and batch prediction (no SQL form: rows-only check) -----------------
+def _stored_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features written to the store, read back with calendar inputs and split by time."""
+    stored = training.with_model_calendar(files.read_feature_store(spark, _feature_store(spark, sf_dir)))
+    path = scratch_path(spark, "split")
+    files.write_table(feat.chrono_split(stored), path, "parquet")  # a fit reads it once per round
+    return files.read_table(spark, path, "parquet")
 
-PREDICT_PARAMS = training.BoostParams(n_estimators=10, max_depth=3, learning_rate=0.1, patience=3)
+
+def q_feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many inputs a model gets, and how many rows and what target total each split holds."""
+    split = _stored_split(spark, sf_dir)
+    inputs = training.feature_columns(split)
+    return split.groupBy("split").agg(F.lit(len(inputs)).cast("bigint").alias("inputs"), F.count(F.lit(1)).alias("rows"),
+                                      F.sum("y_sales").alias("target"))
 
 
 def q_forecast_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features -> feature store (shared folder) -> chronological split -> one boosted model
-    per item with early stopping -> predictions for every item-day."""
-    path = scratch_path(spark, "features")
-    files.write_feature_store(feat.feature_store(star(spark, sf_dir)), path)
-    stored = training.with_model_calendar(files.read_feature_store(spark, path))
-    # keyed by the partition column, so each item's fit and scoring read one folder only
-    split = feat.chrono_split(stored, item_col="dish_key")
-    items = forecast.item_list(split, "dish_key")
-    models = training.fit_item_models(split, items, default=PREDICT_PARAMS, item_col="dish_key", max_parallel=8)
-    return training.predict_items(split, models, item_col="dish_key")
+    """Feature store -> chronological split -> one boosted model over all items with the documented
+    settings and early stopping -> saved, loaded -> a prediction for every item-day."""
+    split = _stored_split(spark, sf_dir)
+    root = scratch_path(spark, "pooled-model")
+    training.fit_pooled(split).save(root)
+    return training.predict_pooled(split, training.PooledModel.load(spark, root))
+
+
+def q_forecast_predict_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days and scored rows of each item in the monthly prediction store."""
+    path = scratch_path(spark, "forecast")
+    files.write_predictions(q_forecast_predict(spark, sf_dir), path)
+    return files.read_predictions(spark, path).groupBy("dish_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("time_date").alias("first_day"), F.max("time_date").alias("last_day"),
+        F.count("prediction").alias("scored"))
+
+
+def q_forecast_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-item models of a given list, one tree of depth 0 each (which predicts its train mean):
+    fitted, saved, loaded and scored on the test split."""
+    split = _stored_split(spark, sf_dir)
+    items = list(WIDE_COLUMNS)
+    constant = training.BoostParams(n_estimators=1, max_depth=0, subsample=1.0, colsample_bytree=1.0, stopping="none")
+    root = scratch_path(spark, "item-models")
+    found = training.fit_item_models(split.drop("dish_key"), items, default=constant, max_parallel=8)
+    models.save_models(found, root)
+    test = split.where(F.col("split") == "test")
+    scored = training.predict_items(test, models.load_models(root, list(found)))
+    labelled = scored.join(test.select("time_date", "dish_name", "y_sales"), ["time_date", "dish_name"])
+    return forecast.regression_metrics(labelled).withColumns({c: F.round(c, 6) for c in ("MAE", "RMSE", "R2")})
 
 
 QUERIES: dict[str, Query] = {
@@ -378,5 +516,23 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "stream_clean_text": q_stream_clean_text,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "feature_store_roundtrip": q_feature_store_roundtrip,
+    "month_list": q_month_list,
+    "month_read": q_month_read,
+    "day_view": q_day_view,
+    "item_filter": q_item_filter,
+    "item_revenue_rank": q_item_revenue_rank,
+    "display_name": q_display_name,
+    "grouped_number": q_grouped_number,
+    "metrics_with_gaps": q_metrics_with_gaps,
+    "standardize_order_typed": q_standardize_order_typed,
+    "standardize_dish_detail": q_standardize_dish_detail,
+    "standardize_ingredient": q_standardize_ingredient,
+    "standardize_order_detail": q_standardize_order_detail,
+    "datetime_layouts": q_datetime_layouts,
+    "feature_matrix": q_feature_matrix,
     "forecast_predict": q_forecast_predict,
+    "forecast_predict_coverage": q_forecast_predict_coverage,
+    "forecast_model_metrics": q_forecast_model_metrics,
 }

@@ -354,5 +354,69 @@ FROM scored WHERE split = 'test' GROUP BY dish_name""",
     "profile_correlation": _profile_correlation_sql(),
 }
 
+_SPLIT = """split AS (
+  SELECT dish_name, time_date, y_sales,
+         CASE WHEN rn <= FLOOR(n * 0.6::DOUBLE) THEN 'train'
+              WHEN rn <= FLOOR(n * 0.6::DOUBLE) + FLOOR(n * 0.2::DOUBLE) THEN 'valid' ELSE 'test' END AS split
+  FROM (SELECT dish_name, time_date, y_sales, ROW_NUMBER() OVER (PARTITION BY dish_name ORDER BY time_date) AS rn,
+               COUNT(*) OVER (PARTITION BY dish_name) AS n FROM item))"""
+
+
+def _dirty_name_sql(x: str) -> str:
+    return f"CASE WHEN length({x}) % 7 = 0 THEN ' ' ELSE ' ' || translate(upper({x}), 'AEIOU', 'ÁÊÌÕÜ') END"
+
+
+def _name_sql(x: str) -> str:
+    return _strip_accents_sql("(" + _clean_text_sql(x) + ")")
+
+
+ORACLE |= {
+    "item_revenue_rank": _with(STAR_CTE, _ITEM_SALES) + "SELECT * FROM sales",
+    "month_list": _with(STAR_CTE) + "SELECT DISTINCT strftime(time_date, '%Y%m') AS month FROM star WHERE dish_name IS NOT NULL",
+    "month_read": ORACLE["partitioned_roundtrip"] + " WHERE strftime(time_date, '%Y%m') = '199503'",
+    "day_view": f"SELECT * FROM ({ORACLE['day_vs_month']}) WHERE CAST(time_date AS DATE) = DATE '1995-03-15'",
+    "item_filter": ORACLE["daily_share"] + " WHERE dish_name = 'Brand#7'",
+    "feature_store_roundtrip": f"SELECT * FROM ({ORACLE['rolling_features']}) WHERE dish_name = 'Brand#7'",
+    "display_name": """
+SELECT p_partkey, list_aggregate(list_transform(string_split(p_name, ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), 'string_agg', ' ')
+       AS display_name FROM part""",
+    "grouped_number": "SELECT o_orderkey, format('{:,.1f}', o_totalprice) AS shown FROM orders",
+    "metrics_with_gaps": """
+WITH r AS (SELECT l_returnflag AS dish_name, CAST(CAST(l_quantity AS BIGINT) AS DOUBLE) AS y, l_linenumber * 5.0::DOUBLE AS p
+           FROM lineitem WHERE l_orderkey % 3 <> 0)
+SELECT dish_name, ROUND(AVG(ABS(y - p)), 6) AS MAE, ROUND(SQRT(AVG((y - p) * (y - p))), 6) AS RMSE,
+       ROUND(1.0 - SUM((y - p) * (y - p)) / NULLIF(VAR_POP(y) * COUNT(y), 0), 6) AS R2
+FROM r GROUP BY dish_name""",
+    "standardize_order_typed": _with(STAR_CTE) + """
+SELECT DISTINCT order_id, time + to_hours(CAST(order_id % 24 AS INTEGER)) AS time, total_price, quantity,
+       CAST(time + to_hours(CAST(order_id % 24 AS INTEGER)) AS DATE) AS time_date,
+       CAST(hour(time + to_hours(CAST(order_id % 24 AS INTEGER))) AS INTEGER) AS time_hour FROM ord""",
+    "standardize_dish_detail": f"""
+WITH raw AS (SELECT DISTINCT p_partkey AS id, p_partkey AS dish_id, CAST(p_size AS BIGINT) AS ingredient_id, {_dirty_name_sql('p_name')} AS ingredient_name,
+       CASE WHEN p_size % 5 = 0 THEN 'x' ELSE CAST(p_size AS VARCHAR) END AS quantity,
+       CASE WHEN p_size % 3 = 0 THEN NULL ELSE upper(p_type) END AS unit FROM part)
+SELECT id, dish_id, ingredient_id, {_name_sql('ingredient_name')} AS ingredient_name, {_clean_bigint_sql('quantity')} AS quantity,
+       {_clean_text_sql('unit')} AS unit FROM raw""",
+    "standardize_ingredient": f"""
+WITH raw AS (SELECT DISTINCT p_partkey AS id, CAST(p_size AS BIGINT) AS ingredient_id, {_dirty_name_sql('p_name')} AS ingredient_name FROM part)
+SELECT id, ingredient_id, {_name_sql('ingredient_name')} AS ingredient_name FROM raw""",
+    "standardize_order_detail": f"""
+WITH raw AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS dish_id,
+       {_dirty_name_sql('l_linestatus')} AS dish_name, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity,
+       CASE WHEN l_linenumber = 1 THEN '' ELSE CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) END AS price FROM lineitem)
+SELECT id, order_id, dish_id, {_name_sql('dish_name')} AS dish_name, {_clean_bigint_sql('quantity')} AS quantity,
+       {_clean_bigint_sql('price')} AS price FROM raw""",
+    "datetime_layouts": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 8 IN (0, 1, 2) THEN strftime(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)), '%Y-%m-%d %H:%M:%S')
+       WHEN o_orderkey % 8 < 7 THEN strftime(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)), '%Y-%m-%d 00:00:00') END AS update_time
+FROM orders""",
+    "feature_matrix": _with(STAR_CTE, ITEM_CTE, _SPLIT) + """
+SELECT split, CAST(60 AS BIGINT) AS inputs, COUNT(*) AS rows, CAST(SUM(y_sales) AS BIGINT) AS target FROM split GROUP BY split""",
+    "forecast_predict_coverage": _with(STAR_CTE, ITEM_CTE) + """
+SELECT dish_name, COUNT(*) AS rows, MIN(time_date) AS first_day, MAX(time_date) AS last_day, COUNT(*) AS scored FROM item GROUP BY dish_name""",
+    "forecast_model_metrics": ORACLE["forecast_metrics"],
+}
+
+ORACLE["parquet_roundtrip"] = ORACLE["standardize_dim"]
 ORACLE["csv_roundtrip"] = ORACLE["standardize_dim"]
 ORACLE["stream_clean_text"] = ORACLE["clean_text"]

@@ -15,8 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.session import cached
-
+from larder.sources import files
 
 
 def cents(col: str):
@@ -25,9 +24,8 @@ def cents(col: str):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One scan DataFrame per table file and session (the file listing is done once)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return cached(("table", path), lambda: spark.read.parquet(path))
+    """The table as its files are now: nothing is kept between calls."""
+    return files.read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", "parquet")
 
 
 def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,38 +43,51 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (to distributed storage) by whoever runs the job. Only
-    when it is unset, as in local tests, a folder under the system temp dir is used.
-    """
+    Whoever runs a cluster job must set it (to distributed storage); without it a cluster
+    session is refused, because executors would write to their own disks.  Only for a local
+    master, as in tests, a temporary folder is made where it is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = os.path.join(os.environ.get("TMPDIR", "/tmp"), "larder-checkpoints")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="larder-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    try:
+        delete_path(spark, path)
+    except Exception:  # noqa: BLE001  the session may be gone at exit
+        pass
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/larder/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path below the shared checkpoint folder, deleted when Python exits (a
+    lazy result may read it until then)."""
+    path = f"{checkpoint_dir(spark)}/larder/{name}-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, path)
+    return path
 
 
 _EXPR_CACHE: dict[tuple, object] = {}
 
 
 def cached(key: tuple, build):
-    """Memoise driver-side construction (Column expressions, table scans) per JVM session.
+    """Memoise Column expressions per application.
 
-    Building a Column or a DataFrame is one Py4J round trip per operation; plans with dozens
-    of window expressions spend more time there than executing on small inputs.  Built
-    objects are immutable, so reusing them is safe; the key includes the JVM session so a
-    new session never sees objects of an old one.
-    """
+    Building a Column is one Py4J round trip per operation; plans with dozens of window
+    expressions spend more time there than executing on small inputs.  Columns are immutable and
+    hold no data, so reusing them is safe; scans are never kept."""
     active = SparkSession.getActiveSession()
-    full_key = (id(active._jsparkSession) if active is not None else None, *key)
+    full_key = (active.sparkContext.applicationId if active is not None else None, *key)
     if full_key not in _EXPR_CACHE:
         _EXPR_CACHE[full_key] = build()
     return _EXPR_CACHE[full_key]

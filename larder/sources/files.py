@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
-from larder.functions.text import item_key
+from larder.functions.text import ITEM_KEY_PREFIX, item_key
 from larder.functions.timecols import month_key
 
 FORMATS = ("csv", "parquet")
@@ -57,7 +56,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", single_file: bool =
 
 
 def write_feature_store(features: DataFrame, path: str, item_col: str = "dish_name") -> None:
-    """One Parquet partition per item (``dish_key`` = name with spaces as ``_``).  Rows are
+    """One Parquet partition per item (``dish_key``, one to one with the name).  Rows are
     clustered by item first so each partition folder gets one file per writing task."""
     keyed = features.withColumn("dish_key", item_key(item_col))
     (keyed.repartition("dish_key").write.mode("overwrite")
@@ -74,7 +73,7 @@ def read_feature_store(spark: SparkSession, path: str, item: str | None = None,
     if "dish_key" in df.columns:
         df = df.withColumn("dish_key", F.col("dish_key").cast("string"))
     if item is not None:
-        df = df.where(F.col("dish_key") == F.lit(item.replace(" ", "_")))
+        df = df.where(F.col("dish_key") == F.lit(ITEM_KEY_PREFIX + item))
     return df
 
 
@@ -96,17 +95,19 @@ def write_predictions(predictions: DataFrame, path: str, date_col: str = "time_d
 def read_predictions(spark: SparkSession, path: str, month: str | None = None,
                      schema: T.StructType | str | None = None) -> DataFrame:
     """All months, or one (partition pruning).  A missing store reads as an empty table
-    when ``schema`` is given."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException:
-        if schema is None:
-            raise
+    when ``schema`` is given; any other failure is raised."""
+    if schema is not None and not _exists(spark, path):
         return spark.createDataFrame([], schema)
+    df = spark.read.parquet(path)
     df = df.withColumn("month", F.col("month").cast("string"))
     return df.where(F.col("month") == F.lit(month)) if month is not None else df
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def list_months(predictions: DataFrame) -> DataFrame:
     """The months on offer, ascending."""
     return predictions.select("month").distinct().orderBy("month")

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.ml import PipelineModel
 
+from larder.functions.text import ITEM_KEY_PREFIX
+
 
 def model_path(root: str, item: str) -> str:
-    return f"{root.rstrip('/')}/{item.replace(' ', '_')}"
+    """The item's own folder: different names never share one."""
+    return f"{root.rstrip('/')}/{ITEM_KEY_PREFIX}{quote(item, safe='')}"
 
 
 def save_models(models: dict[str, PipelineModel], root: str) -> None:

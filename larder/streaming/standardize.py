@@ -1,14 +1,12 @@
-"""Incremental standardisation of arriving files.
+"""Incremental standardisation of arriving files (an extra beside the surveyed operators).
 
-The cleaning expressions (text, numbers, timestamps, accents) are stateless column
-expressions, so they run unchanged on a streaming DataFrame.  Whole-row de-duplication is
-the one stateful step: on an unbounded stream it would have to remember every row ever
-seen, so here it is done only within a watermark on an event-time column
-(``dropDuplicatesWithinWatermark``), which bounds the state; without an event-time column
-rows are passed through.
+The cleaning expressions (text, numbers, timestamps, accents) are stateless column expressions, so
+they run unchanged on a streaming DataFrame.  Whole-row de-duplication is the one stateful step: it
+remembers every different row, so that no row is ever dropped for being late, and the result equals
+the batch operator's.  ``dedupe=False`` leaves it out where the input is known to have no copies.
 
-Sinks write Parquet with a checkpoint location in the shared checkpoint folder, so a
-restarted query (or one that lost executors) resumes exactly once where it stopped.
+Sinks write Parquet with a checkpoint location in the shared checkpoint folder, so a restarted query
+(or one that lost executors) resumes exactly once where it stopped.
 """
 
 from __future__ import annotations
@@ -17,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from larder.functions.timecols import parse_timestamp
 from larder.operators import clean
 from larder.session import checkpoint_dir
 from larder.specs import TableSpec
@@ -39,16 +36,10 @@ def read_stream(spark: SparkSession, directory: str, schema: T.StructType | str,
     return reader.parquet(directory)
 
 
-def standardize_stream(df: DataFrame, spec: TableSpec, event_time: str | None = None,
-                       delay: str = "1 day") -> DataFrame:
-    """``standardize`` for a stream.  With ``event_time`` (a raw text or timestamp column)
-    exact duplicates arriving within ``delay`` of each other are dropped."""
-    if event_time is not None:
-        raw_cols = df.columns
-        df = (df.withColumn("_event_time", parse_timestamp(event_time).cast("timestamp"))
-              .withWatermark("_event_time", delay)
-              .dropDuplicatesWithinWatermark(raw_cols)
-              .drop("_event_time"))
+def standardize_stream(df: DataFrame, spec: TableSpec, dedupe: bool = True) -> DataFrame:
+    """``standardize`` for a stream: the same rows as the batch operator, late ones included."""
+    if dedupe:
+        df = df.dropDuplicates()
     df = clean.clean_text_columns(df, spec.text)
     df = clean.clean_numeric_columns(df, spec.numeric, spec.ids)
     df = clean.parse_timestamp_columns(df, spec.timestamps)

@@ -14,7 +14,7 @@ def long_df(spark):
 
 
 def test_wide_and_back(spark):
-    wide = forecast.to_wide(long_df(spark))
+    wide = forecast.to_wide(long_df(spark), {"bun cha": "bun_cha", "pho bo": "pho_bo"})
     assert wide.columns == ["time_date", "bun_cha", "pho_bo", "month"]
     back = forecast.to_long(wide)
     assert sorted(back.columns) == ["dish_name", "month", "prediction", "time_date"]
@@ -38,6 +38,33 @@ def test_regression_metrics(spark):
     assert got["b"].R2 is None  # constant label
 
 
-def test_item_list_is_bounded(spark):
+def test_metrics_skip_rows_without_prediction(spark):
+    rows = [("a", 1, 1.0), ("a", 3, 2.0), ("a", 1000, None)]
+    got = forecast.regression_metrics(spark.createDataFrame(rows, "dish_name string, y_sales long, prediction double")).head()
+    assert got.MAE == 0.5 and got.R2 == pytest.approx(1 - 1 / 2)
+
+
+def test_wide_refuses_names_that_meet_and_keeps_odd_ones(spark):
+    day = D[0]
+    rows = spark.createDataFrame([(day, "a b", 1.0), (day, "a_b", 2.0), (day, "st. louis", 3.0), (day, "month", 4.0)],
+                                 "time_date date, dish_name string, prediction double")
+    with pytest.raises(ValueError):
+        forecast.to_wide(rows, {"a b": "a_b", "a_b": "a_b"})
     with pytest.raises(ValueError):
-        forecast.item_list(long_df(spark), limit=1)
+        forecast.to_wide(rows, {"month": "month"})
+    wide = forecast.to_wide(rows, {"a b": "a b", "a_b": "a_b", "st. louis": "st. louis", "month": "month (item)"})
+    back = {(r.dish_name, r.prediction) for r in forecast.to_long(wide).collect()}
+    assert back == {("a b", 1.0), ("a_b", 2.0), ("st. louis", 3.0), ("month (item)", 4.0)}
+    twice = rows.unionByName(rows)
+    with pytest.raises(Exception, match="two values"):
+        forecast.to_wide(twice, {"a b": "x"}).collect()
+
+
+def test_one_day_reads_one_month_of_the_store(spark, tmp_path):
+    from larder.sources import files
+
+    files.write_predictions(long_df(spark), str(tmp_path / "p"))
+    view = forecast.day_vs_month(files.read_predictions(spark, str(tmp_path / "p")), day="2024-01-31")
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "202401" in plan
+    assert view.count() == 2

@@ -33,7 +33,7 @@ def test_feature_store_partitions(spark, tmp_path):
     path = str(tmp_path / "fs")
     files.write_feature_store(df, path)
     one = files.read_feature_store(spark, path, item="pho bo")
-    assert [(r.dish_name, r.y_sales, r.dish_key) for r in one.collect()] == [("pho bo", 3, "pho_bo")]
+    assert [(r.dish_name, r.y_sales, r.dish_key) for r in one.collect()] == [("pho bo", 3, "item-pho bo")]
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan or "dish_key" in plan
     files.write_table(df.drop("time_date"), str(tmp_path / "bad"), "parquet")

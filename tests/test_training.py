@@ -51,10 +51,24 @@ def test_fit_predict_and_store(spark, tmp_path):
     assert only.count() == 0
 
 
-def test_pooled_model(spark):
-    df = series(spark)
-    model = training.fit_pooled(df, SMALL)
-    assert model.transform(df).count() == df.count()
+def test_pooled_model_of_many_items_saved_and_loaded(spark, tmp_path):
+    df = series(spark, items=tuple(f"item {i}" for i in range(40)), days=6)
+    short = series(spark, items=("short",), days=1)  # one row: no train rows of its own
+    both = df.unionByName(short)
+    training.fit_pooled(both, training.BoostParams(n_estimators=3, max_depth=2, stopping="tolerance")).save(str(tmp_path / "m"))
+    model = training.PooledModel.load(spark, str(tmp_path / "m"))
+    out = training.predict_pooled(both, model)
+    assert out.count() == both.count() and out.where("prediction is null").count() == 0
+
+
+def test_item_without_train_rows_does_not_stop_the_others(spark):
+    df = series(spark, items=("pho bo",), days=20).unionByName(series(spark, items=("a b",), days=1))
+    assert set(training.fit_item_models(df, ["pho bo", "a b"], default=SMALL)) == {"pho bo"}
+
+
+def test_model_folders_differ_by_name():
+    names = ["a b", "a_b", "a/b", "..", "a%20b"]
+    assert len({model_store.model_path("m", n) for n in names}) == len(names)
 
 
 def test_tolerance_stopping_one_fit(spark):
