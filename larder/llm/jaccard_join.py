@@ -45,10 +45,13 @@ class JoinParams:
     block: int = 512
     #: Queries that meet one group in one task.
     queries: int = 2_000
-    #: A shingle in this share of a chunk of documents goes to the end of every order.
-    common_share: float = 0.01
+    #: A shingle of this many documents goes to the end of every order; counted over what tasks
+    #: met in ``met`` documents or more, ``counted_at_once`` shingles at a time.
+    common_documents: int = 12
+    met: int = 3
+    counted_at_once: int = 4_000_000
     #: A shingle in the prefixes of more groups than this goes there too, and prefixes are redone.
-    crowded_groups: int = 400
+    crowded_groups: int = 200
     redo: int = 3
 
 
@@ -85,20 +88,40 @@ def _keys(tokens: np.ndarray, orders: int) -> list[int]:
 
 
 def describe(docs: DataFrame, params: JoinParams) -> DataFrame:
-    """doc_id, n, node (NULL for the empty set) and the group keys of every document."""
+    """A row for every document: doc_id, n, node (NULL for the empty set) and the group keys.
+
+    Further rows, with ``common`` set, count shingles that a task met in several documents; they
+    are sums over all documents, less what single tasks met only once or twice."""
     kinds = docs.schema["doc_id"].dataType.simpleString()
     names = [f"k{j}" for j in range(params.orders)]
+    columns = ["doc_id", "n", "node", *names, "common"]
+
+    def counted(tokens: list[np.ndarray], kind) -> pa.RecordBatch:
+        token, n = np.unique(np.concatenate(tokens), return_counts=True)
+        often = n >= params.met
+        rows = int(often.sum())
+        none = [pa.nulls(rows, t) for t in (kind, pa.int64(), *[pa.int64()] * len(names))]
+        return pa.RecordBatch.from_arrays([none[0], pa.array(n[often].astype(np.int64)), *none[1:], pa.array(C.signed(token[often]))], columns)
 
     def run(batches):
+        held, size, kind = [], 0, pa.int64()
         for part, data, offsets in C.chunks(batches, "text"):
             sets = shingle_sets(data, offsets, params.width)
             keys = [_keys(s, params.orders) if len(s) else [None] * params.orders for s in sets]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": part.column(part.schema.get_field_index("doc_id")), "n": pa.array([len(s) for s in sets], pa.int64()),
-                "node": pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
-                **{k: pa.array([row[j] for row in keys], pa.int64()) for j, k in enumerate(names)}})
-
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kinds}, n long, node long, " + ", ".join(f"{k} long" for k in names))
+            ids = part.column(part.schema.get_field_index("doc_id"))
+            kind = ids.type
+            yield pa.RecordBatch.from_arrays([
+                ids, pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
+                *[pa.array([row[j] for row in keys], pa.int64()) for j in range(len(names))], pa.nulls(part.num_rows, pa.int64())], columns)
+            held += [s for s in sets if len(s)]
+            size += sum(map(len, sets))
+            if size >= params.counted_at_once:
+                yield counted(held, kind)
+                held, size = [], 0
+        if held:
+            yield counted(held, kind)
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kinds}, n long, node long, " + ", ".join(f"{k} long" for k in names) + ", common long")
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, params: JoinParams) -> DataFrame:
@@ -252,22 +275,16 @@ def components(edges: DataFrame, scratch: C.Scratch, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 
 
-def common_shingles(docs: DataFrame, params: JoinParams) -> np.ndarray:
-    """Bitmap of shingles that are common among the documents of some chunk.  Only the order of
-    prefixes depends on it; any set gives the same links."""
-
-    def run(batches):
-        for _, data, offsets in C.chunks(batches, "text"):
-            sets = [s for s in shingle_sets(data, offsets, params.width) if len(s)]
-            if sets:
-                token, n = np.unique(np.concatenate(sets), return_counts=True)
-                yield pa.RecordBatch.from_pydict({"token": pa.array(C.signed(token[n >= max(4, params.common_share * len(sets))]))})
-
-    return C.bitmap(docs.select("text").mapInArrow(run, "token long").distinct(), "token")
+def common_shingles(described: DataFrame, params: JoinParams) -> np.ndarray:
+    """Bitmap of shingles that many documents have.  Only the order of prefixes depends on it; any
+    set gives the same links."""
+    rows = described.where(F.col("common").isNotNull()).groupBy("common").agg(F.sum("n").alias("documents"))
+    return C.bitmap(rows.where(F.col("documents") >= params.common_documents), "common")
 
 
 def prefixes(docs: DataFrame, common: np.ndarray, params: JoinParams) -> DataFrame:
-    """(token, node): the first shingles of each set, rare ones first, then by name.
+    """(token, node, last): the first shingles of each set, rare ones first, then by name; ``last``
+    is the place of the set's last one in that order.
 
     With inter >= 3/7 of the sizes' sum (for 75 %), a set must share one of its first
     n - ceil(p n) + 1 shingles with any linked set of at most its size, and that one is among the
@@ -277,7 +294,7 @@ def prefixes(docs: DataFrame, common: np.ndarray, params: JoinParams) -> DataFra
     def run(batches):
         seen = C.Seen()
         for _, data, offsets in C.chunks(batches, "text"):
-            tokens, nodes = [], []
+            tokens, nodes, lasts = [], [], []
             for s in shingle_sets(data, offsets, params.width):
                 n = len(s)
                 if not n:
@@ -292,50 +309,73 @@ def prefixes(docs: DataFrame, common: np.ndarray, params: JoinParams) -> DataFra
                 flags[:index] |= 1
                 tokens.append(first)
                 nodes.append(flags)
+                place = int(first[-1] >> U64(2)) | int(len(first) > int((~late).sum())) << 62
+                lasts.append(np.full(len(first), place, np.int64))
             if tokens:
-                yield pa.RecordBatch.from_pydict({"token": pa.array(C.signed(np.concatenate(tokens))), "node": pa.array(np.concatenate(nodes))})
+                yield pa.RecordBatch.from_pydict({
+                    "token": pa.array(C.signed(np.concatenate(tokens))), "node": pa.array(np.concatenate(nodes)), "last": pa.array(np.concatenate(lasts))})
 
-    return docs.select("text").mapInArrow(run, "token long, node long")
+    return docs.select("text").mapInArrow(run, "token long, node long, last long")
 
 
 def shared_only(rows: DataFrame) -> DataFrame:
-    """Rows (token, node) whose token belongs to two sets or more.  One shuffle; a task streams over
-    its sorted tokens and holds at most one set's rows of a token."""
+    """Rows (token, node, last) whose token belongs to two sets or more.  One shuffle; a task streams
+    over its sorted tokens and holds at most one set's rows of a token."""
+    columns = ["token", "node", "last"]
 
     def run(batches):
-        held_token, held, many = None, np.zeros(0, np.int64), False
+        held, many = None, False  # the last token's rows while they are of one set
         for batch in batches:
-            t, n = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+            t, n, last = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             if not len(t):
                 continue
-            out_t, out_n = [], []
-            k = int(np.searchsorted(t, held_token, side="right")) if held_token is not None and t[0] == held_token else 0
-            if k:
-                if not many:
-                    every = np.unique(np.r_[held, n[:k]])
-                    many = bool(every[0] >> 1 != every[-1] >> 1)
-                    held = every
-                    if many:
-                        out_t.append(np.full(len(held), held_token, np.int64))
-                        out_n.append(held)
+            if held is not None and t[0] == held[0][0]:
+                if many:
+                    t, n, last = np.r_[held[0][:1], t], np.r_[held[1][:1], n], np.r_[held[2][:1], last]
                 else:
-                    out_t.append(t[:k])
-                    out_n.append(n[:k])
-                t, n = t[k:], n[k:]
-            if len(t):
-                heads = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
-                last = np.r_[heads[1:], len(t)] - 1
-                multi = n[heads] >> 1 != n[last] >> 1
-                keep = np.repeat(multi, last - heads + 1)
-                held_token, many = int(t[-1]), bool(multi[-1])
-                held = np.unique(n[heads[-1]:]) if not many else np.zeros(0, np.int64)
-                out_t.append(t[keep])
-                out_n.append(n[keep])
-            if out_t:
-                yield pa.RecordBatch.from_pydict({"token": pa.array(np.concatenate(out_t)), "node": pa.array(np.concatenate(out_n))})
-
-    found = rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(run, "token long, node long")
-    return found.select("token", F.col("node").bitwiseAND(F.lit(~1)).alias("node"), (F.col("node").bitwiseAND(F.lit(1)) == 1).alias("index"))
+                    t, n, last = np.r_[held[0], t], np.r_[held[1], n], np.r_[held[2], last]
+                known = 1 if many else 0
+            else:
+                known, many = 0, False
+            heads = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+            tails = np.r_[heads[1:], len(t)] - 1
+            multi = n[heads] >> 1 != n[tails] >> 1
+            if known:
+                multi[0] = True  # its first rows were sent before
+            keep = np.repeat(multi, tails - heads + 1)
+            many = bool(multi[-1])
+            held = (t[-1:], n[-1:], last[-1:]) if many else tuple(x[heads[-1]:] for x in (t, n, last))
+            if not many:
+                first = np.unique(held[1], return_index=True)[1]
+                held = tuple(x[first] for x in held)
+            keep[:known] = False
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (t, n, last)], columns)
+
+    found = rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(run, "token long, node long, last long")
+    return found.select("token", F.col("node").bitwiseAND(F.lit(~1)).alias("node"), (F.col("node").bitwiseAND(F.lit(1)) == 1).alias("index"), "last")
+
+
+def qualified(pairs: DataFrame, rows: DataFrame, params: JoinParams) -> DataFrame:
+    """Pairs (q, grp) whose overlap bound reaches what a link needs.
+
+    Let c be the query's prefix shingles in the union of the group's prefixes.  If the query's prefix
+    ends before every member's does, each of its other prefix shingles is missing from every member;
+    if it ends after every member's, each member's other prefix shingles are missing from the query.
+    Either way what is missing bounds the overlap from above."""
+    p = params.percent
+    probe = lambda n: n + 1 - F.ceil(n * p / 100)
+    needed = lambda a, b: F.ceil((a + b) * p / (100 + p))
+    union = rows.select("token", "grp").distinct()
+    common = (pairs.join(rows.select(F.col("node").alias("q"), "token"), "q").join(union, ["token", "grp"])
+              .groupBy("q", "grp").agg(F.count("*").alias("c")))
+    asked = rows.select(F.col("node").alias("q"), F.col("n").alias("qn"), F.col("last").alias("qlast")).distinct()
+    groups = rows.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("last").alias("soonest"), F.max("last").alias("latest"))
+    least = F.greatest(F.col("low"), F.ceil(F.col("qn") * p / 100))
+    most = F.least(F.col("high"), F.col("qn"))
+    enough = (F.when(F.col("qlast") <= F.col("soonest"), F.col("c") >= needed(F.col("qn"), least) - F.col("qn") + probe(F.col("qn")))
+              .when(F.col("qlast") >= F.col("latest"), F.col("c") >= needed(F.col("qn"), most) - most + probe(most) - 1)
+              .otherwise(F.lit(True)))
+    return common.join(asked, "q").join(groups, "grp").where(enough).select("q", "grp")
 
 
 def first_links(docs: DataFrame, described: DataFrame, scratch: C.Scratch, params: JoinParams) -> tuple[DataFrame, DataFrame]:
@@ -352,11 +392,11 @@ def first_links(docs: DataFrame, described: DataFrame, scratch: C.Scratch, param
     return scratch.keep(found, "first-links"), places
 
 
-def cross_links(docs: DataFrame, described: DataFrame, roots: DataFrame, places: DataFrame, scratch: C.Scratch, params: JoinParams) -> DataFrame:
+def cross_links(docs: DataFrame, table: DataFrame, roots: DataFrame, places: DataFrame, scratch: C.Scratch, params: JoinParams) -> DataFrame:
     """Links between documents of different components, through the token-group matrix."""
     sizes = roots.groupBy("root").agg(F.count("*").alias("members"))
     own = places.groupBy("node").agg(F.min(F.struct("key", "sub")).alias("own"))
-    nodes = described.where("n > 0").select("node", "n").distinct()
+    nodes = table.where("node is not null").select("node", "n").distinct()
     # groups: blocks of a component, else the first group, else the document alone
     grouped = (nodes.join(roots, "node", "left").join(sizes, "root", "left").join(own, "node", "left")
                .select("node", "n", F.coalesce("root", "node").alias("comp"),
@@ -364,7 +404,7 @@ def cross_links(docs: DataFrame, described: DataFrame, roots: DataFrame, places:
                        .when(F.col("own").isNotNull(), F.xxhash64(F.lit("k"), F.col("own.key"), F.col("own.sub")))
                        .otherwise(F.xxhash64(F.lit("n"), F.col("node"))).alias("grp")))
     grouped = scratch.keep(grouped, "grouped")
-    common = common_shingles(docs, params)
+    common = common_shingles(table, params)
     for attempt in range(params.redo + 1):
         shared = shared_only(prefixes(docs, common, params)).join(grouped, "node")
         shared = scratch.keep(shared, f"shared{attempt}")
@@ -384,6 +424,7 @@ def cross_links(docs: DataFrame, described: DataFrame, roots: DataFrame, places:
                     & ((F.col("c0") != F.col("qc")) | (F.col("c1") != F.col("qc"))))
              .select("q", "grp").distinct())
     pairs = scratch.keep(pairs, "pairs")
+    pairs = scratch.keep(qualified(pairs, rows, params), "qualified")
     load = pairs.groupBy("grp").agg(F.ceil(F.count("*") / params.queries).alias("parts"))
     members = scratch.keep(grouped.join(load, "grp").select("node", "comp", "grp", "parts"), "members")
     wanted = members.select("node").union(pairs.select(F.col("q").alias("node"))).distinct()
@@ -403,10 +444,11 @@ def membership(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
     one step or many, have equal roots (NULL for the empty set)."""
     docs = docs.select("doc_id", "text")
     scratch = C.Scratch(docs.sparkSession, "jaccard")
-    described = scratch.keep(describe(docs, params), "described")
+    table = scratch.keep(describe(docs, params), "described")
+    described = table.where(F.col("common").isNull())
     inside, places = first_links(docs, described, scratch, params)
     roots = components(inside, scratch, "first")
-    across = cross_links(docs, described, roots, places, scratch, params)
+    across = cross_links(docs, table, roots, places, scratch, params)
     roots = components(inside.union(across), scratch, "all")
     for name in list(scratch.live):
         if name not in ("described", "all-roots") and not name.startswith("all-edges"):
