@@ -16,13 +16,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.numeric import safe_ratio, strict_ratio
-from larder.functions.timecols import calendar_columns
 from larder.session import cached
 
 # Rolling horizons in rows, and the chronological split fractions.
 HORIZONS = (3, 7, 14, 30)
 TRAIN_FRACTION, VALID_FRACTION = 0.6, 0.2
 
+# Names of the one-day columns.
 CONTEXT_1D = ("day_order_count_1d", "day_total_quantity_1d", "day_total_revenue_1d",
               "day_order_variety_1d", "avg_order_size_1d")
 ITEM_1D = ("y_sales", "dish_count_in_order_1d", "dish_quantity_in_order_avg_1d",
@@ -73,14 +73,11 @@ def daily_item(star: DataFrame, item_col: str = "dish_name", date_col: str = "ti
     )
 
 
-def daily_share(item_day: DataFrame, context: DataFrame, date_col: str = "time_date",
-                broadcast_context: bool = False) -> DataFrame:
+def daily_share(item_day: DataFrame, context: DataFrame, date_col: str = "time_date") -> DataFrame:
     """Attach the day context to each item-day row and add the four share-of-day ratios
     (NULL when the day total is 0).  ``context`` has one row per day; AQE broadcasts it
-    once it has measured it.  ``broadcast_context=True`` forces the hint, for callers
-    that know the day range is bounded."""
-    ctx = F.broadcast(context) if broadcast_context else context
-    joined = item_day.join(ctx, on=date_col, how="left")
+    once it has measured it."""
+    joined = item_day.join(context, on=date_col, how="left")
     return joined.withColumns({
         "dish_sales_ratio_daily_1d": safe_ratio(F.col("dish_total_quantity_1d"), F.col("day_total_quantity_1d")),
         "dish_order_ratio_daily_1d": safe_ratio(F.col("dish_count_in_order_1d"), F.col("day_order_count_1d")),
@@ -252,8 +249,3 @@ def chrono_split(df: DataFrame, item_col: str = "dish_name", date_col: str = "ti
              .when(rn <= n_train + n_valid, F.lit("valid"))
              .otherwise(F.lit("test")))
     return df.withColumn("split", split)
-
-
-def with_calendar(df: DataFrame, date_col: str = "time_date", weekday: bool = False) -> DataFrame:
-    """Add model calendar features (month, day of year, optionally weekday with Monday = 0)."""
-    return df.withColumns(calendar_columns(date_col, weekday))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.timecols import month_key, time_slot
+from larder.functions.timecols import time_slot
 
 _PERIODS = {"quarter": F.quarter, "month": F.month}
 
@@ -77,7 +77,3 @@ def orders_by_slot(order: DataFrame, time_col: str = "time", id_col: str = "orde
 def distinct_sorted(df: DataFrame, *cols: str) -> DataFrame:
     """Distinct values of ``cols`` in ascending order (e.g. the days or months on offer)."""
     return df.select(*cols).distinct().orderBy(*cols)
-
-
-def with_month(df: DataFrame, date_col: str = "time_date") -> DataFrame:
-    return df.withColumn("month", month_key(date_col))

@@ -72,5 +72,3 @@ ORDER_DETAIL = TableSpec(
     schema=_raw(("id", _L), ("order_id", _L), ("dish_id", _L), ("dish_name", _S),
                 ("quantity", _S), ("price", _S)),
 )
-
-SPECS = {s.name: s for s in (DISH, DISH_DETAIL, INGREDIENT, ORDER, ORDER_DETAIL)}

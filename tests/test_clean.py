@@ -66,3 +66,47 @@ def test_order_detail_spec_keeps_ids(spark):
                                 "id long, order_id long, dish_id long, dish_name string, quantity string, price string")
     got = sorted(tuple(r) for r in clean.standardize(raw, specs.ORDER_DETAIL).collect())
     assert got == [(5, 9, 3, "bun cha", 2, 70000), (6, 9, 4, "unknown", 0, 0)]
+
+
+def test_typed_times_keep_their_wall_clock_in_any_zone(spark, tmp_path):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from larder.operators import clean
+    from larder.sources import files
+
+    (tmp_path / "o.csv").write_text("order_id,time\n1,2024-01-01 20:11:12\n")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            inferred = files.read_table(spark, str(tmp_path / "o.csv"), "csv")
+            literal = spark.sql("SELECT 1 AS order_id, TIMESTAMP_NTZ'2024-01-01 20:11:12' AS time")
+            for df in (inferred, literal):
+                row = clean.parse_timestamp_columns(df, ("time",)).head()
+                assert (row.time, row.time_date, row.time_hour) == (dt.datetime(2024, 1, 1, 20, 11, 12), dt.date(2024, 1, 1), 20), zone
+            day = clean.parse_timestamp_columns(spark.sql("SELECT DATE'2024-01-01' AS time"), ("time",)).head()
+            assert (day.time, day.time_hour) == (dt.datetime(2024, 1, 1), 0)
+            text = spark.createDataFrame([("2024-01-01 20:11:12",)], "time string")
+            assert clean.parse_timestamp_columns(text, ("time",)).select(F.hour("time")).head()[0] == 20
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_lenient_layouts(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from larder.functions.timecols import lenient_timestamp
+
+    day, time = dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2, 10, 11, 12)
+    cases = {
+        "2024-01-02 10:11:12": time, "2024-01-02 10:11:12.5": time.replace(microsecond=500000), "2024-01-02 10:11:12.123": time.replace(microsecond=123000),
+        "2024-01-02 10:11:12.123456789": time.replace(microsecond=123456), "2024-01-02T10:11:12Z": time, "2024-01-02T10:11:12+07:00": time,
+        "2024-01-02 10:11": time.replace(second=0), " 2024-01-02 ": day, "2024-1-2": day, "20240102": day, "20240102 10:11:12": time, "01/02/2024": day,
+        "2024/01/02": day, "2024-13-02": None, "2024-02-30": None, "soon": None, "": None, None: None, "2024": None, "202401021": None}
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(cases)], "i int, x string")
+    got = [r[0] for r in df.orderBy("i").select(lenient_timestamp(F.col("x"))).collect()]
+    assert got == list(cases.values())

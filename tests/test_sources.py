@@ -52,3 +52,47 @@ def test_predictions_by_month(spark, tmp_path):
     missing = files.read_predictions(spark, str(tmp_path / "none"), schema="time_date date, month string")
     assert missing.count() == 0
     assert F is not None
+
+
+def test_items_with_like_names_stay_apart(spark, tmp_path):
+    names = ["a b", "a_b", "a/b", "001", "1", "2024-01-01", "", "é=%"]
+    df = spark.createDataFrame([(n, dt.date(2024, 1, 1), i) for i, n in enumerate(names)], "dish_name string, time_date date, y_sales long")
+    files.write_feature_store(df, str(tmp_path / "fs"))
+    for i, n in enumerate(names):
+        assert [(r.dish_name, r.y_sales) for r in files.read_feature_store(spark, str(tmp_path / "fs"), item=n).collect()] == [(n, i)]
+
+
+def test_only_a_missing_store_reads_as_empty(spark, tmp_path):
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        files.read_predictions(spark, str(tmp_path / "broken"), schema="time_date date, month string").collect()
+
+
+def test_appended_files_are_seen(spark, tmp_path):
+    from larder.plans.testdata import table
+
+    spark.range(5).write.parquet(str(tmp_path / "t.parquet"))
+    assert table(spark, str(tmp_path), "t").count() == 5
+    spark.range(7).write.mode("append").parquet(str(tmp_path / "t.parquet"))
+    assert table(spark, str(tmp_path), "t").count() == 12
+
+
+def test_scratch_folder_is_required_on_a_cluster():
+    from larder.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())
