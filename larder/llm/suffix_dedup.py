@@ -45,7 +45,7 @@ class SuffixParams:
     symbol: int = 40
     shards: int = 4
     #: Bytes of text merged at once by a task.
-    batch_bytes: int = 1 << 20
+    batch_bytes: int = 56 << 10
     #: Starts of one stretch at most (longer runs are cut, no start is lost).
     stretch: int = 1024
     #: Different stretches of one name that stay together in a task.
@@ -153,6 +153,14 @@ def stretches(docs: DataFrame, marks: np.ndarray, params: SuffixParams) -> DataF
 # ---------------------------------------------------------------------------------------
 
 
+def bucket_order(symbols: np.ndarray) -> np.ndarray:
+    """Stable order by symbol: sorting by 16 bits at a time takes linear time."""
+    low = np.argsort((symbols & 0xFFFF).astype(np.uint16), kind="stable")
+    if not len(symbols) or int(symbols.max()) < 1 << 16:
+        return low
+    return low[np.argsort((symbols[low] >> 16).astype(np.uint16), kind="stable")]
+
+
 class Collection:
     """The stretches of one batch as symbol texts.
 
@@ -186,7 +194,7 @@ class Collection:
         ends, order = slots[self.end[low:high]], slots
         for _ in range(rounds):
             moved = order[~self.begin[order]] - self.size
-            order = np.r_[ends, moved[np.argsort(self.symbol[moved], kind="stable")]]
+            order = np.r_[ends, moved[bucket_order(self.symbol[moved])]]
         return order
 
 
@@ -206,7 +214,7 @@ def merge(collection: Collection, shards: list[np.ndarray], rounds: int) -> tupl
         before = np.empty(n, np.int32)
         for i, transform in enumerate(transforms):
             before[interleave == i] = transform
-        move = np.argsort(before, kind="stable")
+        move = bucket_order(before)
         interleave = interleave[move]
         bucket, inner = before[move], group[move]
         border = np.r_[True, (bucket[1:] != bucket[:-1]) | (inner[1:] != inner[:-1])]
@@ -247,35 +255,41 @@ def _intervals(starts: np.ndarray) -> list[int]:
 def repeats_by_name(distinct: DataFrame, params: SuffixParams) -> DataFrame:
     """(r1, r2, spans): the repeated starts of each stretch, from transforms merged per task."""
 
-    def solve(rows):
+    def solve(rows, copies):
         bodies = [r[4] for r in rows]
-        found = repeated_starts(bodies, np.array([r[3] for r in rows], np.float64), params)
-        out = [(r[1], r[2], _intervals(at)) for r, at in zip(rows, found) if len(at)]
+        found = repeated_starts(bodies, np.array([r[3] for r in rows], np.float64), params) if rows else []
+        out = copies + [(r[1], r[2], _intervals(at)) for r, at in zip(rows, found) if len(at)]
         return pa.RecordBatch.from_arrays(
             [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.list_(pa.int64()))],
             ["r1", "r2", "spans"])
 
     def run(batches):
-        pending, size, group = [], 0, []
+        pending, copies, size, group = [], [], 0, []
 
         def close(group):
             # one stretch, once, with one place for its name has no partner anywhere
-            return [] if len(group) == 1 and group[0][3] == 1 and group[0][5] < 2 else group
+            if len(group) == 1 and group[0][3] == 1 and group[0][5] < 2:
+                return []
+            # where every stretch has copies, each of their intervals has weight two or more
+            if all(r[3] > 1 for r in group):
+                copies.extend((r[1], r[2], [len(r[4]) - params.width + 1]) for r in group)
+                return []
+            return group
 
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if group and row[0] != group[0][0]:
-                    pending += close(group)
-                    size += sum(len(r[4]) for r in group)
+                    closed = close(group)
+                    pending += closed
+                    size += sum(len(r[4]) for r in closed)
                     group = []
-                    if size >= params.batch_bytes:
-                        if pending:
-                            yield solve(pending)
-                        pending, size = [], 0
+                    if size >= params.batch_bytes or len(copies) > 50_000:
+                        yield solve(pending, copies)
+                        pending, copies, size = [], [], 0
                 group.append(row)
         pending += close(group)
-        if pending:
-            yield solve(pending)
+        if pending or copies:
+            yield solve(pending, copies)
 
     rows = distinct.select("name", "r1", "r2", "weight", "body", "several").repartition("name").sortWithinPartitions("name", "r1", "r2")
     return rows.mapInArrow(run, "r1 long, r2 long, spans array<long>")
