@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Bytes of text handled at once by the numpy code; a longer text is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Bits of a broadcast bitmap (1 MiB): its size does not depend on the data.
 BITMAP_BITS = 1 << 23
 
