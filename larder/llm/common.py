@@ -276,9 +276,9 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def digest(text: bytes) -> tuple[int, int]:
-    """128 bits that name a text, as two signed 64-bit numbers.  What an operator finds out about
-    a text depends on its content only, so it is keyed by this and not by a row."""
-    found = hashlib.blake2b(text, digest_size=16).digest()
+    """96 bits that name a text, as a signed 64-bit and a signed 32-bit number.  What an operator
+    finds out about a text depends on its content only, so it is keyed by this and not by a row."""
+    found = hashlib.blake2b(text, digest_size=12).digest()
     return int.from_bytes(found[:8], "little", signed=True), int.from_bytes(found[8:], "little", signed=True)
 
 

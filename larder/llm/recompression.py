@@ -6,7 +6,7 @@ every left symbol followed by a right one becomes a new symbol named after the t
 content hashes, so equal word strings get equal interior symbols on every executor without a
 dictionary.  Spark counts the symbols of the last round over the whole corpus: a window that holds
 a symbol which occurs once cannot occur twice.  Windows all of whose certain symbols are shared
-(or that hold none) are named by 128 bits of their words and counted, which verifies them.
+(or that hold none) are named by 96 bits of their words and counted, which verifies them.
 
 A symbol is certain for a window when the words that decide about it all lie inside: every symbol
 carries the word interval it depends on.
@@ -132,10 +132,10 @@ def candidate_windows(docs: DataFrame, marks: np.ndarray, params: RecompressionP
             alive, owner = alive[keep], owner[keep]
             w1, w2 = C.sequence_hashes(hashes, width, 1), C.sequence_hashes(hashes, width, 3)
             yield pa.RecordBatch.from_pydict({
-                "w1": pa.array(C.signed(w1[alive])), "w2": pa.array(C.signed(w2[alive])), "t1": pa.array(t1[keep]), "t2": pa.array(t2[keep]),
+                "w1": pa.array(C.signed(w1[alive])), "w2": pa.array((w2[alive] >> np.uint64(32)).astype(np.uint32).view(np.int32)), "t1": pa.array(t1[keep]), "t2": pa.array(t2[keep]),
                 "start": pa.array((alive - at[owner]).astype(np.int32))})
 
-    return docs.select("text").mapInArrow(run, "w1 long, w2 long, t1 long, t2 long, start int")
+    return docs.select("text").mapInArrow(run, "w1 long, w2 int, t1 long, t2 long, start int")
 
 
 def _covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
@@ -156,12 +156,13 @@ def substring_dedup(docs: DataFrame, params: RecompressionParams = Recompression
     width = params.window
     whole = scratch.keep(C.copies(docs, lambda t: len(t.split()), width).select("t1", "t2"), "whole")
     marks = shared_symbols(docs, params)
-    windows = scratch.keep(candidate_windows(docs, marks, params), "windows")
+    # read twice: naming windows again costs less than keeping them
+    windows = candidate_windows(docs, marks, params)
     # counted with partial sums, so a window of a third of all documents is one row a task
     twice = scratch.keep(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2"), "twice")
     found = windows.join(twice, ["w1", "w2"], "left_semi").groupBy("t1", "t2").agg(F.collect_list("start").alias("found"))
     covered = scratch.keep(found.join(whole, ["t1", "t2"], "left_anti"), "covered")
-    scratch.drop("windows", "twice")
+    scratch.drop("twice")
 
     def removed(text: bytes, found) -> tuple[tuple[int, ...], str]:
         words = text.split()

@@ -297,7 +297,7 @@ def repeats_by_name(distinct: DataFrame, params: SuffixParams) -> DataFrame:
 
 def split_names(distinct: DataFrame, params: SuffixParams) -> DataFrame:
     """The same for names with too many stretches for one task: their single strings are named by
-    128 bits and summed by Spark, so the group is spread over all tasks."""
+    96 bits and summed by Spark, so the group is spread over all tasks."""
 
     def run(batches):
         for batch in batches:
