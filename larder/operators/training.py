@@ -170,7 +170,7 @@ def _with_item_mean(features: DataFrame, means: DataFrame, overall: float, item_
 ITEM_MEAN = "_item_mean"
 
 
-def fit_pooled(features: DataFrame, p: BoostParams = BoostParams(stopping="tolerance"), item_col: str = "dish_name",
+def fit_pooled(features: DataFrame, p: BoostParams = BoostParams(stopping="tolerance", tolerance=0.0), item_col: str = "dish_name",
                label: str = "y_sales") -> PooledModel:
     """One distributed fit over the train rows of all items, stopping early on their valid rows.
     ``features`` should be materialised (it is read once per boosting round)."""
