@@ -62,14 +62,15 @@ class Vocabulary:
 
     known: dict[str, Vocabulary] = {}
 
-    def __init__(self, path: str, remember: int = 1_000_000):
+    def __init__(self, path: str, remember: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.remember = remember
-        self.ids: dict[bytes, bytes] = {}
+        self.ids: dict[bytes, bytes] = {b"": b""}  # of what is looked up
+        self.words: dict[bytes, bytes] = {}  # of words as they stand
 
     @classmethod
     def of(cls, path: str) -> Vocabulary:
@@ -89,18 +90,22 @@ class Vocabulary:
             tail = word[len(core):]
         return (core.lower() if core.isascii() else core), tail
 
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of every word of the set."""
+    def tokens(self, texts: list[list[bytes]]) -> list[bytes]:
+        """The ids of each text, given as words."""
+        if len(self.words) > self.remember:
+            self.words.clear()
         if len(self.ids) > self.remember:
-            self.ids.clear()
+            self.ids = {b"": b""}
+        words = set().union(*texts).difference(self.words)
         split = {w: self.parts(w) for w in words}
-        new = list({p for pair in split.values() for p in pair if p and p not in self.ids})
+        new = list({p for pair in split.values() for p in pair}.difference(self.ids))
         for start in range(0, len(new), 10_000):
             some = new[start:start + 10_000]
             for word, found in zip(some, self.encode([w.decode("utf-8") for w in some], add_special_tokens=False)):
                 self.ids[word] = np.asarray(found.ids, "<u4").tobytes()
-        self.ids[b""] = b""
-        return {w: self.ids[core] + self.ids[tail] for w, (core, tail) in split.items()}
+        ids = self.ids
+        self.words.update((w, ids[core] + ids[tail] if tail else ids[core]) for w, (core, tail) in split.items())
+        return [b"".join(map(self.words.__getitem__, words)) for words in texts]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -114,9 +119,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
             body, rows = data.tobytes(), []
             ids = part.column(part.schema.get_field_index("doc_id")).to_pylist()
             texts = [body[a:b].split() for a, b in zip(offsets[:-1], offsets[1:])]
-            memory = vocabulary.learn(set().union(*texts))
-            for doc_id, words in zip(ids, texts):
-                tokens = b"".join(map(memory.__getitem__, words)) + end
+            for doc_id, own_tokens in zip(ids, vocabulary.tokens(texts)):
+                tokens = own_tokens + end
                 for piece, start in enumerate(range(0, len(tokens) // 4, capacity)):
                     own = tokens[4 * start:4 * (start + capacity)]
                     row = (doc_id, piece, start, len(own) // 4, zlib.crc32(own))
