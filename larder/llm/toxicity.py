@@ -82,7 +82,7 @@ SUSPICIOUS = re.compile(
     rf"(?<![a-z{_SIGNS}])[a-z{_SIGNS}]*[{_SIGNS}][a-z][a-z{_SIGNS}]*"
     rf"|(?<![\w{_SIGNS}])(?:[a-z{_SIGNS}][ .\-_]{{1,2}}){{3,}}[a-z{_SIGNS}](?![\w])"
     r"|(?<![a-z])[a-z]*?([a-z])\1\1[a-z]*")
-LOG = {"same": 0.0, "sign": -0.7, "mask": -3.5, "drop": -7.0, "once": -0.3, "twice": -2.5}
+LOG = {"same": 0.0, "sign": -0.7, "mask": -3.5, "drop": -14.0, "once": -0.3, "twice": -1.0, "single": -5.0}
 
 
 def _options(sign: str, count: int) -> list[tuple[tuple[int, ...], float]]:
@@ -94,7 +94,7 @@ def _options(sign: str, count: int) -> list[tuple[tuple[int, ...], float]]:
     elif sign in LOOKALIKES:
         letters, weight = [ord(c) - 97 for c in LOOKALIKES[sign]], LOG["sign"]
     elif sign in MASKS:
-        return [((x,), LOG["mask"]) for x in range(26)] + [((), LOG["drop"])]
+        return [((x,), LOG["mask"]) for x in range(26)] + [((), LOG["drop"] / 2)]
     else:
         return [((OTHER,), 0.0)]
     out = []
@@ -102,7 +102,7 @@ def _options(sign: str, count: int) -> list[tuple[tuple[int, ...], float]]:
         if count == 1:
             out.append(((x,), weight))
         elif count == 2:
-            out += [((x, x), weight), ((x,), weight + LOG["twice"])]
+            out += [((x, x), weight), ((x,), weight + LOG["single"])]
         else:
             out += [((x,), weight + LOG["once"]), ((x, x), weight + LOG["twice"])]
     if not "a" <= sign <= "z":
