@@ -48,11 +48,11 @@ class JoinParams:
     #: A shingle of this many documents goes to the end of every order; counted over what tasks
     #: met in ``met`` documents or more, ``counted_at_once`` shingles at a time.
     common_documents: int = 12
-    met: int = 3
+    met: int = 2
     counted_at_once: int = 4_000_000
     #: A shingle in the prefixes of more groups than this goes there too, and prefixes are redone.
-    crowded_groups: int = 200
-    redo: int = 3
+    crowded_groups: int = 40
+    redo: int = 1
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
