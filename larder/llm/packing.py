@@ -62,7 +62,7 @@ class Vocabulary:
 
     known: dict[str, Vocabulary] = {}
 
-    def __init__(self, path: str, remember: int = 1_200_000):
+    def __init__(self, path: str, remember: int = 350_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -70,6 +70,7 @@ class Vocabulary:
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.remember = remember
         self.ids: dict[bytes, bytes] = {b"": b""}  # of what is looked up
+        self.older: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {}  # of words as they stand
 
     @classmethod
@@ -94,16 +95,20 @@ class Vocabulary:
         """The ids of each text, given as words."""
         if len(self.words) > self.remember:
             self.words.clear()
-        if len(self.ids) > self.remember:
-            self.ids = {b"": b""}
         words = set().union(*texts).difference(self.words)
         split = {w: self.parts(w) for w in words}
-        new = list({p for pair in split.values() for p in pair}.difference(self.ids))
+        asked = {p for pair in split.values() for p in pair}
+        if len(self.ids) > self.remember:  # what is asked for again outlives the change
+            self.older, self.ids = self.ids, {b"": b""}
+        ids = self.ids
+        for p in asked.difference(ids):
+            if p in self.older:
+                ids[p] = self.older[p]
+        new = list(asked.difference(ids))
         for start in range(0, len(new), 10_000):
             some = new[start:start + 10_000]
             for word, found in zip(some, self.encode([w.decode("utf-8") for w in some], add_special_tokens=False)):
-                self.ids[word] = np.asarray(found.ids, "<u4").tobytes()
-        ids = self.ids
+                ids[word] = np.asarray(found.ids, "<u4").tobytes()
         self.words.update((w, ids[core] + ids[tail] if tail else ids[core]) for w, (core, tail) in split.items())
         return [b"".join(map(self.words.__getitem__, words)) for words in texts]
 
