@@ -209,6 +209,23 @@ def test_template_classes_nest(spark):
     assert root["class"].nunique() == 1 and root["is_text"].sum() == 2  # "One & two" and "Same words here."
 
 
+def test_nested_classes_decide_slots(spark):
+    # the box stands on 7 of 9 pages, under a name that no list has, on pages without an article
+    box = "<div class='zyx'><p>Get our app today</p></div>"
+    rows = [(i, f"http://boxes.example/{i}", f"<body><div class='qq'><p>Story {i} is new</p></div>{box if i > 1 else ''}</body>") for i in range(9)]
+    found = {r["page_id"]: r["text"] for r in H.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"Story {i} is new" for i in range(9)}
+
+
+def test_names_never_drop_an_article():
+    params = H.TemplateParams()
+    for page in ("<article class='post promoted'><p>Long story</p></article>", "<div class='layout with-sidebar'><article><p>Long story</p></article></div>",
+                 "<div class='widget'><main><p>Long story</p><div class='share'>Share</div></main></div>"):
+        assert H.page_text(page, frozenset(), params) == "Long story", page
+    assert H.page_text("<article><p>Story</p></article><div id='comments'><article><p>First!</p></article></div>", frozenset(), params) == "Story"
+    assert H.page_text("<nav><article><p>Menu</p></article></nav><p>Story</p>", frozenset(), params) == "Story"
+
+
 # ------------------------------------------------------------------ helpers and pipeline
 
 
