@@ -226,6 +226,21 @@ def test_names_never_drop_an_article():
     assert H.page_text("<nav><article><p>Menu</p></article></nav><p>Story</p>", frozenset(), params) == "Story"
 
 
+def test_near_copies_odd_pages_and_numbered_parts(spark):
+    common = [f"Paragraph {k} of the one article that all these pages copy." for k in range(6)]
+    rows = [(i, "http://near.example/", "<article>" + "".join(f"<p>{c}</p>" for c in common) + f"<p>Changed {i}</p></article>") for i in range(8)]
+    # a third of the host are pages without tokens or of another make: the others keep their template
+    numbered = "<body><div class='qq'><p>Line of every page</p></div><div id='post-{0}'><p>Own story {0}</p></div></body>"
+    rows += [(100 + i, "http://odd.example/", numbered.format(i)) for i in range(10)]
+    rows += [(110, "http://odd.example/", None), (111, "http://odd.example/", ""), (112, "http://odd.example/", "plain"), (113, "http://odd.example/", "<p>x")]
+    found = {r["page_id"]: r["text"] for r in H.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [found[i] for i in range(8)] == ["\n".join([*common, f"Changed {i}"]) for i in range(8)]
+    assert [found[100 + i] for i in range(10)] == [f"Own story {i}" for i in range(10)]
+    assert [found[i] for i in (110, 111, 112, 113)] == ["", "", "plain", "x"]
+    paths = [H.blocks(numbered.format(i))[0][1].path for i in (1, 2)]
+    assert paths[0] == paths[1]
+
+
 # ------------------------------------------------------------------ helpers and pipeline
 
 
