@@ -96,8 +96,10 @@ def base_spans(text: str) -> list[Span]:
 # ---------------------------------------------------------------------------------------
 
 _NUMBER = re.compile(r"(?<![A-Za-z0-9+])\+?[0-9](?:[ ().\-/_]{0,2}[0-9]){6,}(?![A-Za-z0-9])")
-_AT = re.compile(r" ?[(\[{]at[)\]}] ?| ?[(\[{]@[)\]}] ?| @ | at ")
-_HOST = re.compile(r"[A-Za-z0-9-]+(?:(?: ?[(\[{](?:dot|\.)[)\]}] ?| dot |\.)[A-Za-z0-9-]+)+")
+_AT = re.compile(r" ?[(\[{](?i:at)[)\]}] ?| ?[(\[{]@[)\]}] ?| @ | (?i:at) ")
+_HOST = re.compile(r"[A-Za-z0-9-]+(?:(?: ?[(\[{](?:(?i:dot)|\.)[)\]}] ?| (?i:dot) |\.)[A-Za-z0-9-]+)+")
+#: Every base match and open candidate has one of these.
+_GATE = re.compile(r"[0-9@]|[ (\[{][Aa][Tt][ )\]}]")
 
 
 def open_candidates(text: str, base: list[Span]) -> list[Span]:
@@ -105,14 +107,14 @@ def open_candidates(text: str, base: list[Span]) -> list[Span]:
     found = []
     if _DIGIT.search(text):
         found += [m.span() for m in _NUMBER.finditer(text)]
-    if "at" in text or "@" in text:
+    if _GATE.search(text):
         for m in _AT.finditer(text):
             start, floor = m.start(), max(0, m.start() - 64)
             while start > floor and text[start - 1] in _LOCAL_CHARS:
                 start -= 1
             host = _HOST.match(text, m.end())
             # the bare word needs a spelled-out dot too, or it is ordinary prose
-            if start < m.start() and host and (m[0] != " at " or " dot " in host[0]):
+            if start < m.start() and host and (m[0].lower() != " at " or " dot " in host[0].lower()):
                 found.append((start, host.end()))
     out, free = [], 0
     for start, end in sorted(found):
@@ -256,7 +258,7 @@ def evidence(docs: DataFrame) -> DataFrame:
         unary, prior, pairs = Counter(), Counter(), Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if not text or not ("@" in text or _DIGIT.search(text) or " at " in text):
+                if not text or not _GATE.search(text):
                     continue
                 base = base_spans(text)
                 nodes = sorted(base + open_candidates(text, base), key=lambda s: (s[1], s[0]))
@@ -307,7 +309,7 @@ def fit(docs: DataFrame, params: FieldParams = FieldParams()) -> Field:
 
 def find(text: str | None, field: Field, params: FieldParams = FieldParams()) -> tuple[list[Span], list[Span]]:
     """(base spans, added spans) of one whole text."""
-    if not text or not ("@" in text or _DIGIT.search(text) or " at " in text):
+    if not text or not _GATE.search(text):
         return [], []
     base = base_spans(text)
     more = open_candidates(text, base)

@@ -157,6 +157,19 @@ def test_field_adds_like_mentions_and_redacts(spark):
     assert P.personal_data(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("said", ["joe.doe (at) mail (dot) org", "joe[at]mail[dot]org", "joe{at}mail.org", "Joe.Doe (AT) Mail (DOT) Org", "JOE AT MAIL DOT ORG"])
+def test_spelled_out_addresses_alone_are_looked_at(spark, said):
+    text = f"write to {said} soon"
+    start = text.index(said)
+    assert (P.NONE, start, start + len(said)) in P.open_candidates(text, [])
+    assert P.content(said) in ("joe.doe@mail.org", "joe@mail.org")
+    field = P.Field({}, np.array([9.0, 0, 0, 0, 0]), *(np.zeros((P.LABELS, P.LABELS)) for _ in range(3)))
+    assert P.find(text, field) == ([], [(0, start, start + len(said))])
+    assert P.redact(text, field) == "write to <email> soon"
+    counts = P.evidence(spark.createDataFrame([(text,)], "text string")).where("what = 'prior'").collect()
+    assert [(r["label"], r["n"]) for r in counts] == [(P.NONE, 1)]
+
+
 def test_long_runs_take_linear_time():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "+" * 100_000, "1." * 100_000, "@" * 100_000, "(at)" * 30_000):
         P.find(text, P.Field({}, np.zeros(5), *(np.zeros((5, 5)) for _ in range(3))))
