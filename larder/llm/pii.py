@@ -5,8 +5,8 @@ candidates (other separators, spelled-out signs, failing check digits) and the b
 one document are the nodes of a conditional random field.  Neighbouring nodes share a chain
 potential; distant nodes with the same or similar content share a skip potential, so that all
 mentions of one thing tend to one label.  Node and edge potentials are log ratios of counts over
-the whole corpus; loopy message passing gives marginals, and a candidate with a likely kind is
-added.  Base matches are clamped, so they always stay.
+the whole corpus; loopy message passing, until messages rest, gives marginals, and a candidate with
+a likely kind is added.  Base matches are clamped, so they always stay.
 
 Defined results
     NULL or empty text: no spans.  NULL doc_id: kept as NULL.  Repeated rows: each is answered.
@@ -164,8 +164,11 @@ def features(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class FieldParams:
+    #: Rounds of all messages at once; what still changes then goes in sweeps along the document.
     rounds: int = 12
     damping: float = 0.3
+    #: Messages that change by less are settled.
+    settled: float = 1e-4
     #: A candidate is added when some kind has at least this marginal.
     accept: float = 0.6
     smoothing: float = 0.5
@@ -192,16 +195,28 @@ class Field:
         return self.prior + sum((self.unary[f] for f in features(text) if f in self.unary), np.zeros(LABELS))
 
 
-def edges(texts: list[str]) -> list[tuple[int, int, str]]:
+def edges(texts: list[str], clamped: np.ndarray | None = None) -> list[tuple[int, int, str]]:
     """(mention, later mention, kind of edge).  Skips join each mention to the previous one with
-    the same key, so their number is linear in the mentions."""
+    the same key and, where ``clamped`` names base matches, each open one to the base matches next
+    before and after it with the same key: what a base match says would fade on its way through
+    open mentions.  Their number is linear in the mentions."""
     last: dict[str, int] = {}
     skips: dict[tuple[int, int], str] = {}
-    for i, text in enumerate(texts):
-        for key in similarity_keys(text):
+    keys = [similarity_keys(text) for text in texts]
+    for i, own in enumerate(keys):
+        for key in own:
             if key in last:
                 skips.setdefault((last[key], i), "same" if key[0] == "=" else "similar")
             last[key] = i
+    if clamped is not None:
+        for order in (range(len(texts)), range(len(texts) - 1, -1, -1)):
+            last = {}
+            for i in order:
+                for key in keys[i]:
+                    if clamped[i] >= 0:
+                        last[key] = i
+                    elif key in last:
+                        skips.setdefault((min(last[key], i), max(last[key], i)), "same" if key[0] == "=" else "similar")
     return [(i, i + 1, "chain") for i in range(len(texts) - 1)] + [(i, j, kind) for (i, j), kind in sorted(skips.items())]
 
 
@@ -221,18 +236,44 @@ def marginals(unary: np.ndarray, clamped: np.ndarray, joined: list[tuple[int, in
     table = np.stack([tables[e[2]] for e in joined])
     table = np.concatenate([table, table.transpose(0, 2, 1)])
     message = np.zeros((len(a), LABELS))
+    free = (clamped < 0)[b]  # nothing is told to a clamped node: many that disagree would outweigh it
     back = np.r_[np.arange(half, 2 * half), np.arange(half)]
+    def passed(sent, tables):
+        out = sent[:, :, None] + tables
+        top = out.max(1)
+        new = top + np.log(np.exp(out - top[:, None, :]).sum(1))
+        return new - new.max(1, keepdims=True)
+
+    moved = np.inf
     for _ in range(params.rounds):
         belief = score.copy()
         np.add.at(belief, b, message)
-        out = (belief[a] - message[back])[:, :, None] + table
-        top = out.max(1)
-        new = top + np.log(np.exp(out - top[:, None, :]).sum(1))
-        new -= new.max(1, keepdims=True)
+        new = passed(belief[a] - message[back], table) * free[:, None]
         moved = np.abs(new - message).max()
         message = params.damping * message + (1 - params.damping) * new
-        if moved < 1e-4:
+        if moved < params.settled:
             break
+    if moved >= params.settled:
+        # there and back along the document: a sweep reaches every link; steps get shorter every
+        # ``rounds`` sweeps, so that messages that swing come to rest too
+        order = np.argsort(a, kind="stable")
+        ways = []
+        for mine in (order[free[order] & (order < half)], order[free[order] & (order >= half)]):
+            at = np.searchsorted(a[mine], np.arange(len(score) + 1))
+            ways.append([(i, mine[at[i]:at[i + 1]]) for i in range(len(score)) if at[i] < at[i + 1]])
+        ways[1].reverse()
+        sweep = 0
+        while moved >= params.settled:
+            step, moved = (1 - params.damping) * 0.5 ** (sweep // params.rounds), 0.0
+            belief = score.copy()
+            np.add.at(belief, b, message)
+            for way in ways:
+                for i, out in way:
+                    change = step * (passed(belief[i] - message[back[out]], table[out]) - message[out])
+                    message[out] += change
+                    np.add.at(belief, b[out], change)
+                    moved = max(moved, np.abs(change).max())
+            sweep += 1
     belief = score.copy()
     np.add.at(belief, b, message)
     p = np.exp(belief - belief.max(1, keepdims=True))
@@ -318,7 +359,7 @@ def find(text: str | None, field: Field, params: FieldParams = FieldParams()) ->
     nodes = sorted(base + more, key=lambda s: (s[1], s[0]))
     texts = [text[a:b] for _, a, b in nodes]
     clamped = np.array([k if k != NONE else -1 for k, _, _ in nodes])
-    p = marginals(np.stack([field.node(t) for t in texts]), clamped, edges(texts), field, params)
+    p = marginals(np.stack([field.node(t) for t in texts]), clamped, edges(texts, clamped), field, params)
     added = []
     for i in np.flatnonzero(clamped < 0):
         kind = int(p[i, :NONE].argmax())

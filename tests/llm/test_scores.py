@@ -170,6 +170,26 @@ def test_spelled_out_addresses_alone_are_looked_at(spark, said):
     assert [(r["label"], r["n"]) for r in counts] == [(P.NONE, 1)]
 
 
+def test_all_equal_mentions_of_a_long_document_agree(spark):
+    card = "4111 1111 1111 1111"
+    rows = [(i, f"pay {card} now") for i in range(20)] + [(50 + i, f"call 12{i}34.5678.90{i}1 maybe") for i in range(20)]
+    field = P.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    for plain, other in ((card, "4111.1111.1111.1111"), ("joe.doe@mail.org", "joe.doe (at) mail (dot) org")):
+        for many in (13, 40, 250):
+            for text in (" and ".join([plain] + [other] * many), " and ".join([other] * many + [plain])):
+                base, added = P.find(text, field)
+                assert len(base) == 1 and len(added) == many and {k for k, _, _ in added} == {base[0][0]}, (plain, many, len(added))
+
+
+def test_messages_pass_along_every_link():
+    # thirty links without a word of their own: what the first says reaches the last
+    agree = np.full((P.LABELS, P.LABELS), -9.0) + 18 * np.eye(P.LABELS)
+    field = P.Field({}, np.zeros(P.LABELS), np.zeros((P.LABELS, P.LABELS)), agree, agree)
+    clamped = np.r_[2, np.full(30, -1)]
+    p = P.marginals(np.zeros((31, P.LABELS)), clamped, [(i, i + 1, "same") for i in range(30)], field, P.FieldParams())
+    assert (p.argmax(1) == 2).all() and p[:, 2].min() > 0.9
+
+
 def test_long_runs_take_linear_time():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "+" * 100_000, "1." * 100_000, "@" * 100_000, "(at)" * 30_000):
         P.find(text, P.Field({}, np.zeros(5), *(np.zeros((5, 5)) for _ in range(3))))
