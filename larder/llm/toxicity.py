@@ -1,8 +1,8 @@
 """Toxicity scores after noisy-channel deobfuscation.
 
 1. A character trigram model is counted over every word of the corpus (a table of fixed size).
-2. Suspicious spans of a text (leetspeak, spaced-out letters, repeated letters) become lattices
-   of intended letters; Viterbi decoding finds the likeliest intended string under channel
+2. Suspicious spans of a text (leetspeak, masks, spaced-out letters, repeated letters) become
+   lattices of intended letters and word boundaries; Viterbi decoding finds the likeliest intended string under channel
    costs and the character model.
 3. Restored text is scored by a logistic model over words and word beginnings, fitted on a
    bounded sample of labelled training rows.
@@ -76,13 +76,24 @@ LOOKALIKES = {
 MASKS = "*"
 SEPARATORS = " .-_*"
 _SIGNS = re.escape("".join(LOOKALIKES) + MASKS)
-#: Spans worth decoding: a sign in front of a letter inside a token; single signs or letters set
-#: apart; a letter three times in a row.  Look-behinds anchor every span at a run's start.
+_LETTER = r"[^\W\d_]"
+_UNIT = rf"(?:{_LETTER}|[{_SIGNS}])"
+#: Spans worth decoding: three or more signs or letters set apart; a token with a sign next to a
+#: letter; a letter three times in a row.  Look-behinds anchor every span at a run's start.
 SUSPICIOUS = re.compile(
-    rf"(?<![a-z{_SIGNS}])[a-z{_SIGNS}]*[{_SIGNS}][a-z][a-z{_SIGNS}]*"
-    rf"|(?<![\w{_SIGNS}])(?:[a-z{_SIGNS}][ .\-_]{{1,2}}){{3,}}[a-z{_SIGNS}](?![\w])"
-    r"|(?<![a-z])[a-z]*?([a-z])\1\1[a-z]*")
-LOG = {"same": 0.0, "sign": -0.7, "mask": -3.5, "drop": -14.0, "once": -0.3, "twice": -1.0, "single": -5.0}
+    rf"(?<![\w{_SIGNS}]){_UNIT}(?:[ .\-_]{{1,2}}{_UNIT}|\*(?!\*){_UNIT}){{2,}}(?!\w)"
+    rf"|(?<!{_LETTER})(?<![{_SIGNS}]){_UNIT}*(?:[{_SIGNS}]{_LETTER}|{_LETTER}[{_SIGNS}]){_UNIT}*"
+    rf"|(?<!{_LETTER})(?:{_LETTER})*?([a-z])\1\1(?:{_LETTER})*")
+_SPACED = re.compile(rf"{_UNIT}(?:[ .\-_]{{1,2}}{_UNIT}|\*(?!\*){_UNIT}){{2,}}")
+LOG = {"same": 0.0, "sign": -0.7, "mask": -3.5, "drop": -14.0, "once": -0.3, "twice": -1.0, "single": -5.0,
+       "edge": -8.0, "point": -2.0, "mask edge": -10.0, "space edge": -0.5, "between": -1.0}
+
+
+def _edge(sign: str) -> float:
+    """Log channel weight of a sign, or run of signs, that ends a word; letters never do."""
+    if sign in SEPARATORS:
+        return LOG["mask edge" if sign in MASKS else "space edge"]
+    return LOG["point" if sign == "!" else "edge"] if sign in LOOKALIKES else -np.inf
 
 
 def _options(sign: str, count: int) -> list[tuple[tuple[int, ...], float]]:
@@ -94,7 +105,7 @@ def _options(sign: str, count: int) -> list[tuple[tuple[int, ...], float]]:
     elif sign in LOOKALIKES:
         letters, weight = [ord(c) - 97 for c in LOOKALIKES[sign]], LOG["sign"]
     elif sign in MASKS:
-        return [((x,), LOG["mask"]) for x in range(26)] + [((), LOG["drop"] / 2)]
+        return [((), LOG["drop"] / 2)]  # its letters are taken all at once
     else:
         return [((OTHER,), 0.0)]
     out = []
@@ -110,38 +121,105 @@ def _options(sign: str, count: int) -> list[tuple[tuple[int, ...], float]]:
     return out
 
 
+def _masked_end(a: int, b: int, masks: int, model: np.ndarray) -> tuple[float, str]:
+    """(log weight, letters) of the likeliest end of a word after the letters a, b, of which at
+    most ``masks`` letters are hidden: masks that hide none are dropped, or end the word."""
+    spare = max(masks * LOG["drop"] / 2, LOG["mask edge"]) if masks else 0.0
+    best, steps = (model[a, b, EDGE] + spare, ""), []
+    value = model[a, b, :26][None]  # by the letter before (b alone at first) and the last letter
+    for j in range(1, masks + 1):
+        left = masks - j
+        ends = value + (model[b, :26, EDGE][None] if j == 1 else model[:26, :26, EDGE])
+        at = int(ends.argmax())
+        score = float(ends.flat[at]) + j * LOG["mask"] + (max(left * LOG["drop"] / 2, LOG["mask edge"]) if left else 0.0)
+        if score > best[0]:
+            x, y = divmod(at, 26)
+            letters = [y]
+            for back in reversed(steps):
+                letters.append(x)
+                x, y = (int(back[x, y]) if back is not None else 0), x
+            best = (score, "".join(chr(97 + c) for c in reversed(letters[:j])))
+        if j < masks:
+            # j + 1 letters: the best letter two before the last
+            following = value[:, :, None] + (model[b, :26, :26][None] if j == 1 else model[:26, :26, :26])
+            steps.append(None if j == 1 else following.argmax(0))
+            value = following.max(0)
+    return best
+
+
 def restore(span: str, model: np.ndarray) -> str:
-    """The likeliest intended string of an observed span: Viterbi over the lattice whose states
-    are the last two letters."""
-    spaced = len(span) > 3 and all(c in " .-_" for c in span[1:2])
-    if spaced:
-        span = "".join(c for c in span if c not in " .-_")
+    """The likeliest intended words of an observed span.  Signs set apart have up to three readings:
+    as one word, as words, and as one word after a word of one letter in front."""
+    if not _SPACED.fullmatch(span):
+        return _decode(span, model, False, True)
+    found = [_decode(span, model, True, False), _decode(span, model, True, True)]
+    rest = re.sub(r"^.[ .\-_*]+", "", span)
+    if _SPACED.fullmatch(rest):
+        found.append(_decode(rest, model, True, False))
+    return " ".join(dict.fromkeys(w for f in found for w in f.split()))
+
+
+def _decode(span: str, model: np.ndarray, spaced: bool, bounded: bool) -> str:
+    """Viterbi over the lattice whose states are the last two letters; ``bounded``: separators may
+    be word boundaries."""
+    masks = 0 if spaced else len(span) - len(span.rstrip(MASKS))
+    span = span[:len(span) - masks]
     runs, i = [], 0
     while i < len(span):
-        j = i
-        while j < len(span) and span[j] == span[i]:
+        j = i + 1
+        # a mask hides a letter, so each counts; separators of any kind are one
+        while j < len(span) and (span[j] == span[i] and span[i] not in MASKS or span[i] in " .-_" and span[j] in " .-_"):
             j += 1
         runs.append((span[i], j - i))
         i = j
     states: dict[tuple[int, int], tuple[float, tuple]] = {(EDGE, EDGE): (0.0, ())}
-    for sign, count in runs:
+    for k, (sign, count) in enumerate(runs):
         following: dict[tuple[int, int], tuple[float, tuple]] = {}
-        for letters, weight in _options(sign, count):
+
+        def reach(x, y, s, p):
+            best = following.get((x, y))
+            if best is None or s > best[0]:
+                following[(x, y)] = (s, p)
+
+        options = _options(sign, count)
+        if spaced and sign in MASKS and 0 < k < len(runs) - 1 and runs[k - 1][0] not in SEPARATORS:
+            options = [((), LOG["between"])]
+        for letters, weight in options:
             for (a, b), (score, path) in states.items():
                 x, y, s, p = a, b, score + weight, path
                 for c in letters:
                     s += model[x, y, c]
-                    x, y, p = y, c, (p, c)
-                best = following.get((x, y))
-                if best is None or s > best[0]:
-                    following[(x, y)] = (s, p)
+                    x, y, p = y, c, (p, sign if c == OTHER else chr(97 + c))
+                reach(x, y, s, p)
+        if sign in MASKS:
+            before: dict[int, list] = {}
+            for (a, b), (score, path) in states.items():
+                before.setdefault(b, []).append((a, score + LOG["mask"], path))
+            for b, many in before.items():
+                scores = model[[m[0] for m in many], b, :26] + np.array([m[1] for m in many])[:, None]
+                for c, at in enumerate(scores.argmax(0).tolist()):
+                    reach(b, c, scores[at, c], (many[at][2], chr(97 + c)))
+        if (weight := _edge(sign)) > -np.inf and (bounded or sign not in SEPARATORS):
+            for (a, b), (score, path) in states.items():
+                # signs that follow a boundary belong to it; further masks at no cost
+                if path and path[1] == " ":
+                    reach(a, b, score + (0.0 if sign in MASKS else weight), path)
+                else:
+                    reach(b, EDGE, score + weight + model[a, b, EDGE], (path, " "))
         states = following
-    _, path = max(((s + model[a, b, EDGE], p) for (a, b), (s, p) in states.items()), key=lambda t: (t[0], str(t[1])))
+    ends = []
+    for (a, b), (score, path) in states.items():
+        if path and path[1] == " ":
+            ends.append((score, "", path))  # the word has ended already
+        else:
+            weight, hidden = _masked_end(a, b, masks, model)
+            ends.append((score + weight, hidden, path))
+    _, hidden, path = max(ends, key=lambda t: (t[0], t[1], str(t[2])))
     out = []
     while path:
         path, c = path
-        out.append(chr(97 + c) if c < 26 else "?")
-    return "".join(reversed(out))
+        out.append(c)
+    return ("".join(reversed(out)) + hidden).strip()
 
 
 class Restorer:

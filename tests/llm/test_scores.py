@@ -38,6 +38,45 @@ def test_decoding_restores_disguised_words():
         assert meant is None or meant in found, (seen, found)
 
 
+def words_model(words):
+    n = np.zeros((28, 28, 28))
+    codes = [26]
+    for w in words * 50:
+        codes += [ord(c) - 97 for c in w] + [26]
+    for a, b, c in zip(codes, codes[1:], codes[2:]):
+        n[a, b, c] += 1
+    for w in words:
+        n[26, 26, ord(w[0]) - 97] += 50
+    return np.log((n + 0.01) / (n.sum(2, keepdims=True) + 0.28))
+
+
+def test_decoding_of_signs_at_the_end_short_words_and_boundaries():
+    restorer = T.Restorer(words_model("the fool ass hate shit idiot stupid trash a is so it that".split()))
+    for seen, meant in (("a$$", "ass"), ("foo*", "fool"), ("f***", "fool"), ("hat3", "hate"), ("sh!+", "shit"), ("idi0+", "idiot"), ("a s s", "ass"),
+                        ("you are a s t u p i d", "stupid"), ("s*t*u*p*i*d", "stupid"), ("t.r.a.s.h!", "trash"), ("i d i o t!", "idiot")):
+        found = T.restored_words(f"so {seen} it", restorer)
+        assert meant in found, (seen, found)
+    # signs that only end a sentence hide nothing
+    for seen in ("it!", "that!!!", "that***"):
+        assert set(T.restored_words(seen, restorer)) == {seen.rstrip("!*")}, seen
+
+
+def test_masks_at_the_end_hide_the_likeliest_letters():
+    import itertools
+
+    rng = np.random.default_rng(5)
+    model = np.log(rng.dirichlet(np.full(28, 0.1), (28, 28)) + 1e-9)
+    for a, b, masks in ((26, 3, 1), (4, 7, 2), (26, 26, 3), (0, 19, 3)):
+        scores = {}
+        for j in range(masks + 1):
+            spare = max((masks - j) * T.LOG["drop"] / 2, T.LOG["mask edge"]) if j < masks else 0.0
+            for letters in itertools.product(range(26), repeat=j):
+                codes = (a, b, *letters, T.EDGE)
+                scores["".join(chr(97 + c) for c in letters)] = spare + j * T.LOG["mask"] + sum(model[codes[i:i + 3]] for i in range(len(codes) - 2))
+        score, hidden = T._masked_end(a, b, masks, model)
+        assert hidden == max(scores, key=scores.get) and score == pytest.approx(scores[hidden])
+
+
 def test_toxicity_on_held_out_rows(spark, corpus):
     docs, labels = corpus
     extra = docs.withColumn("score", F.lit(1)).withColumn("held_out", F.lit("x"))
@@ -190,6 +229,11 @@ def test_messages_pass_along_every_link():
     assert (p.argmax(1) == 2).all() and p[:, 2].min() > 0.9
 
 
+def test_long_runs_of_signs_take_linear_time():
+    for text in ("a" * 200_000, "*" * 20_000 + "a", " *" * 5_000, "a*" * 5_000, "!" * 100_000 + "a!", "a " * 5_000, "é" * 100_000):
+        list(T.SUSPICIOUS.finditer(text))
+
+
 def test_long_runs_take_linear_time():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "+" * 100_000, "1." * 100_000, "@" * 100_000, "(at)" * 30_000):
         P.find(text, P.Field({}, np.zeros(5), *(np.zeros((5, 5)) for _ in range(3))))
