@@ -159,10 +159,12 @@ def _compare(d: int, keep: int):
             a = asked[start:start + 256]
             near = (a @ rows.T) / np.sqrt((a * a).sum(1))[:, None] / length
             take = min(2 * keep, len(ids))
-            best = np.argpartition(-near, take - 1, axis=1)[:, :take]
+            border = -np.partition(-near, take - 1, axis=1)[:, take - 1]
+            # rows within rounding error of the border may tie with it
+            error = 4 * (d + 8) * np.finfo(float).eps
             for i in range(len(a)):
                 # the measure itself, summed in one fixed order for every pair
-                pick = np.sort(best[i])
+                pick = np.flatnonzero(~(near[i] < border[i] - error))
                 score = (rows[pick] * a[i]).sum(1) / (np.sqrt((a[i] * a[i]).sum()) * length[pick])
                 first = np.argsort(-score, kind="stable")[:keep]
                 out.append((np.full(len(first), query[start + i]), ids[pick[first]], score[first]))

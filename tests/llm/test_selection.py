@@ -156,6 +156,19 @@ def test_nearest_recall_ties_and_odd_vectors(spark):
     assert sorted(r["rank"] for r in few) == [1, 2]
 
 
+def test_ties_at_the_border_of_a_chunk_go_to_the_smaller_ids():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=16)
+    for many in (40, 300):
+        ids = rng.permutation(many)
+        rows = [(v * 2.0 ** int(i % 40)).tolist() for i in ids]
+        left = pa.table({"gid": pa.array(ids + 1), "embedding": pa.array(rows, pa.list_(pa.float64()))})
+        right = pa.table({"query": pa.array([7]), "asked": pa.array([(v + 0.01 * rng.normal(size=16)).tolist()], pa.list_(pa.float64()))})
+        assert N._compare(16, 6)((), left, right)["gid"].to_pylist() == [1, 2, 3, 4, 5, 6]
+
+
 def test_hilbert_keys_walk_through_neighbours():
     side = np.arange(16)
     cells = np.stack(np.meshgrid(side, side, side), -1).reshape(-1, 3)
