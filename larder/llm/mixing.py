@@ -64,6 +64,11 @@ def weight_of(level: str, params: MixParams) -> Column:
     return out.cast("long")
 
 
+def wide(column: str) -> Column:
+    """Whole numbers whose products do not overflow: tokens of a source times weights."""
+    return F.col(column).cast("decimal(19,0)")
+
+
 def share_out(children: DataFrame, parent: list[str], order: str, budget: str) -> DataFrame:
     """Give each parent's ``budget`` to its children (columns ``weight``, ``cap``): in proportion
     to weight, no child above its cap, exact whole tokens.  Adds ``given``."""
@@ -75,12 +80,12 @@ def share_out(children: DataFrame, parent: list[str], order: str, budget: str) -
               .withColumn("_caps", F.coalesce(F.sum("cap").over(before), zero))
               .withColumn("_weights", F.sum("weight").over(onwards))
               # a child is full when even an equal split of the rest would exceed its cap
-              .withColumn("_full", F.col("cap") * F.col("_weights") <= F.col("weight") * (F.col(budget) - F.col("_caps")))
+              .withColumn("_full", wide("cap") * wide("_weights") <= wide("weight") * (wide(budget) - wide("_caps")))
               .withColumn("_rest", F.col(budget) - F.sum(F.when(F.col("_full"), F.col("cap")).otherwise(zero)).over(family))
               .withColumn("_open", F.when(F.col("_full"), zero).otherwise(F.col("weight"))))
     upto = by.rowsBetween(Window.unboundedPreceding, 0)
     filled = filled.withColumn("_all", F.sum("_open").over(family)).withColumn("_upto", F.sum("_open").over(upto))
-    part = lambda w: F.expr(f"_rest * ({w}) div greatest(_all, 1)")
+    part = lambda w: F.expr(f"cast(cast(_rest as decimal(19,0)) * cast({w} as decimal(19,0)) div greatest(_all, 1) as long)")
     return (filled.withColumn("given", F.when(F.col("_full"), F.col("cap")).otherwise(part("_upto") - part("_upto - _open")))
             .drop("_caps", "_weights", "_full", "_rest", "_open", "_all", "_upto"))
 

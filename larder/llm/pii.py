@@ -78,7 +78,7 @@ def base_spans(text: str) -> list[Span]:
     out: list[Span] = [(0, a, b) for a, b in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            if all(len(n) <= 3 and int(n or 0) <= 255 for n in (p.lstrip("0") for p in m[0].split("."))):
                 out.append((1, *m.span()))
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")

@@ -212,6 +212,7 @@ def quality_verdicts(stats: DataFrame, labels: DataFrame, params: ForestParams =
     ``labels`` has (doc_id, quality).  Fitting reads at most ``max_labelled`` labelled rows that
     pass the base rules, the first in the order of a hash of doc_id."""
     marks = labels.select("doc_id", "quality").na.drop().groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    marks = C.lowest_by_hash(marks, "doc_id", params.max_labelled)
     sample = (stats.where(~base_failed()).join(marks, "doc_id").select("quality", *FEATURES, F.xxhash64("doc_id").alias("h"), "doc_id")
               .orderBy("h", "doc_id", *FEATURES).limit(params.max_labelled).toPandas())
     x = sample[list(FEATURES)].to_numpy(float)

@@ -81,11 +81,11 @@ def symbols(hashes: np.ndarray, at: np.ndarray, rounds: int) -> tuple[np.ndarray
 
 
 def _parts(batches):
-    """(texts' digests, word hashes, word offsets) of each chunk, exact copies inside a task once."""
+    """(bytes, offsets, two lists of word hashes, word offsets, texts met) of each chunk."""
     seen = C.Seen()
     for _, data, offsets in C.chunks(batches, "text"):
         starts, ends, at = C.words(data, offsets)
-        yield data, offsets, C.word_hashes(data, starts, ends), at, seen
+        yield data, offsets, C.word_hashes(data, starts, ends), C.word_hashes(data, starts, ends, 1), at, seen
 
 
 def shared_symbols(docs: DataFrame, params: RecompressionParams) -> np.ndarray:
@@ -93,7 +93,7 @@ def shared_symbols(docs: DataFrame, params: RecompressionParams) -> np.ndarray:
     rounds = params.rounds
 
     def run(batches):
-        for _, _, hashes, at, _ in _parts(batches):
+        for _, _, hashes, _, at, _ in _parts(batches):
             name, n = np.unique(symbols(hashes, at, rounds)[0], return_counts=True)
             yield pa.RecordBatch.from_pydict({"name": pa.array(C.signed(name)), "n": pa.array(n.astype(np.int32))})
 
@@ -106,7 +106,7 @@ def candidate_windows(docs: DataFrame, marks: np.ndarray, params: RecompressionP
     width, rounds = params.window, params.rounds
 
     def run(batches):
-        for data, offsets, hashes, at, seen in _parts(batches):
+        for data, offsets, hashes, again, at, seen in _parts(batches):
             inside = C.starts_inside(at, width, len(hashes))
             total = len(inside)
             if not total:
@@ -130,7 +130,8 @@ def candidate_windows(docs: DataFrame, marks: np.ndarray, params: RecompressionP
                     t1[a:b], t2[a:b] = text
                     keep[a:b] = True
             alive, owner = alive[keep], owner[keep]
-            w1, w2 = C.sequence_hashes(hashes, width, 1), C.sequence_hashes(hashes, width, 3)
+            # the second name rests on word names of its own
+            w1, w2 = C.sequence_hashes(hashes, width, 1), C.sequence_hashes(again, width, 3)
             yield pa.RecordBatch.from_pydict({
                 "w1": pa.array(C.signed(w1[alive])), "w2": pa.array((w2[alive] >> np.uint64(32)).astype(np.uint32).view(np.int32)), "t1": pa.array(t1[keep]), "t2": pa.array(t2[keep]),
                 "start": pa.array((alive - at[owner]).astype(np.int32))})

@@ -329,8 +329,8 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
     spark = docs.sparkSession
     scratch = C.Scratch(spark, "toxicity")
     characters = character_model(docs)
-    marks = (labels.where(~is_held_out()).select("doc_id", "toxic").na.drop().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.max_labelled))
+    marks = labels.where(~is_held_out()).select("doc_id", "toxic").na.drop().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marks = C.lowest_by_hash(marks, "doc_id", params.max_labelled).orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.max_labelled)
     # at most max_labelled rows of two numbers: a bounded broadcast
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))  # one text per labelled id
     train = (docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").withColumn("rank", F.row_number().over(first))

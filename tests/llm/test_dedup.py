@@ -106,3 +106,38 @@ def test_one_document_of_each_group_stays(spark):
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert R.substring_dedup(none).count() == S.substring_dedup(none).count() == J.similar_components(none).count() == J.one_of_each(none).count() == 0
+
+
+def thue_morse(n):
+    """Two words of n letters that collide under every polynomial modulo a power of two."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [8, 16, 64, 255, 256, 257, 2048])
+def test_words_that_collide_under_polynomials_differ(spark, n):
+    one, two = thue_morse(n)
+    rows = [(1, " ".join([one] * 5)), (2, " ".join([two] * 5)), (3, " ".join([one, "x"] * 30)), (4, " ".join([two, "x"] * 30)),
+            (5, " ".join(f"{one} {two} q{i}" for i in range(6)))]
+    found = J.similar_components(frame(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert B.in_order(found) == B.in_order(B.similar(rows))
+    found = R.substring_dedup(frame(spark, rows)).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert B.in_order(found) == B.in_order(B.removed_windows(rows, 35))
+
+
+def test_word_names_follow_the_bytes():
+    import numpy as np
+
+    from larder.llm import common as C
+
+    rnd = random.Random(9)
+    words = sorted({bytes(rnd.choice(b"ab\xc3\xa9") for _ in range(rnd.choice([1, 7, 8, 9, 15, 16, 17, 31, 40, 255, 256, 257, 300]))) for _ in range(3000)})
+    names = []
+    for sep in (b" ", b"\n\t "):
+        data = np.frombuffer(sep.join(words), np.uint8)
+        starts, ends, _ = C.words(data, np.array([0, len(data)]))
+        assert [data[a:b].tobytes() for a, b in zip(starts, ends)] == words
+        names.append(C.word_hashes(data, starts, ends))
+        assert len(np.unique(names[-1])) == len(words)
+        assert not (names[-1] == C.word_hashes(data, starts, ends, 1)).any()
+    assert (names[0] == names[1]).all()

@@ -237,3 +237,17 @@ def test_long_runs_of_signs_take_linear_time():
 def test_long_runs_take_linear_time():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "+" * 100_000, "1." * 100_000, "@" * 100_000, "(at)" * 30_000):
         P.find(text, P.Field({}, np.zeros(5), *(np.zeros((5, 5)) for _ in range(3))))
+
+
+def test_zero_padded_numbers_are_read_as_numbers():
+    assert [s for s in P.base_spans("0" * 5000 + "1.1.1.1") if s[0] == 1] == [(1, 0, 5007)]
+    assert [s for s in P.base_spans("9" * 5000 + ".1.1.1 and 0000.0.256.1") if s[0] == 1] == []
+    assert [s for s in P.base_spans("000.0.0255.1") if s[0] == 1] == [(1, 0, 12)]
+
+
+def test_repeated_words_are_counted_by_their_letters(spark):
+    bits = [bin(i).count("1") % 2 for i in range(256)]
+    one, two = ("".join(p[b] for b in bits) for p in ("ab", "ba"))
+    rows = [(1, f"{one} b c d e {two} b c d e f g"), (2, f"{one} b c d e {one} b c d e f g")]
+    stats = {r["doc_id"]: r["n_repeat_words"] for r in Q.rule_statistics(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert stats == {1: 0, 2: 10}
