@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import common as C
-from larder.llm import html_extract, jaccard_join, mixing, nearest, packing, pii, recompression, suffix_dedup, toxicity
+from larder.llm import chat_format, html_extract, jaccard_join, lexical_search, mixing, nearest, packing, pii, prefix_trie, recompression, suffix_dedup, toxicity
 from larder.llm import quality_rules as quality
 
 
@@ -59,6 +59,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(C.read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(C.read(spark, sf_dir, "documents", "doc_id", "text"), C.read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(C.read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat_format.with_trap(C.read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return chat_format.read_back(chat_format.format_conversations(turns))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -70,7 +83,15 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_nearest": op9_nearest,
     "op10_pii": op10_pii,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_chat_format": op13_chat_format,
 }
 
 #: DuckDB SQL by query name.
-ORACLE: dict[str, str] = {"op7_mixing": mixing.sql()}
+ORACLE: dict[str, str] = {
+    "op7_mixing": mixing.sql(),
+    "op11_lexical_search": lexical_search.sql(),
+    "op12_prefix_trie": prefix_trie.sql(),
+    "op13_chat_format": chat_format.sql(),
+}
