@@ -215,11 +215,13 @@ def prefix_trie(conversations: DataFrame, params: TrieParams = TrieParams()) ->
     """A row for every node of the trie of the rebuilt conversations, the root first in depth."""
     scratch = C.Scratch(conversations.sparkSession, "trie")
     width = params.width
-    numbered = number_turns(turn_names(conversations.select("conv_id", "turn", "role", "text")), scratch)
+    # kept, because finding the borders of a range partitioning reads its input once more
+    named = scratch.keep(turn_names(conversations.select("conv_id", "turn", "role", "text")), "named")
+    numbered = number_turns(named, scratch)
     convs, turns = rebuilt(numbered)
     convs = scratch.keep(convs, "convs")
     rows = scratch.keep(blocks(convs, turns, scratch, width), "rows")
-    scratch.drop("numbered", "blocks")
+    scratch.drop("named", "numbered", "blocks")
     nodes = scratch.keep(roll_up(rows, width, conv_id="min(conv_id)", longest="max(n)"), "nodes")
     # what each conversation owns: the nodes whose smallest member it is
     owned = nodes.groupBy("conv_id").agg(F.sum("w").alias("own_words"), F.max((F.col("longest") == F.col("depth")).cast("long")).alias("own_leaf"))
