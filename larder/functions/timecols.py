@@ -14,10 +14,11 @@ OTHER_SLOT = "Night"
 # The lenient parser's layouts (own choice): a date as year-month-day (``-`` or ``/``, one or two
 # digits), as eight digits or as month/day/year, then optionally a time of day with seconds, a
 # fraction of 1 to 9 digits and a zone.  Wall-clock time is kept, the zone is not applied.
-_EIGHT_DIGITS = r"^\s*(\d{4})(\d{2})(\d{2})(?=\D|$)"
-_MONTH_FIRST = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})(?=\D|$)"
-_LAYOUT = (r"^\s*(\d{4})[-/](\d{1,2})[-/](\d{1,2})"
+# Groups 1-3, 4-6 (eight digits) and 7-9 (month first) are the date, 10-13 hour, minute, second, fraction.
+_LAYOUT = (r"^\s*(?:(\d{4})[-/](\d{1,2})[-/](\d{1,2})|(\d{4})(\d{2})(\d{2})(?=\D|$)|(\d{1,2})/(\d{1,2})/(\d{4})(?=\D|$))"
            r"(?:(?:T|\s+)(\d{1,2}):(\d{2})(?::(\d{2})(?:\.(\d{1,9}))?)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?\s*$")
+_CUT = "\u0001"
+_CUT_PARTS = _CUT + _CUT.join(("$1$4$9", "$2$5$7", "$3$6$8", "$10", "$11", "$12", "$13"))
 
 
 def _col(col: Column | str) -> Column:
@@ -39,14 +40,16 @@ def parse_timestamp(col: Column | str, fmt: str = TIMESTAMP_FORMAT, text: bool =
 
 def lenient_timestamp(col: Column | str) -> Column:
     """Text in any of the layouts above -> TIMESTAMP_NTZ; unknown layout or invalid value -> NULL."""
-    c = F.regexp_replace(_col(col), _EIGHT_DIGITS, "$1-$2-$3")
-    c = F.regexp_replace(c, _MONTH_FIRST, "$3-$1-$2")
-    part = [F.regexp_extract(c, _LAYOUT, i) for i in range(1, 8)]
-    clock = [F.when(p == "", F.lit("0")).otherwise(p) for p in part[3:6]]
-    fraction = F.substring(F.rpad(part[6], 6, "0"), 1, 6)
-    whole = F.concat(part[0], F.lit("-"), part[1], F.lit("-"), part[2], F.lit(" "), clock[0], F.lit(":"), clock[1], F.lit(":"), clock[2],
-                     F.lit("."), F.when(part[6] == "", F.lit("000000")).otherwise(fraction))
-    return F.when(c.rlike(_LAYOUT), _parse_ntz(whole, "yyyy-M-d H:m:s.SSSSSS"))
+    c = _col(col)
+    # one pass of the pattern cuts a text into its parts; a text of no known layout stays as it is
+    cut = F.regexp_replace(c, F.lit(_LAYOUT), F.lit(_CUT_PARTS))
+    part = F.split(cut, _CUT)
+    year, month, day, hour, minute, second = (F.coalesce(F.get(part, F.lit(i)).try_cast("int"), F.lit(0)) for i in range(1, 7))
+    fraction = F.substring(F.rpad(F.get(part, F.lit(7)), 6, "0"), 1, 6)
+    seconds = F.concat(second.cast("string"), F.lit("."), fraction).try_cast("decimal(16,6)")
+    # year 0 and second 60 are no wall-clock time
+    good = (cut != c) & (year > 0) & (second < 60)
+    return F.when(good, F.try_make_timestamp_ntz(year, month, day, hour, minute, seconds))
 
 
 def time_slot(hour: Column | str) -> Column:

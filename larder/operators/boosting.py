@@ -20,8 +20,8 @@ train labels, gain and leaf values with an L2 term of 1, at least one row a chil
 drawn per tree (by hash, so a repeated task draws the same), missing values on the better side, and
 an item stops after ``patience`` rounds without a lower error on its valid rows.
 
-Defined results: an item without train rows has no model; one without valid rows runs all rounds
-and keeps all; a NULL label drops the row from the fit; NULL features count as missing; NULL items
+Defined results: an item without train rows has no model; one without valid rows, or with
+another stopping rule than ``patience``, runs all rounds and keeps all; a NULL label drops the row from the fit; NULL features count as missing; NULL items
 are left out; repeated (item, day) rows all count."""
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder.functions.text import ITEM_KEY_PREFIX, item_key
@@ -94,7 +94,8 @@ class Tree:
 
 def grow(bins: np.ndarray, gradient: np.ndarray, rows: np.ndarray, columns: np.ndarray, missing: int, p: BoostParams) -> Tree:
     """One tree over ``rows`` and ``columns``, level by level: a histogram over (node, feature, bin) gives every
-    split of a level at once; the first best one wins, in order of feature and bin."""
+    split of a level at once; the first best one wins, in order of feature and bin.  The last bin of a
+    feature parts its present values from missing ones."""
     width, n_columns = missing + 1, len(columns)
     kinds = (("feature", int), ("bin", int), ("missing_left", bool), ("left", int), ("value", float), ("rows", int))
     made: dict[str, list] = {name: [] for name, _ in kinds}
@@ -108,7 +109,7 @@ def grow(bins: np.ndarray, gradient: np.ndarray, rows: np.ndarray, columns: np.n
         chosen = np.full(level, -1)
         cut, to_left = np.zeros(level, int), np.zeros(level, bool)
         open_ = np.flatnonzero(h >= 2 * LEAST_ROWS)  # others have no split
-        if depth < p.max_depth and n_columns and missing > 1 and len(open_):
+        if depth < p.max_depth and n_columns and len(open_):
             place = np.full(level, -1)
             place[open_] = np.arange(len(open_))
             at = place[node]
@@ -117,7 +118,7 @@ def grow(bins: np.ndarray, gradient: np.ndarray, rows: np.ndarray, columns: np.n
             shape, size = (len(open_), n_columns, width), len(open_) * n_columns * width
             hist_g = np.bincount(cells, np.repeat(own_gradient[inside], n_columns), size).reshape(shape)
             hist_h = np.bincount(cells, minlength=size).reshape(shape)
-            left_g, left_h = np.cumsum(hist_g[:, :, :missing - 1], 2), np.cumsum(hist_h[:, :, :missing - 1], 2)
+            left_g, left_h = np.cumsum(hist_g[:, :, :missing], 2), np.cumsum(hist_h[:, :, :missing], 2)
             whole_g, whole_h = g[open_, None, None], h[open_, None, None]
 
             def gains(a, b):
@@ -126,17 +127,18 @@ def grow(bins: np.ndarray, gradient: np.ndarray, rows: np.ndarray, columns: np.n
 
             found = gains(left_g, left_h)
             side = np.zeros(found.shape, bool)
+            near = lambda v: 1e-9 * np.maximum(1.0, np.abs(np.where(np.isfinite(v), v, 0)))  # noqa: E731  rounding of sums
             if hist_h[:, :, missing].any():
                 other = gains(left_g + hist_g[:, :, missing:], left_h + hist_h[:, :, missing:])
-                side = other > found
+                side = other > found + near(found)
                 found = np.where(side, other, found)
             # equal splits differ in their last bits by the order of sums; the first of them counts
             top = found.max(1)
-            best = (found >= (top - LEAST_GAIN * np.maximum(1.0, np.abs(top)) * 1e-3)[:, None]).argmax(1)
+            best = (found >= (top - near(top))[:, None]).argmax(1)
             rows_of = np.arange(len(open_))
             good = top - (g * g / (h + PENALTY))[open_] > LEAST_GAIN
-            chosen[open_[good]] = columns[best[good] // (missing - 1)]
-            cut[open_], to_left[open_] = best % (missing - 1), side[rows_of, best]
+            chosen[open_[good]] = columns[best[good] // missing]
+            cut[open_], to_left[open_] = best % missing, side[rows_of, best]
         split = chosen >= 0
         child = first + level + 2 * (np.cumsum(split) - split)
         for name, values in (("feature", chosen), ("bin", cut), ("missing_left", to_left & split), ("left", np.where(split, child, -1)),
@@ -172,7 +174,7 @@ def boost(x: np.ndarray, y: np.ndarray, valid_x: np.ndarray, valid_y: np.ndarray
         predicted += tree.value[tree.leaves(bins, missing)]
         error = float(np.sqrt(np.mean((predicted[n:] - valid_y) ** 2))) if len(valid_y) else None
         yield tree, float(np.sqrt(np.mean((predicted[:n] - y) ** 2))), error
-        if error is None or p.stopping != "patience" or p.patience <= 0:
+        if error is None:
             continue
         if error < best_error:
             best, best_error = t, error
@@ -234,6 +236,18 @@ def best_rounds(rounds: DataFrame, item_col: str = "dish_name") -> DataFrame:
         "best", F.when(F.col("valid_rows") > 0, F.col("best")).otherwise(F.col("ran") - 1)).select(item_col, "ran", "best")
 
 
+def patience_rule(rounds: DataFrame, p: BoostParams, item_col: str = "dish_name") -> DataFrame:
+    """(item, ran, best, due): beside what ran, the number of rounds that the patience rule allows by the
+    errors: it ends with the first round that comes ``patience`` rounds after the lowest error so far."""
+    by = Window.partitionBy(item_col).orderBy("tree")
+    lowest = F.min("valid_rmse").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    better = F.when(lowest.isNull() | (F.col("valid_rmse") < lowest), F.col("tree"))
+    since = F.col("tree") - F.max("better").over(by)
+    told = rounds.withColumn("better", better).withColumn("since", since).groupBy(item_col).agg(
+        F.min(F.when((F.col("valid_rows") > 0) & (F.col("since") >= p.patience), F.col("tree") + 1)).alias("due"))
+    return best_rounds(rounds, item_col).join(told, item_col).withColumn("due", F.coalesce("due", F.lit(p.n_estimators)))
+
+
 def fit_items(split: DataFrame, params: dict[str, BoostParams] | None = None, default: BoostParams = BoostParams(), item_col: str = "dish_name",
               label: str = "y_sales", date_col: str = "time_date", columns: list[str] | None = None, num_partitions: int | None = None) -> ItemModels:
     """Models of every item of ``split`` (features, label and ``split``: train, valid or test).  The result
@@ -252,8 +266,10 @@ def fit_items(split: DataFrame, params: dict[str, BoostParams] | None = None, de
         x = np.column_stack([table.column(f"_x{j}").to_numpy() for j in range(len(cols))]) if cols else np.zeros((len(y), 0))
         if not train.any():
             return SCHEMA.empty_table()
-        n_valid = int((~train).sum())
-        run = boost(x[train], y[train], x[~train], y[~train], _setting(item, settings, default))
+        p = _setting(item, settings, default)
+        watched = ~train & (p.stopping == "patience" and p.patience > 0)  # valid rows count where they may stop the run
+        n_valid = int(watched.sum())
+        run = boost(x[train], y[train], x[watched], y[watched], p)
         start, cuts = next(run)
         parts = [pa.table({"tree": [-1], "node": [0], "value": [start], "rows": [int(train.sum())]})]
         for t, (tree, train_error, valid_error) in enumerate(run):

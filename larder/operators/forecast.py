@@ -71,7 +71,7 @@ def month_mean(long_df: DataFrame, item_col: str = "dish_name", value_col: str =
 
 
 def day_vs_month(long_df: DataFrame, item_col: str = "dish_name", value_col: str = "prediction",
-                 date_col: str = "time_date", day: str | None = None) -> DataFrame:
+                 date_col: str = "time_date", day: str | None = None, first_only: bool = False) -> DataFrame:
     """Each day's value next to the item's mean over that month, with a display name.
     The window holds one item-month (at most 31 rows).  ``day`` (``yyyy-MM-dd``) keeps one calendar
     day; only its month is read, by partition where the table has a ``month`` column."""
@@ -85,4 +85,7 @@ def day_vs_month(long_df: DataFrame, item_col: str = "dish_name", value_col: str
         F.col(value_col), F.avg(value_col).over(w).alias("month_mean"))
     if day is not None:
         out = out.where(F.to_date(date_col) == F.lit(day).cast("date"))
+    if first_only:
+        first = Window.partitionBy(item_col, F.to_date(date_col)).orderBy(date_col, value_col)
+        out = out.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place")
     return out

@@ -4,10 +4,8 @@ per-pair jobs), reshaped to a long table with ``explode`` of a literal array of
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,22 +79,129 @@ def cardinality(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataF
                                 .alias("n_distinct")]) for i, c in enumerate(cols)])
 
 
+#: Columns up to which every pair is an aggregate of its own, worked out without Python.
+PAIR_COLUMNS = 12
+
+
 def correlations(df: DataFrame) -> DataFrame:
     """(pair, corr) for every pair ``c1__c2`` of numeric columns (i < j), Pearson, NULL read
     as 0.0.  A constant column or an empty input gives NULL instead of failing.
 
-    One aggregation of a vector per row computes all pairs, however many columns there are; the
-    driver receives the matrix, one number per pair."""
+    One aggregation, nothing runs before the result is asked for: a ``corr`` a pair for few columns, the
+    mergeable states of ``moments`` for many."""
     cols = numeric_columns(df)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    schema = "pair string, corr double"
     if not pairs:
-        return df.sparkSession.createDataFrame([], schema)
-    values = df.select(*[F.coalesce(F.col(quoted(c)).cast("double"), F.lit(0.0)).alias(f"c{i}") for i, c in enumerate(cols)])
-    vectors = VectorAssembler(inputCols=values.columns, outputCol="v", handleInvalid="keep").transform(values).select("v")
-    matrix = None if vectors.isEmpty() else Correlation.corr(vectors, "v").head()[0].toArray()
-
-    def cell(i: int, j: int) -> float | None:
-        return None if matrix is None or math.isnan(matrix[i, j]) else float(matrix[i, j])
-
-    return df.sparkSession.createDataFrame([(f"{cols[i]}__{cols[j]}", cell(i, j)) for i, j in pairs], schema)
+        return df.sparkSession.createDataFrame([], "pair string, corr double")
+    if len(cols) > PAIR_COLUMNS:
+        return correlations_of(merge_moments(moments(df)))
+    value = [F.coalesce(F.col(quoted(c)).cast("double"), F.lit(0.0)) for c in cols]
+    # centred moments: ``corr`` itself fails on a constant column under ANSI
+    whole = df.agg(*[F.var_pop(v).alias(f"_v{i}") for i, v in enumerate(value)],
+                   *[F.covar_pop(value[i], value[j]).alias(f"_r{i}_{j}") for i, j in pairs])
+    cell = lambda i, j: F.try_divide(F.col(f"_r{i}_{j}"), F.sqrt(F.col(f"_v{i}")) * F.sqrt(F.col(f"_v{j}")))
+    named = [F.struct(F.lit(f"{cols[i]}__{cols[j]}").alias("pair"), F.nanvl(cell(i, j), F.lit(None).cast("double")).alias("corr")) for i, j in pairs]
+    return whole.select(F.explode(F.array(*named)).alias("_e")).select("_e.*")
+
+
+# ---- mergeable state ------------------------------------------------------------------------
+#
+# A profile of a growing table is kept as one small state a partition (or day): rows, present values,
+# extremes, means and centred co-moments of its numeric columns.  States of different parts merge
+# without reading any part again.
+
+STATE = "columns array<string>, rows long, present array<long>, lowest array<double>, highest array<double>, means array<double>, comoments array<double>, zero_means array<double>, zero_comoments array<double>"
+
+
+def _state(names: list[str], x: np.ndarray) -> dict:
+    """The state of the rows ``x`` (NaN: missing).  Single-column figures skip missing values, those of
+    pairs read them as 0."""
+    there = ~np.isnan(x)
+    present = there.sum(0)
+    zero = np.where(there, x, 0.0)
+    means = np.divide(zero.sum(0), present, out=np.zeros(x.shape[1]), where=present > 0)
+    own = ((np.where(there, x - means, 0.0)) ** 2).sum(0)
+    # a constant column has exactly its value as mean, so that its co-moments are exactly 0
+    zero_means = np.where(zero.min(0) == zero.max(0), zero[0], zero.mean(0)) if len(x) else np.zeros(x.shape[1])
+    centred = zero - zero_means
+    with np.errstate(all="ignore"):
+        low = np.where(present > 0, np.where(there, x, np.inf).min(0, initial=np.inf), np.nan)
+        high = np.where(present > 0, np.where(there, x, -np.inf).max(0, initial=-np.inf), np.nan)
+    return {"columns": names, "rows": len(x), "present": present, "lowest": low, "highest": high, "means": means, "comoments": own,
+            "zero_means": zero_means, "zero_comoments": (centred.T @ centred).ravel()}
+
+
+def _merged(a: dict, b: dict) -> dict:
+    """The state of two parts together (pairwise update of means and centred moments)."""
+    na, nb = a["present"], b["present"]
+    n = np.maximum(na + nb, 1)
+    d = b["means"] - a["means"]
+    rows = max(a["rows"] + b["rows"], 1)
+    zero_d = b["zero_means"] - a["zero_means"]
+    return {"columns": a["columns"], "rows": a["rows"] + b["rows"], "present": na + nb, "lowest": np.fmin(a["lowest"], b["lowest"]),
+            "highest": np.fmax(a["highest"], b["highest"]), "means": a["means"] + d * nb / n, "comoments": a["comoments"] + b["comoments"] + d * d * na * nb / n,
+            "zero_means": a["zero_means"] + zero_d * b["rows"] / rows,
+            "zero_comoments": a["zero_comoments"] + b["zero_comoments"] + np.outer(zero_d, zero_d).ravel() * a["rows"] * b["rows"] / rows}
+
+
+def _state_table(state: dict, keys: dict | None = None) -> pa.RecordBatch:
+    lists = {"columns": pa.list_(pa.string()), "present": pa.list_(pa.int64()), "rows": pa.int64()}
+    return pa.RecordBatch.from_pydict({**(keys or {}), **{k: pa.array([v.tolist() if isinstance(v, np.ndarray) else v], lists.get(k, pa.list_(pa.float64())))
+                                                          for k, v in state.items()}})
+
+
+def _state_of(row: dict) -> dict:
+    return {k: v if k in ("columns", "rows") else np.array([np.nan if c is None else c for c in v], np.int64 if k == "present" else float) for k, v in row.items()}
+
+
+def moments(df: DataFrame, by: str | None = None) -> DataFrame:
+    """One state a task, or a task and value of ``by``: merge them with ``merge_moments``, or store them first."""
+    cols = [c for c in numeric_columns(df) if c != by]
+    key = [F.col(quoted(by)).cast("string").alias("part")] if by else [F.lit("").alias("part")]
+    rows = df.select(*key, *[F.col(quoted(c)).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def run(batches):
+        found: dict = {}
+        for batch in batches:
+            x = np.column_stack([batch.column(i + 1).to_numpy(zero_copy_only=False) for i in range(len(cols))]) if cols else np.zeros((batch.num_rows, 0))
+            part = batch.column(0).dictionary_encode()
+            at = part.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            for code in np.unique(at).tolist():
+                name = part.dictionary[code].as_py() if code >= 0 else None
+                state = _state(cols, x[at == code])
+                found[name] = _merged(found[name], state) if name in found else state
+        for name, state in found.items():
+            yield _state_table(state, {"part": pa.array([name], pa.string())})
+
+    return rows.mapInArrow(run, f"part string, {STATE}")
+
+
+def merge_moments(states: DataFrame, by_part: bool = False) -> DataFrame:
+    """States merged into one, or into one a part."""
+    rows = states if by_part else states.withColumn("part", F.lit(""))
+
+    def run(table: pa.Table) -> pa.Table:
+        out = None
+        for row in table.to_pylist():
+            part = row.pop("part")
+            out = _state_of(row) if out is None else _merged(out, _state_of(row))
+        return pa.Table.from_batches([_state_table(out, {"part": pa.array([part], pa.string())})])
+
+    return rows.groupBy("part").applyInArrow(run, f"part string, {STATE}")
+
+
+def numeric_profile_of(merged: DataFrame) -> DataFrame:
+    """(part, column_name, minimum, maximum, avg, std, missing) from merged states."""
+    each = merged.select("part", "rows", F.explode(F.arrays_zip("columns", "present", "lowest", "highest", "means", "comoments")).alias("e"))
+    n = F.col("e.present")
+    some = lambda c: F.when(n > 0, F.col(f"e.{c}"))
+    return each.select("part", F.col("e.columns").alias("column_name"), some("lowest").alias("minimum"), some("highest").alias("maximum"), some("means").alias("avg"),
+                       F.when(n > 1, F.sqrt(F.col("e.comoments") / (n - 1))).alias("std"), (F.col("rows") - n).alias("missing"))
+
+
+def correlations_of(merged: DataFrame) -> DataFrame:
+    """(pair, corr) from one merged state: every pair i < j, NULL for a constant column."""
+    cells = merged.select("columns", "zero_comoments", F.size("columns").alias("k"), F.posexplode("columns").alias("i", "a"))
+    cells = cells.select("columns", "zero_comoments", "k", "i", "a", F.posexplode("columns").alias("j", "b")).where("i < j")
+    at = lambda i, j: F.element_at("zero_comoments", (F.col(i) * F.col("k") + F.col(j) + 1).cast("int"))
+    return cells.select(F.concat("a", F.lit("__"), "b").alias("pair"), F.try_divide(at("i", "j"), F.sqrt(at("i", "i") * at("j", "j"))).alias("corr"))

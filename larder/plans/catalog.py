@@ -7,18 +7,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import specs
 from larder.functions.numeric import grouped_number
-from larder.functions.text import display_name
+from larder.functions.text import display_name, quoted
 from larder.functions.timecols import calendar_columns
-from larder.operators import clean, forecast, profile, reports, training
+from larder.operators import boosting, clean, forecast, profile, reports, training
 from larder.operators import features as feat
 from larder.operators.star import star_join
 from larder.session import scratch_path
-from larder.sources import files, models
+from larder.sources import files
 from larder.streaming import standardize as streams
 from larder.plans.testdata import (order_detail_table, order_table,
                                    star_tables, table)
@@ -464,19 +466,118 @@ def q_forecast_predict_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("prediction").alias("scored"))
 
 
+#: One tree of one split an item, fitted to all train rows: what SQL can state.
+ONE_SPLIT = training.BoostParams(n_estimators=1, max_depth=1, learning_rate=1.0, subsample=1.0, colsample_bytree=1.0, stopping="none")
+
+
+def _saved_models(spark: SparkSession, split: DataFrame, default: training.BoostParams) -> tuple[str, boosting.ItemModels]:
+    """Models of every item of ``split``: fitted, saved, found in the store and loaded."""
+    root = scratch_path(spark, "item-models")
+    boosting.fit_items(split, default=default).save(root)
+    return root, boosting.ItemModels.load(spark, root)
+
+
+def q_boost_first_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first split that boosting finds for every item, and its two leaves."""
+    trees = _saved_models(spark, _stored_split(spark, sf_dir), ONE_SPLIT)[1].trees.where("tree = 0")
+    leaf = lambda node, c: F.round(F.max(F.when(F.col("node") == node, F.col(c))), 6)
+    return trees.groupBy("dish_name").agg(
+        F.max(F.when(F.col("node") == 0, F.col("feature"))).alias("feature"), leaf(0, "cut").alias("cut"), leaf(1, "value").alias("left_value"),
+        leaf(2, "value").alias("right_value"), leaf(1, "rows").alias("left_rows"), leaf(2, "rows").alias("right_rows"))
+
+
 def q_forecast_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-item models of a given list, one tree of depth 0 each (which predicts its train mean):
-    fitted, saved, loaded and scored on the test split."""
+    """One-split models of every item: fitted, saved, loaded, all items scored in one plan on the
+    test split, and rated."""
     split = _stored_split(spark, sf_dir)
-    items = list(WIDE_COLUMNS)
-    constant = training.BoostParams(n_estimators=1, max_depth=0, subsample=1.0, colsample_bytree=1.0, stopping="none")
-    root = scratch_path(spark, "item-models")
-    found = training.fit_item_models(split.drop("dish_key"), items, default=constant, max_parallel=8)
-    models.save_models(found, root)
     test = split.where(F.col("split") == "test")
-    scored = training.predict_items(test, models.load_models(root, list(found)))
-    labelled = scored.join(test.select("time_date", "dish_name", "y_sales"), ["time_date", "dish_name"])
-    return forecast.regression_metrics(labelled).withColumns({c: F.round(c, 6) for c in ("MAE", "RMSE", "R2")})
+    scored = boosting.score_items(test, _saved_models(spark, split, ONE_SPLIT)[1].kept(), keep=("time_date", "y_sales"))
+    return forecast.regression_metrics(scored).withColumns({c: F.round(c, 6) for c in ("MAE", "RMSE", "R2")})
+
+
+def q_item_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models of every item with the documented settings (800 rounds, depth 7, rate 0.03, 0.9 of rows and
+    columns, seed 42, patience 50): which items the store lists, whether rounds ended and trees were
+    cut as the patience rule says, worked out anew from the errors, and how many rows were scored."""
+    split = _stored_split(spark, sf_dir)
+    root, models_ = _saved_models(spark, split, training.BoostParams())
+    rule = boosting.patience_rule(models_.rounds, training.BoostParams())
+    kept = models_.kept()
+    trees = kept.where("tree >= 0").groupBy("dish_name").agg(F.count_distinct("tree").alias("trees"))
+    scored = boosting.score_items(split, kept).groupBy("dish_name").agg(F.count("prediction").alias("scored"))
+    base = split.groupBy("dish_name").agg(*[F.count_if(F.col("split") == s).alias(f"{s}_rows") for s in ("train", "valid", "test")])
+    listed = boosting.listed_items(spark, root).withColumn("listed", F.lit(True))
+    out = base.join(listed, "dish_name", "left").join(rule, "dish_name", "left").join(trees, "dish_name", "left").join(scored, "dish_name", "left")
+    return out.select("dish_name", "train_rows", "valid_rows", "test_rows", "listed", (F.col("ran") == F.col("due")).alias("stopped_as_due"),
+                      (F.col("trees") == F.col("best") + 1).alias("cut_at_best"), "scored")
+
+
+#: Rounds of the models behind the monthly files.
+MONTHLY = training.BoostParams(n_estimators=40, learning_rate=0.1, max_depth=4)
+
+
+def q_forecast_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of every listed model, one column an item and one row a day, written by month; then
+    the last month is predicted again and replaces its own files only.  Days and cells of every month, and
+    whether its files are those of the first write."""
+    split = _stored_split(spark, sf_dir)
+    root, models_ = _saved_models(spark, split, MONTHLY)
+    items = [r["dish_name"] for r in boosting.listed_items(spark, root).orderBy("dish_name").collect()]  # the columns
+    path = scratch_path(spark, "monthly")
+    files.write_predictions(forecast.to_wide(boosting.score_items(split, models_.kept()), {i: i for i in items}), path)
+    shown = lambda: files.read_predictions(spark, path).withColumn("file", F.input_file_name())
+    before = scratch_path(spark, "monthly-files")
+    files.write_table(shown().select("month", "file").distinct(), before, "parquet")
+    last = split.agg(F.max("time_date")).head()[0]
+    of_month = split.where(F.col("time_date") >= F.trunc(F.lit(last), "month")) if last is not None else split
+    files.write_predictions(forecast.to_wide(boosting.score_items(of_month, models_.kept()), {i: i for i in items}), path, only_months=True)
+    cells = sum((F.col(quoted(i)).isNotNull().cast("bigint") for i in items), F.lit(0).cast("bigint"))
+    old = files.read_table(spark, before, "parquet").withColumn("same", F.lit(1))
+    now = shown().select("month", "time_date", "file", cells.alias("cells")).join(old, ["month", "file"], "left")
+    return now.groupBy("month").agg(F.count_distinct("time_date").alias("days"), F.sum("cells").alias("cells"), F.count(F.lit(1)).alias("rows"),
+                                    (F.count("same") == F.count(F.lit(1))).alias("untouched"))
+
+
+def q_feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The input vector of every item-day, as its length and weighted sums of its whole-number and other values."""
+    split = _stored_split(spark, sf_dir)
+    inputs = training.feature_columns(split)
+    assembler = VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep")
+    values = assembler.transform(split).withColumn("_values", vector_to_array("_features"))
+    whole = {f.name for f in split.schema.fields if f.dataType.typeName() in ("integer", "long")}
+
+    def weighted(of_whole: bool):
+        weights = F.array(*[F.lit(float(i) if (c in whole) == of_whole else 0.0) for i, c in enumerate(inputs, 1)])
+        return F.aggregate(F.zip_with("_values", weights, lambda v, w: v * w), F.lit(0.0), lambda a, v: a + v)
+
+    return values.select("dish_name", "time_date", "split", "y_sales", F.size("_values").cast("bigint").alias("inputs"),
+                         weighted(True).cast("bigint").alias("whole"), F.round(weighted(False) + 0.0137, 1).alias("ratios"))
+
+
+def q_day_first_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as forecasts with a time of day: the first of each item and day beside the month's mean."""
+    lines = star(spark, sf_dir).where(F.col("dish_name").isNotNull())
+    timed = lines.select("dish_name", F.expr("cast(time_date as timestamp_ntz) + make_dt_interval(0, cast(order_id % 24 as int))").alias("time_date"), F.col("dish_quantity").cast("double").alias("prediction"))
+    return forecast.day_vs_month(timed, first_only=True).withColumn("month_mean", F.round("month_mean", 9))
+
+
+def q_profile_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric profile of the order lines from states stored by return flag and merged afterwards."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("l_quantity", F.when(F.col("l_linenumber") != 3, F.col("l_quantity")))
+    path = scratch_path(spark, "profile-states")
+    files.write_table(profile.merge_moments(profile.moments(lines, by="l_returnflag"), by_part=True), path, "parquet")
+    whole = profile.numeric_profile_of(profile.merge_moments(files.read_table(spark, path, "parquet")))
+    return whole.select("column_name", F.round("minimum", 6).alias("minimum"), F.round("maximum", 6).alias("maximum"), F.round(F.col("avg") + 0.0000137, 4).alias("avg"),
+                        F.round(F.col("std") + 0.0000137, 4).alias("std"), "missing")  # an offset, so that no mean of prices ends in a five
+
+
+def q_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landed item table cleaned onto its own path: staged beside it, then renamed into its place."""
+    path = scratch_path(spark, "replaced")
+    p = table(spark, sf_dir, "part")
+    files.replace_table(p.select("p_partkey", F.concat(F.lit("  "), F.upper("p_name")).alias("p_name"), "p_size").unionByName(p.select("p_partkey", "p_name", "p_size")), path)
+    files.replace_table(clean.clean_text_columns(files.read_table(spark, path, "parquet"), {"p_name": "unknown"}).distinct(), path)
+    return files.read_table(spark, path, "parquet")
 
 
 QUERIES: dict[str, Query] = {
@@ -535,4 +636,11 @@ QUERIES: dict[str, Query] = {
     "forecast_predict": q_forecast_predict,
     "forecast_predict_coverage": q_forecast_predict_coverage,
     "forecast_model_metrics": q_forecast_model_metrics,
+    "boost_first_split": q_boost_first_split,
+    "item_models": q_item_models,
+    "forecast_by_month": q_forecast_by_month,
+    "feature_vectors": q_feature_vectors,
+    "day_first_row": q_day_first_row,
+    "profile_by_state": q_profile_by_state,
+    "replace_table": q_replace_table,
 }

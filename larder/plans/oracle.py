@@ -6,7 +6,7 @@ Tables are the test views (orders, lineitem, part, ...).  Sums are cast back to
 
 from __future__ import annotations
 
-from larder.operators.features import HORIZONS
+from larder.operators.features import CONTEXT_1D, HORIZONS, ITEM_1D, SHARE_1D
 
 STAR_CTE = """
 ord AS (
@@ -414,7 +414,74 @@ FROM orders""",
 SELECT split, CAST(60 AS BIGINT) AS inputs, COUNT(*) AS rows, CAST(SUM(y_sales) AS BIGINT) AS target FROM split GROUP BY split""",
     "forecast_predict_coverage": _with(STAR_CTE, ITEM_CTE) + """
 SELECT dish_name, COUNT(*) AS rows, MIN(time_date) AS first_day, MAX(time_date) AS last_day, COUNT(*) AS scored FROM item GROUP BY dish_name""",
-    "forecast_model_metrics": ORACLE["forecast_metrics"],
+    "item_models": _with(STAR_CTE, ITEM_CTE, _SPLIT) + """
+SELECT dish_name, COUNT(*) FILTER (WHERE split = 'train') AS train_rows, COUNT(*) FILTER (WHERE split = 'valid') AS valid_rows,
+       COUNT(*) FILTER (WHERE split = 'test') AS test_rows, TRUE AS listed, TRUE AS stopped_as_due, TRUE AS cut_at_best, COUNT(*) AS scored
+FROM split GROUP BY dish_name""",
+    "forecast_by_month": _with(STAR_CTE, ITEM_CTE) + """
+SELECT strftime(time_date, '%Y%m') AS month, COUNT(DISTINCT time_date) AS days, COUNT(*) AS cells, COUNT(DISTINCT time_date) AS rows,
+       strftime(time_date, '%Y%m') <> (SELECT strftime(MAX(time_date), '%Y%m') FROM item) AS untouched
+FROM item GROUP BY ALL""",
+    "day_first_row": _with(STAR_CTE) + """,
+timed AS (SELECT dish_name, CAST(time_date AS TIMESTAMP) + to_hours(CAST(order_id % 24 AS INTEGER)) AS time_date, CAST(dish_quantity AS DOUBLE) AS prediction
+          FROM star WHERE dish_name IS NOT NULL),
+means AS (SELECT *, strftime(time_date, '%Y%m') AS month, AVG(prediction) OVER (PARTITION BY strftime(time_date, '%Y%m'), dish_name) AS month_mean FROM timed)
+SELECT time_date, month, dish_name,
+       list_aggregate(list_transform(string_split(replace(dish_name, '_', ' '), ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), 'string_agg', ' ') AS display_name,
+       prediction, ROUND(month_mean, 9) AS month_mean
+FROM means QUALIFY ROW_NUMBER() OVER (PARTITION BY dish_name, CAST(time_date AS DATE) ORDER BY time_date, prediction) = 1""",
+    "profile_by_state": "WITH l AS (SELECT * REPLACE (CASE WHEN l_linenumber <> 3 THEN l_quantity END AS l_quantity) FROM lineitem)\n" + "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS column_name, ROUND(CAST(MIN({c}) AS DOUBLE), 6) AS minimum, ROUND(CAST(MAX({c}) AS DOUBLE), 6) AS maximum,
+       ROUND(AVG({c}) + 0.0000137, 4) AS avg, ROUND(STDDEV_SAMP({c}) + 0.0000137, 4) AS std, COUNT(*) - COUNT({c}) AS missing FROM l""" for c in _NUMERIC_LINEITEM),
+    "replace_table": """
+SELECT DISTINCT p_partkey, CASE WHEN trim(p_name) = '' THEN 'unknown' ELSE lower(trim(p_name)) END AS p_name, p_size
+FROM (SELECT p_partkey, '  ' || upper(p_name) AS p_name, p_size FROM part UNION ALL SELECT p_partkey, p_name, p_size FROM part)""",
+}
+
+# The inputs of a model in order, and the first split of boosting over the train rows of each item.
+_INPUTS = ([c for c in ITEM_1D + CONTEXT_1D + SHARE_1D if c != "y_sales"]
+           + [f"{c}_{h}d" for h in HORIZONS for c in ("day_order_count", "day_total_quantity", "day_total_revenue", "avg_order_size", "day_order_variety",
+                                                      "dish_count_in_order", "dish_quantity_in_order_avg", "dish_sales_ratio_daily", "dish_order_ratio_daily",
+                                                      "dish_revenue_ratio_daily", "dish_order_size_ratio")]
+           + ["month", "day_of_year"])
+_is_ratio = lambda c: "ratio" in c or "avg" in c
+_BINS = 64  # fixed value: bins of a feature within an item
+
+_INPUT_ROWS = f"""WITH store AS ({_rolling_sql()}),
+input AS (SELECT store.*, CAST(month(time_date) AS BIGINT) AS month, CAST(dayofyear(time_date) AS BIGINT) AS day_of_year,
+  ROW_NUMBER() OVER (PARTITION BY dish_name ORDER BY time_date) AS rn, COUNT(*) OVER (PARTITION BY dish_name) AS n FROM store),
+split AS (SELECT *, CASE WHEN rn <= FLOOR(n * 0.6::DOUBLE) THEN 'train'
+  WHEN rn <= FLOOR(n * 0.6::DOUBLE) + FLOOR(n * 0.2::DOUBLE) THEN 'valid' ELSE 'test' END AS split FROM input)"""
+
+_FIRST_SPLIT = _INPUT_ROWS + f""",
+cells AS (SELECT dish_name, time_date, split, CAST(y_sales AS DOUBLE) AS y, unnest(range(1, {len(_INPUTS) + 1})) AS f,
+  unnest([{', '.join(f'CAST({c} AS DOUBLE)' for c in _INPUTS)}]) AS x FROM split),
+start AS (SELECT dish_name, AVG(y) AS base, COUNT(*) AS n FROM cells WHERE split = 'train' AND f = 1 GROUP BY dish_name),
+steps AS (SELECT dish_name, f, x, COUNT(*) AS rows, SUM(y) AS total FROM cells WHERE split = 'train' GROUP BY ALL),
+sums AS (SELECT *, SUM(rows) OVER w AS left_rows, SUM(total) OVER w AS left_total, LEAD(x) OVER (PARTITION BY dish_name, f ORDER BY x) AS next_x,
+  COUNT(*) OVER (PARTITION BY dish_name, f) AS kinds, LEAD(x, 2) OVER (PARTITION BY dish_name, f ORDER BY x) IS NULL AS is_last
+  FROM steps WINDOW w AS (PARTITION BY dish_name, f ORDER BY x)),
+cuts AS (SELECT s.dish_name, s.f, (x + next_x) / 2 AS cut, left_rows, b.n - left_rows AS right_rows,
+  left_rows * base - left_total AS left_g, (b.n * base - SUM(s.total) OVER (PARTITION BY s.dish_name, s.f)) - (left_rows * base - left_total) AS right_g, next_x,
+  kinds <= {_BINS} OR least({_BINS - 1}, {_BINS} * left_rows // n) > least({_BINS - 1}, {_BINS} * (left_rows - rows) // n)
+  OR (is_last AND {_BINS} * left_rows // n < {_BINS - 1}) AS is_cut FROM sums s JOIN start b USING (dish_name)),
+gains AS (SELECT *, left_g * left_g / (left_rows + 1) + right_g * right_g / (right_rows + 1) AS gain FROM cuts WHERE next_x IS NOT NULL AND is_cut),
+best AS (SELECT * FROM (SELECT *, MAX(gain) OVER (PARTITION BY dish_name) AS top FROM gains) WHERE gain >= top - 1e-9 * greatest(1.0, abs(top))
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY dish_name ORDER BY f, cut) = 1)"""
+
+ORACLE |= {
+    "boost_first_split": _FIRST_SPLIT + f"""
+SELECT dish_name, [{', '.join(f"'{c}'" for c in _INPUTS)}][f] AS feature, ROUND(cut, 6) AS cut, ROUND(-left_g / (left_rows + 1), 6) AS left_value,
+       ROUND(-right_g / (right_rows + 1), 6) AS right_value, CAST(left_rows AS BIGINT) AS left_rows, CAST(right_rows AS BIGINT) AS right_rows FROM best""",
+    "forecast_model_metrics": _FIRST_SPLIT + """,
+scored AS (SELECT c.dish_name, c.y, s.base + CASE WHEN c.x < b.cut THEN -b.left_g / (b.left_rows + 1) ELSE -b.right_g / (b.right_rows + 1) END AS p
+  FROM cells c JOIN best b ON b.dish_name = c.dish_name AND b.f = c.f JOIN start s ON s.dish_name = c.dish_name WHERE c.split = 'test')
+SELECT dish_name, ROUND(AVG(ABS(y - p)), 6) AS MAE, ROUND(SQRT(AVG((y - p) * (y - p))), 6) AS RMSE,
+       ROUND(1.0 - SUM((y - p) * (y - p)) / NULLIF(VAR_POP(y) * COUNT(y), 0), 6) AS R2 FROM scored GROUP BY dish_name""",
+    "feature_vectors": _INPUT_ROWS + f"""
+SELECT dish_name, time_date, split, y_sales, CAST({len(_INPUTS)} AS BIGINT) AS inputs,
+       CAST({' + '.join(f'CAST({c} AS BIGINT) * {i}' for i, c in enumerate(_INPUTS, 1) if not _is_ratio(c))} AS BIGINT) AS whole,
+       ROUND({' + '.join(f'CAST({c} AS DOUBLE) * {i}' for i, c in enumerate(_INPUTS, 1) if _is_ratio(c))} + 0.0137, 1) AS ratios FROM split""",
 }
 
 ORACLE["parquet_roundtrip"] = ORACLE["standardize_dim"]

@@ -2,17 +2,21 @@
 
 All writes use ``mode("overwrite")`` so that a retried job (after a lost executor or a
 failed attempt) replaces, rather than duplicates, its output.  Outputs are Spark folders
-(``part-*`` files); nothing is renamed or copied on the driver's local disk.
+(``part-*`` files); nothing is renamed or copied on the driver's local disk.  ``replace_table`` renames whole
+folders through the Hadoop file system.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions.text import ITEM_KEY_PREFIX, item_key
 from larder.functions.timecols import month_key
+from larder.session import delete_path
 
 FORMATS = ("csv", "parquet")
 
@@ -78,18 +82,21 @@ def read_feature_store(spark: SparkSession, path: str, item: str | None = None,
 
 
 def write_predictions(predictions: DataFrame, path: str, date_col: str = "time_date",
-                      item_col: str = "dish_name", num_partitions: int | None = None) -> None:
+                      item_col: str = "dish_name", num_partitions: int | None = None, only_months: bool = False) -> None:
     """Predictions partitioned by ``yyyyMM`` month, rows sorted by day inside every file.
 
     Rows are range-partitioned on (month, day, item) rather than hashed on the month, so
     one month (or one day) holding a large share of the rows is split over several writing
-    tasks instead of landing in one; each task's files hold a contiguous run of days."""
+    tasks instead of landing in one; each task's files hold a contiguous run of days.
+
+    ``only_months`` replaces the months that ``predictions`` holds and leaves the files of all others
+    untouched; otherwise the whole store is replaced."""
     with_month = predictions if "month" in predictions.columns else predictions.withColumn("month", month_key(date_col))
     keys = ["month", date_col] + ([item_col] if item_col in with_month.columns else [])
     ranged = (with_month.repartitionByRange(num_partitions, *keys) if num_partitions
               else with_month.repartitionByRange(*keys))
     (ranged.sortWithinPartitions(*keys[1:])
-     .write.mode("overwrite").partitionBy("month").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only_months else "static").partitionBy("month").parquet(path))
 
 
 def read_predictions(spark: SparkSession, path: str, month: str | None = None,
@@ -103,6 +110,47 @@ def read_predictions(spark: SparkSession, path: str, month: str | None = None,
     return df.where(F.col("month") == F.lit(month)) if month is not None else df
 
 
+def replace_table(df: DataFrame, path: str, fmt: str = "parquet", null_value: str | None = None) -> None:
+    """Replace the table at ``path`` by ``df``, which may read that very table.
+
+    The rows are written beside it first; only a finished write takes the table's place, by two
+    renames (old away, new in).  A job that fails, or loses its driver, before that leaves the old table as it
+    was; between the renames the old table is kept at ``path`` + ``.old`` and put back by ``recover_table``, which
+    every call runs first.  Two writers at once: each writes its own folder, the later rename wins whole."""
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    recover_table(spark, path)
+    staged, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old"
+    try:
+        write_table(df, staged, fmt, null_value=null_value)
+        if _exists(spark, path):
+            delete_path(spark, old)
+            _rename(spark, path, old)
+        _rename(spark, staged, path)
+    except Exception:
+        delete_path(spark, staged)
+        recover_table(spark, path)
+        raise
+    delete_path(spark, old)
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Put the old table back where a replacement ended between its two renames."""
+    old = f"{path.rstrip('/')}.old"
+    if _exists(spark, old):
+        if _exists(spark, path):
+            delete_path(spark, old)
+        else:
+            _rename(spark, old, path.rstrip("/"))
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    jvm = spark.sparkContext._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    if not a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(a, b):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

@@ -35,3 +35,24 @@ def test_basic_profile(spark):
     df = spark.createDataFrame([(1, "x")], "a bigint, b string")
     rows = [tuple(r) for r in profile.basic_profile(df).collect()]
     assert rows == [("a", "bigint", 1, 1, 2), ("b", "string", 2, 1, 2)]
+
+
+def test_states_of_parts_merge_to_the_profile_of_all(spark):
+    import random
+
+    rnd = random.Random(2)
+    rows = [(rnd.choice("abc"), rnd.randint(-5, 5), None if rnd.random() < 0.2 else rnd.gauss(1e6, 1), 7, None) for _ in range(500)]
+    df = spark.createDataFrame(rows, "k string, x int, y double, z long, w double").repartition(5)
+    states = profile.merge_moments(profile.moments(df, by="k"), by_part=True)
+    assert states.count() == 3
+    found = {r["column_name"]: r for r in profile.numeric_profile_of(profile.merge_moments(states)).collect()}
+    whole = profile.numeric_profile(df).head()
+    for c in "xyzw":
+        for name, key in (("minimum", "minimum"), ("maximum", "maximum"), ("avg", "avg"), ("std", "std")):
+            a, b = found[c][name], whole[f"{c}_{key}"]
+            assert (a is None and b is None) or a == pytest.approx(b, rel=1e-9)
+        assert found[c]["missing"] == df.where(f"{c} IS NULL").count()
+    pairs = {r["pair"]: r["corr"] for r in profile.correlations_of(profile.merge_moments(states)).collect()}
+    direct = {r["pair"]: r["corr"] for r in profile.correlations(df).collect()}
+    assert pairs.keys() == direct.keys()
+    assert all((pairs[k] is None and direct[k] is None) or pairs[k] == pytest.approx(direct[k], abs=1e-9) for k in pairs)

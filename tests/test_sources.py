@@ -96,3 +96,34 @@ def test_scratch_folder_is_required_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         checkpoint_dir(Session())
+
+
+def test_replacement_onto_its_own_path_and_failures(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "t")
+    files.replace_table(spark.range(5).withColumn("v", F.col("id") * 2), path)
+    files.replace_table(files.read_table(spark, path, "parquet").where("id > 1"), path)
+    assert sorted(r.id for r in files.read_table(spark, path, "parquet").collect()) == [2, 3, 4]
+    broken = files.read_table(spark, path, "parquet").withColumn("v", F.when(F.col("id") == 4, F.raise_error(F.lit("stop")).cast("long")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="stop"):
+        files.replace_table(broken, path)
+    assert sorted(r.id for r in files.read_table(spark, path, "parquet").collect()) == [2, 3, 4]
+    assert os.listdir(tmp_path) == ["t"]
+    # a driver lost between the two renames: the old table comes back, nothing else is left
+    files._rename(spark, path, path + ".old")
+    files.recover_table(spark, path)
+    assert sorted(r.id for r in files.read_table(spark, path, "parquet").collect()) == [2, 3, 4] and os.listdir(tmp_path) == ["t"]
+
+
+def test_months_are_replaced_alone(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "p")
+    rows = [(dt.date(2024, m, d), "a", float(m * 100 + d)) for m in (1, 2, 3) for d in (1, 2)]
+    df = spark.createDataFrame(rows, "time_date date, dish_name string, prediction double")
+    files.write_predictions(df, path)
+    names = {m: sorted(os.listdir(f"{path}/month=20240{m}")) for m in (1, 2, 3)}
+    files.write_predictions(df.where("month(time_date) = 2").withColumn("prediction", F.lit(0.0)), path, only_months=True)
+    assert all((sorted(os.listdir(f"{path}/month=20240{m}")) == names[m]) == (m != 2) for m in (1, 2, 3))
+    assert sorted(r.prediction for r in files.read_predictions(spark, path).collect()) == [0.0, 0.0, 101.0, 102.0, 301.0, 302.0]
