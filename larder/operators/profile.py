@@ -97,7 +97,8 @@ def correlations(df: DataFrame) -> DataFrame:
         return correlations_of(merge_moments(moments(df)))
     value = [F.coalesce(F.col(quoted(c)).cast("double"), F.lit(0.0)) for c in cols]
     # centred moments: ``corr`` itself fails on a constant column under ANSI
-    whole = df.agg(*[F.var_pop(v).alias(f"_v{i}") for i, v in enumerate(value)],
+    # and its variance, merged from partial means, may miss 0 by a rounding
+    whole = df.agg(*[F.when(F.min(v) < F.max(v), F.var_pop(v)).alias(f"_v{i}") for i, v in enumerate(value)],
                    *[F.covar_pop(value[i], value[j]).alias(f"_r{i}_{j}") for i, j in pairs])
     cell = lambda i, j: F.try_divide(F.col(f"_r{i}_{j}"), F.sqrt(F.col(f"_v{i}")) * F.sqrt(F.col(f"_v{j}")))
     named = [F.struct(F.lit(f"{cols[i]}__{cols[j]}").alias("pair"), F.nanvl(cell(i, j), F.lit(None).cast("double")).alias("corr")) for i, j in pairs]
