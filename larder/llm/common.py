@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 U64 = np.uint64
 #: Bytes of text handled at once by the numpy code; a longer text is handled alone.
 CHUNK_BYTES = 1 << 20
-#: Bits of a broadcast bitmap (1 MiB): its size does not depend on the data.
-BITMAP_BITS = 1 << 23
+#: Least and most bits of a broadcast bitmap (128 KiB to 32 MiB), and the bits for each key between.
+BITMAP_LEAST, BITMAP_MOST, BITMAP_PER_KEY = 1 << 20, 1 << 28, 32
 
 # ---------------------------------------------------------------------------------------
 # tables and scratch space
@@ -112,13 +112,19 @@ def lowest_by_hash(rows: DataFrame, key: str, most: int) -> DataFrame:
     return rows if share >= 1 else rows.where(F.xxhash64(key) < F.lit(int(share * 2.0 ** 64) - 2 ** 63))
 
 
-def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
-    """A bitmap of fixed size with the bit ``key mod bits`` set for every 64-bit key.
+def bitmap(keys: DataFrame, column: str, bits: int | None = None) -> np.ndarray:
+    """A bitmap with the bit ``key mod bits`` set for every 64-bit key.  Without ``bits`` its size follows
+    the number of rows of ``keys``, up to a bound (beyond it the filter only gets weaker).
 
     Used as a broadcast prefilter: a clear bit proves that a key is absent, a set bit proves
     nothing, so an exact step always follows.  Tasks assemble blocks of 8192 bits; the driver
     receives each block once, at most ``bits / 8`` bytes in all, whatever the data."""
     block = 8192
+    if bits is None:
+        bits = BITMAP_LEAST
+        wanted = BITMAP_PER_KEY * keys.count()
+        while bits < min(wanted, BITMAP_MOST):
+            bits *= 2
 
     def local(batches):
         for batch in batches:

@@ -40,16 +40,16 @@ class JoinParams:
     #: Link when 100 * intersection >= percent * union.
     percent: int = 75
     #: Orders under which the two smallest shingles put documents into a first group.
-    orders: int = 3
+    orders: int = 2
     #: Members of a group that are held and compared at once.
     block: int = 512
     #: Queries that meet one group in one task.
-    queries: int = 2_000
+    queries: int = 1_000
     #: A shingle of this many documents goes to the end of every order; counted over what tasks
     #: met in ``met`` documents or more, ``counted_at_once`` shingles at a time.
     common_documents: int = 12
     met: int = 2
-    counted_at_once: int = 4_000_000
+    counted_at_once: int = 2_000_000
     #: A shingle in the prefixes of more groups than this goes there too, and prefixes are redone.
     crowded_groups: int = 40
     redo: int = 1
@@ -282,9 +282,14 @@ def common_shingles(described: DataFrame, params: JoinParams) -> np.ndarray:
     return C.bitmap(rows.where(F.col("documents") >= params.common_documents), "common")
 
 
+#: Low bits of a place in the order that are not told: a coarse place takes fewer bytes, and two equal
+#: ones decide nothing.
+COARSE = 44
+
+
 def prefixes(docs: DataFrame, common: np.ndarray, params: JoinParams) -> DataFrame:
     """(token, node, last): the first shingles of each set, rare ones first, then by name; ``last``
-    is the place of the set's last one in that order.
+    is the coarse place of the set's last one in that order.
 
     With inter >= 3/7 of the sizes' sum (for 75 %), a set must share one of its first
     n - ceil(p n) + 1 shingles with any linked set of at most its size, and that one is among the
@@ -309,7 +314,7 @@ def prefixes(docs: DataFrame, common: np.ndarray, params: JoinParams) -> DataFra
                 flags[:index] |= 1
                 tokens.append(first)
                 nodes.append(flags)
-                place = int(first[-1] >> U64(2)) | int(len(first) > int((~late).sum())) << 62
+                place = (int(first[-1] >> U64(2)) | int(len(first) > int((~late).sum())) << 62) >> COARSE << COARSE
                 lasts.append(np.full(len(first), place, np.int64))
             if tokens:
                 yield pa.RecordBatch.from_pydict({
@@ -372,23 +377,65 @@ def qualified(pairs: DataFrame, rows: DataFrame, params: JoinParams) -> DataFram
     groups = rows.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("last").alias("soonest"), F.max("last").alias("latest"))
     least = F.greatest(F.col("low"), F.ceil(F.col("qn") * p / 100))
     most = F.least(F.col("high"), F.col("qn"))
-    enough = (F.when(F.col("qlast") <= F.col("soonest"), F.col("c") >= needed(F.col("qn"), least) - F.col("qn") + probe(F.col("qn")))
-              .when(F.col("qlast") >= F.col("latest"), F.col("c") >= needed(F.col("qn"), most) - most + probe(most) - 1)
+    enough = (F.when(F.col("qlast") < F.col("soonest"), F.col("c") >= needed(F.col("qn"), least) - F.col("qn") + probe(F.col("qn")))
+              .when(F.col("qlast") > F.col("latest"), F.col("c") >= needed(F.col("qn"), most) - most + probe(most) - 1)
               .otherwise(F.lit(True)))
     return common.join(asked, "q").join(groups, "grp").where(enough).select("q", "grp")
 
 
+#: A crowded key is cut in four as often as it takes to come below ``block`` members.
+CUT = 4
+
+
+def _subs(keys: np.ndarray, nodes: np.ndarray, crowded: list[np.ndarray]) -> np.ndarray:
+    """The block of a key that a node belongs to: ``crowded[i]`` marks the keys that are cut i + 1 times.  A
+    key marked by chance is cut once more than it needs, on every executor alike."""
+    parts = np.ones(len(keys), U64)
+    for marks in crowded:
+        parts[C.in_bitmap(marks, keys.view(U64))] *= U64(CUT)
+    return C.signed(C.mix(nodes.view(U64)) % parts)
+
+
 def first_links(docs: DataFrame, described: DataFrame, scratch: C.Scratch, params: JoinParams) -> tuple[DataFrame, DataFrame]:
-    """(links inside the first groups, (node, key, sub) of the documents in them)."""
+    """(links inside the first groups, (node, key, sub) of the documents in them).
+
+    Sets are sent straight to their group: which keys have company, and which are crowded, is known from
+    bitmaps, so no set travels to be looked up first."""
     names = [f"k{j}" for j in range(params.orders)]
     nodes = described.where("n > 0").select("node", *names).distinct()
-    keyed = nodes.select("node", F.explode(F.array(*names)).alias("key")).distinct()
-    groups = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    # a crowded key is cut into blocks; what falls apart here meets again in the matrix
-    places = keyed.join(groups, "key").select("node", "key", F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / params.block)).alias("sub"))
-    places = scratch.keep(places, "places")
-    sets = sets_of(docs, places, params).join(places, "node")
-    found = sets.groupBy("key", "sub").applyInArrow(_links_inside(params.percent), "u long, v long")
+    keyed = scratch.keep(nodes.select("node", F.explode(F.array(*names)).alias("key")).distinct(), "keyed")
+    groups = scratch.keep(keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "groups")
+    company = C.bitmap(groups, "key")
+    crowded, most = [], params.block
+    # what falls apart here meets again in the matrix
+    while not (rows := groups.where(F.col("m") > most)).isEmpty():
+        crowded.append(C.bitmap(rows, "key"))
+        most *= CUT
+    percent, width, orders = params.percent, params.width, params.orders
+
+    def place(batches):
+        for batch in batches:
+            node, key = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            hit = C.in_bitmap(company, key.view(U64))
+            yield pa.RecordBatch.from_pydict({"node": pa.array(node[hit]), "key": pa.array(key[hit]), "sub": pa.array(_subs(key[hit], node[hit], crowded))})
+
+    places = scratch.keep(keyed.mapInArrow(place, "node long, key long, sub long"), "places")
+    scratch.drop("keyed", "groups")
+
+    def send(batches):
+        seen = C.Seen()
+        for _, data, offsets in C.chunks(batches, "text"):
+            sets = [s for s in shingle_sets(data, offsets, width) if len(s)]
+            own = [(node, s) for node, s in ((node_of(s), s) for s in sets) if not seen.again(node)]
+            pairs = [(k, node, s) for node, s in own for k in dict.fromkeys(_keys(s, orders))]
+            key, node = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
+            hit = C.in_bitmap(company, key.view(U64)) if len(pairs) else np.zeros(0, bool)
+            yield pa.RecordBatch.from_pydict({
+                "key": pa.array(key[hit]), "sub": pa.array(_subs(key[hit], node[hit], crowded)), "node": pa.array(node[hit]),
+                "tokens": pa.array([pairs[i][2].tobytes() for i in np.flatnonzero(hit).tolist()], pa.binary())})
+
+    sets = docs.select("text").mapInArrow(send, "key long, sub long, node long, tokens binary")
+    found = sets.groupBy("key", "sub").applyInArrow(_links_inside(percent), "u long, v long")
     return scratch.keep(found, "first-links"), places
 
 
@@ -411,12 +458,18 @@ def cross_links(docs: DataFrame, table: DataFrame, roots: DataFrame, places: Dat
         crossing = shared.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.approx_count_distinct("grp").alias("groups")).where("a <> b")
         crossing = scratch.keep(crossing.select("token", "groups"), f"crossing{attempt}")
         crowded = crossing.where(F.col("groups") > params.crowded_groups)
-        more = C.bitmap(crowded, "token") & ~common
-        if attempt == params.redo or not more.any():
+        # prefixes are read anew only where crowded shingles would pair more groups than there are rows
+        pairs = crowded.agg(F.sum(F.col("groups") * F.col("groups"))).first()[0] or 0
+        if attempt == params.redo or pairs <= shared.count():
+            break
+        more = C.bitmap(crowded, "token", 8 * len(common)) & ~common
+        if not more.any():
             break
         common = common | more
         scratch.drop(f"shared{attempt}", f"crossing{attempt}")
-    rows = shared.join(crossing.select("token"), "token", "left_semi")
+    # written once more: most rows belong to tokens of one component only and travel no further
+    rows = scratch.keep(shared.join(crossing.select("token"), "token", "left_semi"), "rows")
+    scratch.drop(f"shared{attempt}", f"crossing{attempt}")
     matrix = (rows.where("index").groupBy("token", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("comp").alias("c0"), F.max("comp").alias("c1")))
     asked = rows.select("token", F.col("node").alias("q"), F.col("n").alias("qn"), F.col("comp").alias("qc"), F.col("grp").alias("qg"))
     pairs = (asked.join(matrix, "token")
