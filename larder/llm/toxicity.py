@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -78,12 +79,60 @@ SEPARATORS = " .-_*"
 _SIGNS = re.escape("".join(LOOKALIKES) + MASKS)
 _LETTER = r"[^\W\d_]"
 _UNIT = rf"(?:{_LETTER}|[{_SIGNS}])"
-#: Spans worth decoding: three or more signs or letters set apart; a token with a sign next to a
-#: letter; a letter three times in a row.  Look-behinds anchor every span at a run's start.
-SUSPICIOUS = re.compile(
-    rf"(?<![\w{_SIGNS}]){_UNIT}(?:[ .\-_]{{1,2}}{_UNIT}|\*(?!\*){_UNIT}){{2,}}(?!\w)"
-    rf"|(?<!{_LETTER})(?<![{_SIGNS}]){_UNIT}*(?:[{_SIGNS}]{_LETTER}|{_LETTER}[{_SIGNS}]){_UNIT}*"
-    rf"|(?<!{_LETTER})(?:{_LETTER})*?([a-z])\1\1(?:{_LETTER})*")
+#: Spans worth decoding, the first that fits at a place: three or more signs or letters set apart; ...
+_APART = re.compile(rf"(?<![\w{_SIGNS}]){_UNIT}(?:[ .\-_]{{1,2}}{_UNIT}|\*(?!\*){_UNIT}){{2,}}(?!\w)")
+_ANY_SIGN, _ONE_LETTER, _ONE_UNIT = re.compile(f"[{_SIGNS}]"), re.compile(_LETTER), re.compile(_UNIT)
+_UNITS, _LETTERS, _TRIPLE = re.compile(f"{_UNIT}+"), re.compile(f"{_LETTER}+"), re.compile(r"([a-z])\1\1")
+_TRIPLES = [c * 3 for c in "abcdefghijklmnopqrstuvwxyz"]
+
+
+def _run_start(text: str, at: int, one: re.Pattern) -> int:
+    while at and one.match(text, at - 1):
+        at -= 1
+    return at
+
+
+def _signed_runs(text: str) -> Iterator[tuple[int, int]]:
+    """... a whole run of signs and letters in which a sign stands next to a letter; ..."""
+    end = -1
+    for m in _ANY_SIGN.finditer(text):
+        at = m.start()
+        if at >= end and (_ONE_LETTER.match(text, at + 1) or at and _ONE_LETTER.match(text, at - 1)):
+            start, end = _run_start(text, at, _ONE_UNIT), _UNITS.match(text, at).end()
+            yield start, end
+
+
+def _drawn_out_runs(text: str) -> Iterator[tuple[int, int]]:
+    """... a whole run of letters with one of them three times in a row."""
+    if not any(t in text for t in _TRIPLES):
+        return
+    end = -1
+    for m in _TRIPLE.finditer(text):
+        if m.start() >= end:
+            start, end = _run_start(text, m.start(), _ONE_LETTER), _LETTERS.match(text, m.start()).end()
+            yield start, end
+
+
+def suspicious(text: str) -> Iterator[str]:
+    """The spans of lower-case ``text`` worth decoding, from left to right, none inside another.  Signs are
+    looked for first, so that plain words cost one pass of a character class."""
+    kinds = [_signed_runs(text), _drawn_out_runs(text)]
+    runs = [next(k, None) for k in kinds]
+    apart, at = _APART.search(text), 0
+    while True:
+        if apart and apart.start() < at:
+            apart = _APART.search(text, at)
+        for i, k in enumerate(kinds):
+            while runs[i] and runs[i][0] < at:
+                runs[i] = next(k, None)
+        first = min((x for x in ((apart.start(), 0, apart.end()) if apart else None, *((r[0], i + 1, r[1]) if r else None for i, r in enumerate(runs))) if x),
+                    default=None)
+        if first is None:
+            return
+        yield text[first[0]:first[2]]
+        at = first[2]
+
+
 _SPACED = re.compile(rf"{_UNIT}(?:[ .\-_]{{1,2}}{_UNIT}|\*(?!\*){_UNIT}){{2,}}")
 LOG = {"same": 0.0, "sign": -0.7, "mask": -3.5, "drop": -14.0, "once": -0.3, "twice": -1.0, "single": -5.0,
        "edge": -8.0, "point": -2.0, "mask edge": -10.0, "space edge": -0.5, "between": -1.0}
@@ -225,9 +274,8 @@ def _decode(span: str, model: np.ndarray, spaced: bool, bounded: bool) -> str:
 class Restorer:
     """``restore`` with a bounded memory of spans already seen."""
 
-    def __init__(self, model: np.ndarray, remember: int = 200_000):
-        self.model, self.remember, self.seen = model.tolist(), remember, {}
-        self.array = model
+    def __init__(self, model: np.ndarray, remember: int = 100_000):
+        self.array, self.remember, self.seen = model, remember, {}
 
     def __call__(self, span: str) -> str:
         found = self.seen.get(span)
@@ -245,7 +293,7 @@ def restored_words(text: str, restorer: Restorer) -> list[str]:
     """The words of the whole text, then those that decoding restores from suspicious spans."""
     low = text.lower()
     found = WORD.findall(low)
-    found += [w for m in SUSPICIOUS.finditer(low) for w in WORD.findall(restorer(m[0]))]
+    found += [w for span in suspicious(low) for w in WORD.findall(restorer(span))]
     return found
 
 

@@ -231,7 +231,7 @@ def test_messages_pass_along_every_link():
 
 def test_long_runs_of_signs_take_linear_time():
     for text in ("a" * 200_000, "*" * 20_000 + "a", " *" * 5_000, "a*" * 5_000, "!" * 100_000 + "a!", "a " * 5_000, "é" * 100_000):
-        list(T.SUSPICIOUS.finditer(text))
+        list(T.suspicious(text))
 
 
 def test_long_runs_take_linear_time():
@@ -251,3 +251,13 @@ def test_repeated_words_are_counted_by_their_letters(spark):
     rows = [(1, f"{one} b c d e {two} b c d e f g"), (2, f"{one} b c d e {one} b c d e f g")]
     stats = {r["doc_id"]: r["n_repeat_words"] for r in Q.rule_statistics(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert stats == {1: 0, 2: 10}
+
+
+def test_suspicious_spans_equal_one_pattern():
+    s, letter, unit = T._SIGNS, T._LETTER, T._UNIT
+    whole = re.compile(rf"(?<![\w{s}]){unit}(?:[ .\-_]{{1,2}}{unit}|\*(?!\*){unit}){{2,}}(?!\w)"
+                       rf"|(?<!{letter})(?<![{s}]){unit}*(?:[{s}]{letter}|{letter}[{s}]){unit}*|(?<!{letter})(?:{letter})*?([a-z])\1\1(?:{letter})*")
+    rng = np.random.default_rng(1)
+    for _ in range(5000):
+        text = "".join(rng.choice(list("aab bé.-_*$1!2 \n,Ⅷaaa"), rng.integers(1, 40)))
+        assert list(T.suspicious(text)) == [m[0] for m in whole.finditer(text)]
