@@ -176,6 +176,16 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+#: How to drop what an operator keeps in a Python worker between tasks, where it keeps anything.
+HELD: list[Callable] = []
+
+
+def release() -> None:
+    """Drop what other operators' tasks left in this Python worker, which lives through many stages."""
+    for drop in HELD:
+        drop()
+
+
 def chunks(batches, column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches with about ``limit`` bytes of text each: (slice, bytes, offsets)."""
     for batch in batches:

@@ -130,6 +130,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, params: JoinParams) -> DataFrame:
     marks = C.bitmap(nodes.select(F.shiftright("node", 1).alias("node")), "node")
 
     def run(batches):
+        C.release()
         seen = C.Seen()
         for _, data, offsets in C.chunks(batches, "text"):
             sets = [s for s in shingle_sets(data, offsets, params.width) if len(s)]
@@ -297,6 +298,7 @@ def prefixes(docs: DataFrame, common: np.ndarray, params: JoinParams) -> DataFra
     p = params.percent
 
     def run(batches):
+        C.release()
         seen = C.Seen()
         for _, data, offsets in C.chunks(batches, "text"):
             tokens, nodes, lasts = [], [], []
@@ -423,6 +425,7 @@ def first_links(docs: DataFrame, described: DataFrame, scratch: C.Scratch, param
     scratch.drop("keyed", "groups")
 
     def send(batches):
+        C.release()
         seen = C.Seen()
         for _, data, offsets in C.chunks(batches, "text"):
             sets = [s for s in shingle_sets(data, offsets, width) if len(s)]

@@ -113,6 +113,9 @@ class Vocabulary:
         return [b"".join(map(self.words.__getitem__, words)) for words in texts]
 
 
+C.HELD.append(Vocabulary.known.clear)
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """One row per piece of each document (doc_id, text): ids of the whole text and the end id,
     cut every ``capacity`` ids.  ``with_ids`` adds the ids themselves."""

@@ -43,6 +43,7 @@ _FOLD[128:] = OTHER
 
 
 def _trigram_counts(batches):
+    C.release()
     total = np.zeros(ALPHABET**3, np.int64)
     for _, data, offsets in C.chunks(batches, "text"):
         # a boundary in front of every document, so that no trigram crosses documents
@@ -434,6 +435,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str =
     at = docs.columns.index(text)
 
     def run(batches):
+        C.release()
         restorer, heads = Restorer(model.characters), frozenset(k.lstrip("=")[:4] for k in model.known)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):

@@ -311,3 +311,13 @@ def test_pipeline_stages_on_the_test_table(spark):
         docs = out
     used, least = check_places(P.STAGES[-1][1](spark, docs, SF).collect())
     assert used <= least + 1
+
+
+def test_workers_drop_what_packing_learnt():
+    from larder.llm import common, packing
+    from larder.llm.queries import tokenizer_path
+
+    vocabulary = packing.Vocabulary.of(tokenizer_path())
+    assert packing.Vocabulary.of(tokenizer_path()) is vocabulary
+    common.release()
+    assert packing.Vocabulary.of(tokenizer_path()) is not vocabulary
