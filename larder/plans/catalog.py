@@ -18,6 +18,7 @@ from larder.functions.text import display_name, quoted
 from larder.functions.timecols import calendar_columns
 from larder.operators import boosting, clean, forecast, profile, reports, training
 from larder.operators import features as feat
+from larder.operators import increment
 from larder.operators.star import star_join
 from larder.session import scratch_path
 from larder.sources import files
@@ -416,6 +417,19 @@ def q_feature_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({c: F.round(c, 9) for c in ROUNDED_9})
 
 
+def q_feature_store_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same store grown year by year: each batch reads the order lines of its own year (the star is
+    stored by year) and the rows carried over from the batch before."""
+    lines, root = scratch_path(spark, "star-by-year"), scratch_path(spark, "grown-store")
+    (star(spark, sf_dir).withColumn("year", F.year("time_date")).repartition("year")
+     .write.mode("overwrite").partitionBy("year").parquet(lines))
+    stored = spark.read.parquet(lines)
+    ends = stored.where(F.col("year").isNotNull()).groupBy("year").agg(F.max("time_date").alias("last")).orderBy("year").collect()
+    for end in ends:  # one row a year
+        increment.append_days(stored.where(F.col("year") == F.lit(end["year"])).drop("year"), root, end["last"])
+    return increment.read_store(spark, root).withColumns({c: F.round(c, 9) for c in ROUNDED_9})
+
+
 # ---- streaming ---------------------------------------------------------------------------
 
 def q_stream_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -619,6 +633,7 @@ QUERIES: dict[str, Query] = {
     "stream_clean_text": q_stream_clean_text,
     "parquet_roundtrip": q_parquet_roundtrip,
     "feature_store_roundtrip": q_feature_store_roundtrip,
+    "feature_store_by_days": q_feature_store_by_days,
     "month_list": q_month_list,
     "month_read": q_month_read,
     "day_view": q_day_view,

@@ -433,6 +433,7 @@ FROM means QUALIFY ROW_NUMBER() OVER (PARTITION BY dish_name, CAST(time_date AS
     "profile_by_state": "WITH l AS (SELECT * REPLACE (CASE WHEN l_linenumber <> 3 THEN l_quantity END AS l_quantity) FROM lineitem)\n" + "\nUNION ALL\n".join(
         f"""SELECT '{c}' AS column_name, ROUND(CAST(MIN({c}) AS DOUBLE), 6) AS minimum, ROUND(CAST(MAX({c}) AS DOUBLE), 6) AS maximum,
        ROUND(AVG({c}) + 0.0000137, 4) AS avg, ROUND(STDDEV_SAMP({c}) + 0.0000137, 4) AS std, COUNT(*) - COUNT({c}) AS missing FROM l""" for c in _NUMERIC_LINEITEM),
+    "feature_store_by_days": _rolling_sql(),
     "replace_table": """
 SELECT DISTINCT p_partkey, CASE WHEN trim(p_name) = '' THEN 'unknown' ELSE lower(trim(p_name)) END AS p_name, p_size
 FROM (SELECT p_partkey, '  ' || upper(p_name) AS p_name, p_size FROM part UNION ALL SELECT p_partkey, p_name, p_size FROM part)""",
