@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions.numeric import clean_bigint
-from larder.functions.text import clean_text, strip_accents
+from larder.functions.text import clean_text, quoted, strip_accents
 from larder.functions.timecols import TIMESTAMP_FORMAT, lenient_timestamp, parse_timestamp
+from larder.session import scratch_path
 from larder.specs import TableSpec
 
 
@@ -20,6 +21,26 @@ def dedupe(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def dedupe_wide(df: DataFrame, name: str = "_row_digest") -> DataFrame:
+    """``dedupe`` for rows of long texts of which most are single: only 64-bit row digests are shuffled.
+
+    Digests are counted first, and those met twice are written to the shared folder, so that their size is
+    known before the rows are planned: below the session's broadcast threshold they are sent to every
+    task, beyond it Spark joins them by a shuffle.  Rows whose digest is single are distinct as they
+    stand and never leave their task; the others go through ``dropDuplicates``, which compares whole
+    values, so two different rows that share a digest both stay.  ``df`` is read three times and has to
+    give the same rows each time (a table does).  ``name`` must not be one of its columns."""
+    if name in df.columns:
+        raise ValueError(f"{name!r} is a column; give another name")
+    marked = df.withColumn(name, F.xxhash64(*[F.col(quoted(c)) for c in df.columns]))
+    path = scratch_path(df.sparkSession, "row-digests")
+    marked.groupBy(name).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(name).write.parquet(path)
+    again = df.sparkSession.read.parquet(path)
+    single = marked.join(again, name, "left_anti").select(*[quoted(c) for c in df.columns])
+    shared = marked.join(again, name, "left_semi").select(*[quoted(c) for c in df.columns])
+    return single.unionByName(shared.dropDuplicates())
+
+
 def clean_text_columns(df: DataFrame, defaults: dict[str, str]) -> DataFrame:
     present = {c: d for c, d in defaults.items() if c in df.columns}
     return df.withColumns({c: clean_text(c, d) for c, d in present.items()}) if present else df

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,19 +64,57 @@ def numeric_profile(df: DataFrame) -> DataFrame:
     return df.agg(*[measure(quoted(c)).alias(f"{c}_{suffix}") for c in cols for suffix, measure in STATISTICS])
 
 
+#: Values longer than this many characters are counted by their SHA-256 digest.
+DIGEST_OVER = 64
+
+
+def _value_key(c: str) -> Column:
+    """A value itself, or where it is long its digest (one sign longer than any value kept as it is, so
+    the two never meet)."""
+    v = F.col(quoted(c))
+    return F.when(F.length(v) <= DIGEST_OVER, v).otherwise(F.concat(F.lit("#"), F.sha2(v, 256)))
+
+
 def cardinality(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """(column_name, n_distinct) for every string column; NULL counts as one value.
+
+    Exact counts take one shuffle of (column, short value): each task keeps a pair once before it is
+    sent, so what travels is bounded by the distinct values of a task and not by the width of the rows.
     ``approx=True`` uses HyperLogLog++ (relative error ``rsd``) for very wide or large data."""
     cols = string_columns(df)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, n_distinct bigint")
+    if approx:
+        aggs = []
+        for i, c in enumerate(cols):
+            aggs += [F.approx_count_distinct(quoted(c), rsd).alias(f"_d{i}"), F.max(F.col(quoted(c)).isNull().cast("int")).alias(f"_z{i}")]
+        counted = df.agg(*aggs)
+        return _long(counted, [(c, [(F.col(f"_d{i}") + F.coalesce(F.col(f"_z{i}"), F.lit(0))).cast("bigint")
+                                    .alias("n_distinct")]) for i, c in enumerate(cols)])
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _value_key(c).alias("v")) for i, c in enumerate(cols)])).alias("_e"))
+    counted = (pairs.select("_e.i", "_e.v").distinct()
+               .agg(*[F.count_if(F.col("i") == F.lit(i)).alias(f"_d{i}") for i in range(len(cols))]))
+    return _long(counted, [(c, [F.col(f"_d{i}").cast("bigint").alias("n_distinct")]) for i, c in enumerate(cols)])
+
+
+def sketches(df: DataFrame, by: str, lg_k: int = 14) -> DataFrame:
+    """(part, column_name, sketch, has_null): one mergeable distinct-count sketch of every string column for each
+    value of ``by`` (2 ** ``lg_k`` registers: at most some 16 KB).  Store them by part; a new part is sketched alone."""
+    cols = [c for c in string_columns(df) if c != by]
     aggs = []
     for i, c in enumerate(cols):
-        d = F.approx_count_distinct(quoted(c), rsd) if approx else F.count_distinct(F.col(quoted(c)))
-        aggs += [d.alias(f"_d{i}"), F.max(F.col(quoted(c)).isNull().cast("int")).alias(f"_z{i}")]
-    counted = df.agg(*aggs) if aggs else None
-    if counted is None:
-        return df.sparkSession.createDataFrame([], "column_name string, n_distinct bigint")
-    return _long(counted, [(c, [(F.col(f"_d{i}") + F.coalesce(F.col(f"_z{i}"), F.lit(0))).cast("bigint")
-                                .alias("n_distinct")]) for i, c in enumerate(cols)])
+        aggs += [F.hll_sketch_agg(quoted(c), lg_k).alias(f"_s{i}"), F.max(F.col(quoted(c)).isNull()).alias(f"_z{i}")]
+    if not aggs:
+        return df.sparkSession.createDataFrame([], "part string, column_name string, sketch binary, has_null boolean")
+    each = df.groupBy(F.col(quoted(by)).cast("string").alias("part")).agg(*aggs)
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"_s{i}").alias("sketch"), F.col(f"_z{i}").alias("has_null")) for i, c in enumerate(cols)]
+    return each.select("part", F.explode(F.array(*cells)).alias("_e")).select("part", "_e.*")
+
+
+def cardinality_of(stored: DataFrame) -> DataFrame:
+    """(column_name, n_distinct) estimated over all stored parts; NULL counts as one value."""
+    return (stored.groupBy("column_name")
+            .agg((F.hll_sketch_estimate(F.hll_union_agg("sketch")) + F.max(F.col("has_null").cast("bigint"))).alias("n_distinct")))
 
 
 #: Columns up to which every pair is an aggregate of its own, worked out without Python.

@@ -430,6 +430,29 @@ def q_feature_store_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return increment.read_store(spark, root).withColumns({c: F.round(c, 9) for c in ROUNDED_9})
 
 
+def q_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as CSV and read back with the types that their texts allow."""
+    path = scratch_path(spark, "orders-csv")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice", "o_orderpriority")
+    files.write_table(o, path, "csv")
+    return files.read_inferred(spark, path)
+
+
+def q_dedupe_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without their ids: exact copies go, by digests first."""
+    return clean.dedupe_wide(table(spark, sf_dir, "documents").select("text", "lang", "source", "n_chars"))
+
+
+def q_cardinality_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of orders stored by order year and merged, against the exact counts."""
+    path = scratch_path(spark, "sketches")
+    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), "o_orderstatus", "o_orderpriority", F.col("o_custkey").cast("string").alias("customer"))
+    profile.sketches(o, "year").write.mode("overwrite").partitionBy("part").parquet(path)
+    guess = profile.cardinality_of(spark.read.parquet(path)).withColumnRenamed("n_distinct", "guess")
+    both = profile.cardinality(o).join(guess, "column_name")
+    return both.select("column_name", "n_distinct", (F.abs(F.col("guess") - F.col("n_distinct")) * 20 <= F.col("n_distinct")).alias("within_5_percent"))
+
+
 # ---- streaming ---------------------------------------------------------------------------
 
 def q_stream_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -634,6 +657,9 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "feature_store_roundtrip": q_feature_store_roundtrip,
     "feature_store_by_days": q_feature_store_by_days,
+    "csv_inferred": q_csv_inferred,
+    "dedupe_wide": q_dedupe_wide,
+    "cardinality_by_sketch": q_cardinality_by_sketch,
     "month_list": q_month_list,
     "month_read": q_month_read,
     "day_view": q_day_view,

@@ -434,6 +434,12 @@ FROM means QUALIFY ROW_NUMBER() OVER (PARTITION BY dish_name, CAST(time_date AS
         f"""SELECT '{c}' AS column_name, ROUND(CAST(MIN({c}) AS DOUBLE), 6) AS minimum, ROUND(CAST(MAX({c}) AS DOUBLE), 6) AS maximum,
        ROUND(AVG({c}) + 0.0000137, 4) AS avg, ROUND(STDDEV_SAMP({c}) + 0.0000137, 4) AS std, COUNT(*) - COUNT({c}) AS missing FROM l""" for c in _NUMERIC_LINEITEM),
     "feature_store_by_days": _rolling_sql(),
+    "csv_inferred": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice, o_orderpriority, CAST(NULL AS VARCHAR) AS _bad_row FROM orders",
+    "dedupe_wide": "SELECT DISTINCT text, lang, source, n_chars FROM documents",
+    "cardinality_by_sketch": """
+SELECT 'o_orderstatus' AS column_name, count(DISTINCT o_orderstatus) AS n_distinct, true AS within_5_percent FROM orders
+UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority), true FROM orders
+UNION ALL SELECT 'customer', count(DISTINCT o_custkey), true FROM orders""",
     "replace_table": """
 SELECT DISTINCT p_partkey, CASE WHEN trim(p_name) = '' THEN 'unknown' ELSE lower(trim(p_name)) END AS p_name, p_size
 FROM (SELECT p_partkey, '  ' || upper(p_name) AS p_name, p_size FROM part UNION ALL SELECT p_partkey, p_name, p_size FROM part)""",

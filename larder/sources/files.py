@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.functions.text import ITEM_KEY_PREFIX, item_key
+from larder.functions.text import ITEM_KEY_PREFIX, item_key, quoted
 from larder.functions.timecols import month_key
 from larder.session import delete_path
 
@@ -44,6 +44,62 @@ def read_table(spark: SparkSession, path: str, fmt: str = "csv",
     return reader.csv(path)
 
 
+#: Types an inferred CSV column may get, narrowest first: (type, shape of a text, how it is read).  A column gets the
+#: first type that reads every text in it, else string; a column without values is a string.
+LADDER = (
+    ("bigint", r"^[+-]?[0-9]+$", lambda v: v.try_cast("bigint")),
+    ("double", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$", lambda v: v.try_cast("double")),
+    ("boolean", r"^([tT][rR][uU][eE]|[fF][aA][lL][sS][eE])$", lambda v: v.try_cast("boolean")),
+    ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", lambda v: v.try_cast("date")),
+    ("timestamp_ntz", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?$", lambda v: v.try_cast("timestamp_ntz")),
+)
+BAD_ROW = "_bad_row"
+
+
+def csv_texts(spark: SparkSession, path: str, null_value: str | None = None, bad_row: str = BAD_ROW) -> DataFrame:
+    """A CSV with header as texts, with one more column: the whole line where it has more or fewer
+    fields than the header, else NULL."""
+    reader = spark.read.option("header", True).option("enforceSchema", True)
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
+    names = reader.csv(path).columns  # reads the header line only
+    if bad_row in names:
+        raise ValueError(f"{bad_row!r} is a column of {path}; give another name")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, bad_row]])
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad_row).schema(schema).csv(path)
+
+
+def infer_types(texts: DataFrame, bad_row: str = BAD_ROW) -> DataFrame:
+    """One row (column_name, data_type, n_values) a column, in order: one aggregate over the well-formed lines,
+    with a flag for each column and rung of ``LADDER``; nothing is sampled."""
+    names = [c for c in texts.columns if c != bad_row]
+    good = texts.where(F.col(bad_row).isNull()) if bad_row in texts.columns else texts
+    aggs = []
+    for i, c in enumerate(names):
+        v = F.col(quoted(c))
+        aggs.append(F.count(v).alias(f"_n{i}"))
+        aggs += [F.bool_and(F.when(v.isNotNull(), v.rlike(shape) & read(v).isNotNull())).alias(f"_f{i}_{j}")
+                 for j, (_, shape, read) in enumerate(LADDER)]
+    cells = []
+    for i, c in enumerate(names):
+        kind = F.lit("string")
+        for j in reversed(range(len(LADDER))):
+            kind = F.when(F.col(f"_f{i}_{j}"), F.lit(LADDER[j][0])).otherwise(kind)
+        cells.append(F.struct(F.lit(c).alias("column_name"), kind.alias("data_type"), F.col(f"_n{i}").alias("n_values")))
+    if not cells:
+        return texts.sparkSession.createDataFrame([], "column_name string, data_type string, n_values bigint")
+    return good.agg(*aggs).select(F.explode(F.array(*cells)).alias("_e")).select("_e.*")
+
+
+def read_inferred(spark: SparkSession, path: str, null_value: str | None = None, bad_row: str = BAD_ROW) -> DataFrame:
+    """A CSV with the types that all its well-formed lines allow.  Malformed lines stay as rows: their text in
+    ``bad_row``, the fields they have as far as these can be read.  The driver gets one row a column."""
+    texts = csv_texts(spark, path, null_value, bad_row)
+    read = {kind: how for kind, _, how in LADDER} | {"string": lambda v: v}
+    kinds = {r["column_name"]: r["data_type"] for r in infer_types(texts, bad_row).collect()}
+    return texts.select(*[read[k](F.col(quoted(c))).alias(c) for c, k in kinds.items()], bad_row)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False,
                 null_value: str | None = None) -> None:
     """Overwrite ``path`` with ``df``.  ``single_file=True`` writes one part file (only for
