@@ -193,8 +193,8 @@ def test_page_text_is_the_article(spark):
     rows += [(30 + i, "http://copies.example/", "<article><p>all alike</p></article>") for i in range(9)]
     found = {r["page_id"]: r for r in H.main_text(spark.createDataFrame([(*r, "t") for r in rows], "page_id long, url string, html string, text string")).collect()}
     assert len(found) == len(rows)
-    # "One & two" and "Same words here." stand once on every page: they are in the class of the page
-    assert found[3]["text"] == "Title 3\nThird par agraph x < y < é3"
+    # "One & two" and "Same words here." stand once on every page, but among the article's own paragraphs
+    assert found[3]["text"] == "Title 3\nOne & two\nThird par agraph x < y < é3\nSame words here."
     assert found[20]["text"] == found[21]["text"] == "" and found[20]["n_chars"] == 0
     assert found[None]["text"] == "only this é\nand that" and found[None]["n_chars"] == 20
     assert found[22]["text"] == "a < b"
@@ -219,7 +219,11 @@ def test_template_classes_nest(spark):
     params = H.TemplateParams()
     found = H.template(H.occurrences(spark.createDataFrame(rows, "page_id long, url string, html string"), params), params).toPandas()
     root = found[found["is_root"]]
-    assert root["class"].nunique() == 1 and root["is_text"].sum() == 2  # "One & two" and "Same words here."
+    # title, header, menu, notice, form, two paragraphs, aside, comment, footer; not the varying title and paragraph
+    assert root["class"].nunique() == 1 and root["is_text"].sum() == 10
+    plan = H.plans(H.template(H.occurrences(spark.createDataFrame(rows, "page_id long, url string, html string"), params), params), params).first()
+    assert plan["container"] == "/html/body/article" and not plan["texts"]
+    assert set(plan["parts"]) == {"/html/body/article/aside", "/html/body/article/section.comments"}
 
 
 def test_nested_classes_decide_slots(spark):
@@ -230,13 +234,64 @@ def test_nested_classes_decide_slots(spark):
     assert found == {i: f"Story {i} is new" for i in range(9)}
 
 
+#: No article element and no telling name; varying advert, menu and comments.
+NEUTRAL = """<html><head><title>{t}</title></head><body><div class="a1"><p><a href="/">{m}</a></p><p>Our site</p></div><div class="b2"><p>{ad}</p></div>
+<div class="c3"><div class="d4"><h1>{t}</h1><p>{one}</p><ul><li>{two}</li><li>Point</li></ul><p>Shared by all.</p><div class="g7"><p>Read more of our site.</p></div></div>
+<div class="e5"><h3>Opinions</h3>{said}</div></div><div class="f6"><p>All rights {m}</p><p>Imprint</p></div></body></html>"""
+
+
+def neutral_pages(n):
+    rows, wanted = [], {}
+    for i in range(n):
+        words = " ".join(f"w{i}x{k}" for k in range(40))
+        said = "".join(f"<div class='k8'><span class='u'>User {i}-{k}</span><p>Opinion {k} of {i}</p></div>" for k in range(i % 4))
+        rows.append((i, "https://neutral.example/p", NEUTRAL.format(t=f"Story {i}", m=f"Menu {i}", ad=f"Buy {i} now", one=words, two=f"Item {i}", said=said)))
+        wanted[i] = f"Story {i}\n{words}\nItem {i}\nPoint\nShared by all."
+    return rows, wanted
+
+
+def test_neutral_names_go_by_class_alone(spark):
+    rows, wanted = neutral_pages(12)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in H.main_text(pages).collect()}
+    assert found == wanted
+    # names alone keep the advert, the comments and the shared box
+    assert all(H.page_text(html, None, H.TemplateParams()) != wanted[i] for i, _, html in rows)
+    # plans too many to be sent to every task: joined by host and salt
+    salted = {r["page_id"]: r["text"] for r in H.main_text(pages, sent_bytes=0).collect()}
+    assert salted == wanted
+
+
+def test_comments_inside_the_container_are_records(spark):
+    # body text stands beside the list of comments, in one part: only the repeated class tells them apart
+    said = "<div class='r'><div class='who'>Name {0}{1}</div><div class='said'>Said {0}{1}</div></div>"
+    page = "<body><div class='z'><h1>T{0}</h1><p>{1}</p><div class='q'>{2}</div></div></body>"
+    rows = [(i, "http://r.example", page.format(i, f"long {i} " * 40, "".join(said.format(i, k) for k in range(1 + i % 3)))) for i in range(9)]
+    found = {r["page_id"]: r["text"] for r in H.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"T{i}\n" + " ".join([f"long {i}"] * 40) for i in range(9)}
+    # sections with headings, and records that are most of the text, are the article
+    page = "<body><div class='z'><p>Start {0}</p><div class='q'>{1}</div></div></body>"
+    part = "<section><h2>H{0}{1}</h2><p>Words {0}{1}</p></section>"
+    rows = [(i, "http://s.example", page.format(i, "".join(part.format(i, k) for k in range(1 + i % 3)))) for i in range(9)]
+    found = {r["page_id"]: r["text"] for r in H.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: "\n".join([f"Start {i}", *(f"{w}{i}{k}" for k in range(1 + i % 3) for w in ("H", "Words "))]) for i in range(9)}
+
+
+def test_classes_outweigh_names_around_the_container(spark):
+    # the whole page in a form, the story in a part called sidebar; one page of another make
+    page = "<body><form id='main-form'><div class='menu'><p>Menu</p></div><div class='right-sidebar'><h1>T{0}</h1><p>Story {0} is long enough</p></div></form></body>"
+    rows = [(i, None, page.format(i)) for i in range(8)] + [(90, None, "<body><article><p>Other</p></article></body>")]
+    found = {r["page_id"]: r["text"] for r in H.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"T{i}\nStory {i} is long enough" for i in range(8)} | {90: "Other"}
+
+
 def test_names_never_drop_an_article():
     params = H.TemplateParams()
     for page in ("<article class='post promoted'><p>Long story</p></article>", "<div class='layout with-sidebar'><article><p>Long story</p></article></div>",
                  "<div class='widget'><main><p>Long story</p><div class='share'>Share</div></main></div>"):
-        assert H.page_text(page, frozenset(), params) == "Long story", page
-    assert H.page_text("<article><p>Story</p></article><div id='comments'><article><p>First!</p></article></div>", frozenset(), params) == "Story"
-    assert H.page_text("<nav><article><p>Menu</p></article></nav><p>Story</p>", frozenset(), params) == "Story"
+        assert H.page_text(page, None, params) == "Long story", page
+    assert H.page_text("<article><p>Story</p></article><div id='comments'><article><p>First!</p></article></div>", None, params) == "Story"
+    assert H.page_text("<nav><article><p>Menu</p></article></nav><p>Story</p>", None, params) == "Story"
 
 
 def test_near_copies_odd_pages_and_numbered_parts(spark):
