@@ -327,7 +327,8 @@ def template(tokens: DataFrame, params: TemplateParams) -> DataFrame:
     root = tokens.where((F.col("token") == 0) & ~F.col("is_text")).select(
         "host", F.col("vector1").alias("root1"), F.col("vector2").alias("root2"), F.col("pages").alias("host_pages"))
     # tokens of one class are on the same pages, so rare ones can go before classes are counted
-    classed = (tokens.join(root, "host").where((F.col("host_pages") >= params.least_pages) & (F.col("pages") >= params.share * F.col("host_pages")))
+    often = tokens.where(F.col("pages") >= params.share * params.least_pages)  # most text stands on one page: it does not travel
+    classed = (often.join(root, "host").where((F.col("host_pages") >= params.least_pages) & (F.col("pages") >= params.share * F.col("host_pages")))
                .withColumn("is_root", (F.col("vector1") == F.col("root1")) & (F.col("vector2") == F.col("root2"))))
     sizes = classed.groupBy("host", "vector1", "vector2").agg(F.count("*").alias("size"), F.max(~F.col("is_text")).alias("has_tag"))
     nearly = F.col("is_text") & (F.col("pages") >= params.near * F.col("host_pages")) & (F.col("total") == F.col("pages"))
