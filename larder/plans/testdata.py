@@ -17,6 +17,19 @@ from pyspark.sql import functions as F
 
 from larder.sources import files
 
+# Above WHOLE_LINES order lines, a task of the star holds about TASK_LINES of them however many there are:
+# its sorts and distinct counts keep a fixed memory, where coalesced partitions grow with the tables.
+WHOLE_LINES, TASK_LINES = 2_000_000, 250_000
+
+
+def task_count(lines: int) -> int | None:
+    """Tasks for that many order lines (None: few enough to leave to Spark)."""
+    return -(-lines // TASK_LINES) if lines > WHOLE_LINES else None
+
+
+def spread(df: DataFrame, parts: int | None, key: str) -> DataFrame:
+    return df if parts is None else df.repartition(parts, key)
+
 
 def cents(col: str):
     """Price with two decimals -> exact BIGINT minor units."""
@@ -28,17 +41,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return files.read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", "parquet")
 
 
-def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean ``order``: order_id, time, total_price, quantity, time_date, time_hour."""
+def order_table(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """Clean ``order``: order_id, time, total_price, quantity, time_date, time_hour; with ``parts``, dealt
+    by order_id to that many tasks."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderdate").alias("time"),
         cents("o_totalprice").alias("total_price"),
     )
-    qty = (table(spark, sf_dir, "lineitem")
-           .groupBy(F.col("l_orderkey").alias("order_id"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"), "l_quantity")
+    qty = (spread(lines, parts, "order_id").groupBy("order_id")
            .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")))
-    return (orders.join(qty, on="order_id", how="left")
+    return (spread(orders, parts, "order_id").join(qty, on="order_id", how="left")
             .select("order_id", "time", "total_price",
                     F.coalesce("quantity", F.lit(0).cast("bigint")).alias("quantity"),
                     F.to_date("time").alias("time_date"),
@@ -65,4 +79,7 @@ def dish_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return order_table(spark, sf_dir), order_detail_table(spark, sf_dir), dish_table(spark, sf_dir)
+    """Order, order_detail and dish; many lines and their orders are dealt by order_id (the lines are counted
+    from the file footers)."""
+    parts = task_count(table(spark, sf_dir, "lineitem").count())
+    return order_table(spark, sf_dir, parts), spread(order_detail_table(spark, sf_dir), parts, "order_id"), dish_table(spark, sf_dir)
