@@ -6,7 +6,7 @@ item layout is produced only at the edge (``to_wide``) and read back with ``to_l
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.text import display_name, quoted
@@ -74,10 +74,14 @@ def day_vs_month(long_df: DataFrame, item_col: str = "dish_name", value_col: str
                  date_col: str = "time_date", day: str | None = None, first_only: bool = False) -> DataFrame:
     """Each day's value next to the item's mean over that month, with a display name.
     The window holds one item-month (at most 31 rows).  ``day`` (``yyyy-MM-dd``) keeps one calendar
-    day; only its month is read, by partition where the table has a ``month`` column."""
+    day; only its month is read, by partition where the table has a ``month`` column.  ``first_only``
+    keeps the first row of each item and day, where days may hold any number of rows: they are
+    aggregated before any window, which again sees at most 32 rows an item-month."""
     month = F.col("month") if "month" in long_df.columns else month_key(date_col)
     if day is not None:
         long_df = long_df.where(month == F.lit(day[:7].replace("-", "")))
+    if first_only:
+        return _first_vs_month(long_df, month, item_col, value_col, date_col, day)
     w = Window.partitionBy(month, F.col(item_col))
     out = long_df.select(
         F.col(date_col), month.alias("month"), F.col(item_col),
@@ -85,7 +89,22 @@ def day_vs_month(long_df: DataFrame, item_col: str = "dish_name", value_col: str
         F.col(value_col), F.avg(value_col).over(w).alias("month_mean"))
     if day is not None:
         out = out.where(F.to_date(date_col) == F.lit(day).cast("date"))
-    if first_only:
-        first = Window.partitionBy(item_col, F.to_date(date_col)).orderBy(date_col, value_col)
-        out = out.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place")
     return out
+
+
+def _first_vs_month(long_df: DataFrame, month: Column, item_col: str, value_col: str, date_col: str,
+                    day: str | None) -> DataFrame:
+    """One aggregation gives each item-day's first row and, as a further set, each item-month's mean."""
+    keyed = long_df.select(F.col(item_col).alias("_item"), month.alias("_month"), F.to_date(date_col).alias("_day"),
+                           F.col(value_col).alias("_value"), F.struct(F.col(date_col).alias("d"), F.col(value_col).alias("v")).alias("_row"))
+    rows = (keyed.groupingSets([["_item", "_month", "_day"], ["_item", "_month"]], "_item", "_month", "_day")
+            .agg(F.grouping("_day").alias("_of_month"), F.min("_row").alias("_row"), F.avg("_value").alias("_mean")))
+    whole = F.max(F.when(F.col("_of_month") == 1, F.col("_mean"))).over(Window.partitionBy("_month", "_item"))
+    days = rows.withColumn("_mean", whole).where("_of_month = 0")
+    if day is not None:
+        days = days.where(F.col("_day") == F.lit(day).cast("date"))
+    # a day has rows of two months only where the table's own month column says so
+    first = Window.partitionBy("_item", "_day").orderBy("_row")
+    days = days.withColumn("_place", F.row_number().over(first)).where("_place = 1")
+    return days.select(F.col("_row.d").alias(date_col), F.col("_month").alias("month"), F.col("_item").alias(item_col),
+                       display_name("_item").alias("display_name"), F.col("_row.v").alias(value_col), F.col("_mean").alias("month_mean"))
