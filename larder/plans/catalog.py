@@ -23,8 +23,8 @@ from larder.operators.star import star_join
 from larder.session import scratch_path
 from larder.sources import files
 from larder.streaming import standardize as streams
-from larder.plans.testdata import (order_detail_table, order_table,
-                                   star_tables, table)
+from larder.plans.testdata import (order_detail_table, order_table, spread,
+                                   star_tables, table, task_count)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -421,12 +421,15 @@ def q_feature_store_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same store grown year by year: each batch reads the order lines of its own year (the star is
     stored by year) and the rows carried over from the batch before."""
     lines, root = scratch_path(spark, "star-by-year"), scratch_path(spark, "grown-store")
-    (star(spark, sf_dir).withColumn("year", F.year("time_date")).repartition("year")
+    # a year's lines are written by as many tasks as their bytes ask for
+    (star(spark, sf_dir).withColumn("year", F.year("time_date")).hint("rebalance", "year")
      .write.mode("overwrite").partitionBy("year").parquet(lines))
     stored = spark.read.parquet(lines)
-    ends = stored.where(F.col("year").isNotNull()).groupBy("year").agg(F.max("time_date").alias("last")).orderBy("year").collect()
+    ends = (stored.where(F.col("year").isNotNull()).groupBy("year")
+            .agg(F.max("time_date").alias("last"), F.count("*").alias("lines")).orderBy("year").collect())
     for end in ends:  # one row a year
-        increment.append_days(stored.where(F.col("year") == F.lit(end["year"])).drop("year"), root, end["last"])
+        new = stored.where(F.col("year") == F.lit(end["year"])).drop("year")
+        increment.append_days(spread(new, task_count(end["lines"]), "order_id"), root, end["last"])
     return increment.read_store(spark, root).withColumns({c: F.round(c, 9) for c in ROUNDED_9})
 
 
