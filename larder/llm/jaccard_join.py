@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -290,7 +290,8 @@ COARSE = 44
 
 def prefixes(docs: DataFrame, common: np.ndarray, params: JoinParams) -> DataFrame:
     """(token, node, last): the first shingles of each set, rare ones first, then by name; ``last``
-    is the coarse place of the set's last one in that order.
+    is the coarse place of the set's last one in that order, with the shingle's own position among the
+    set's in its low bits.
 
     With inter >= 3/7 of the sizes' sum (for 75 %), a set must share one of its first
     n - ceil(p n) + 1 shingles with any linked set of at most its size, and that one is among the
@@ -317,7 +318,7 @@ def prefixes(docs: DataFrame, common: np.ndarray, params: JoinParams) -> DataFra
                 tokens.append(first)
                 nodes.append(flags)
                 place = (int(first[-1] >> U64(2)) | int(len(first) > int((~late).sum())) << 62) >> COARSE << COARSE
-                lasts.append(np.full(len(first), place, np.int64))
+                lasts.append(place + np.arange(len(first), dtype=np.int64))
             if tokens:
                 yield pa.RecordBatch.from_pydict({
                     "token": pa.array(C.signed(np.concatenate(tokens))), "node": pa.array(np.concatenate(nodes)), "last": pa.array(np.concatenate(lasts))})
@@ -326,8 +327,9 @@ def prefixes(docs: DataFrame, common: np.ndarray, params: JoinParams) -> DataFra
 
 
 def shared_only(rows: DataFrame) -> DataFrame:
-    """Rows (token, node, last) whose token belongs to two sets or more.  One shuffle; a task streams
-    over its sorted tokens and holds at most one set's rows of a token."""
+    """Rows (token, node, last) whose token belongs to two sets or more, each once, with the position
+    (``at``) told apart.  One shuffle; a task streams over its sorted tokens and holds at most one set's
+    rows of a token."""
     columns = ["token", "node", "last"]
 
     def run(batches):
@@ -344,6 +346,8 @@ def shared_only(rows: DataFrame) -> DataFrame:
                 known = 1 if many else 0
             else:
                 known, many = 0, False
+            once = np.r_[True, (t[1:] != t[:-1]) | (n[1:] != n[:-1])]  # several tasks may have met one set
+            t, n, last = t[once], n[once], last[once]
             heads = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
             tails = np.r_[heads[1:], len(t)] - 1
             multi = n[heads] >> 1 != n[tails] >> 1
@@ -359,7 +363,27 @@ def shared_only(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (t, n, last)], columns)
 
     found = rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(run, "token long, node long, last long")
-    return found.select("token", F.col("node").bitwiseAND(F.lit(~1)).alias("node"), (F.col("node").bitwiseAND(F.lit(1)) == 1).alias("index"), "last")
+    return found.select("token", F.col("node").bitwiseAND(F.lit(~1)).alias("node"), (F.col("node").bitwiseAND(F.lit(1)) == 1).alias("index"),
+                        F.col("last").bitwiseAND(F.lit(-1 << COARSE)).alias("last"), F.col("last").bitwiseAND(F.lit((1 << COARSE) - 1)).alias("at"))
+
+
+def needed_overlap(a: Column, b: Column, percent: int) -> Column:
+    """Least intersection of linked sets of these sizes."""
+    return F.ceil((a + b) * percent / (100 + percent))
+
+
+def may_be_first(params: JoinParams) -> Column:
+    """Whether a shingle can be the first one that a query (its position there: ``qat``) has in common with
+    a linked member of the group (first position in any member: ``at``).
+
+    What precedes the first common shingle on either side is missing from the other, so the overlap is at
+    most what follows on each side.  Every linked pair meets under its first common shingle; under others
+    it need not be paired again."""
+    p = params.percent
+    least = F.greatest(F.col("low"), F.ceil(F.col("qn") * p / 100))
+    most = F.least(F.col("high"), F.col("qn"))
+    return ((F.col("qn") - F.col("qat") >= needed_overlap(F.col("qn"), least, p))
+            & (most - F.col("at") >= needed_overlap(F.col("qn"), most, p)))
 
 
 def qualified(pairs: DataFrame, rows: DataFrame, params: JoinParams) -> DataFrame:
@@ -371,7 +395,7 @@ def qualified(pairs: DataFrame, rows: DataFrame, params: JoinParams) -> DataFram
     Either way what is missing bounds the overlap from above."""
     p = params.percent
     probe = lambda n: n + 1 - F.ceil(n * p / 100)
-    needed = lambda a, b: F.ceil((a + b) * p / (100 + p))
+    needed = lambda a, b: needed_overlap(a, b, p)
     union = rows.select("token", "grp").distinct()
     common = (pairs.join(rows.select(F.col("node").alias("q"), "token"), "q").join(union, ["token", "grp"])
               .groupBy("q", "grp").agg(F.count("*").alias("c")))
@@ -473,11 +497,11 @@ def cross_links(docs: DataFrame, table: DataFrame, roots: DataFrame, places: Dat
     # written once more: most rows belong to tokens of one component only and travel no further
     rows = scratch.keep(shared.join(crossing.select("token"), "token", "left_semi"), "rows")
     scratch.drop(f"shared{attempt}", f"crossing{attempt}")
-    matrix = (rows.where("index").groupBy("token", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("comp").alias("c0"), F.max("comp").alias("c1")))
-    asked = rows.select("token", F.col("node").alias("q"), F.col("n").alias("qn"), F.col("comp").alias("qc"), F.col("grp").alias("qg"))
+    matrix = (rows.where("index").groupBy("token", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("at").alias("at")))
+    asked = rows.select("token", F.col("node").alias("q"), F.col("n").alias("qn"), F.col("at").alias("qat"), F.col("comp").alias("qc"), F.col("grp").alias("qg"))
     pairs = (asked.join(matrix, "token")
              .where((F.col("low") <= F.col("qn")) & (100 * F.col("high") >= params.percent * F.col("qn")) & (F.col("grp") != F.col("qg"))
-                    & ((F.col("c0") != F.col("qc")) | (F.col("c1") != F.col("qc"))))
+                    & ((F.col("c0") != F.col("qc")) | (F.col("c1") != F.col("qc"))) & may_be_first(params))
              .select("q", "grp").distinct())
     pairs = scratch.keep(pairs, "pairs")
     pairs = scratch.keep(qualified(pairs, rows, params), "qualified")
