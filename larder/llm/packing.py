@@ -19,6 +19,7 @@ import os
 import zlib
 from collections import defaultdict
 from dataclasses import dataclass
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -52,13 +53,28 @@ class PackingParams:
 # ---------------------------------------------------------------------------------------
 
 
+def _table(*members: int) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(members)] = True
+    return out
+
+
+_LETTER = _table(*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+_ALNUM = _LETTER | _table(*b"0123456789")
+#: Signs that the tokenizer reads as a run of their own after a letter or digit; an apostrophe may begin a contraction.
+_SIGN = _table(*b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')
+#: Second bytes, after 0xC3, of the letters U+00C0 to U+00FF (two of that range are signs).
+_LATIN = _table(*(set(range(0x80, 0xC0)) - {0x97, 0xB7}))
+
+
 class Vocabulary:
     """Ids of words as little-endian unsigned 32-bit bytes.
 
     The tokenizer drops white space and never joins across it, so a text's ids are its words' ids
-    in a row.  It also never joins letters or digits with the signs after them and reads ASCII
-    letters in lower case, so words are looked up without a trailing comma or stop and in lower
-    case.  One per tokenizer file and Python worker, of bounded size."""
+    in a row.  It also never joins letters or digits with the signs after them and reads letters in
+    lower case, so words are looked up without trailing signs and in lower case.  Words of letters
+    only are encoded many at a time as one text: the last id of each, and no other, ends a word.
+    One per tokenizer file and Python worker, of bounded size."""
 
     known: dict[str, Vocabulary] = {}
 
@@ -68,6 +84,9 @@ class Vocabulary:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that end a word
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.remember = remember
         self.ids: dict[bytes, bytes] = {b"": b""}  # of what is looked up
         self.older: dict[bytes, bytes] = {}
@@ -80,36 +99,62 @@ class Vocabulary:
         return cls.known[path]
 
     @staticmethod
-    def parts(word: bytes) -> tuple[bytes, bytes]:
-        """(what is looked up, signs after it); a word that may hold a special token stays whole."""
-        if b"<|" in word:
-            return word, b""
-        core = word.rstrip(b".,")
-        if core == word or not core or not core[-1:].isalnum():
-            core, tail = word, b""
-        else:
-            tail = word[len(core):]
-        return (core.lower() if core.isascii() else core), tail
+    def parts(words: list[bytes]) -> tuple[list[bytes], list[bytes], np.ndarray]:
+        """(what is looked up, signs after it, whether it is letters only) of each word; a word that may
+        hold a special token stays whole, and one with other than ASCII and Latin-1 letters keeps its case."""
+        body = np.frombuffer(b"".join(words) + b" ", np.uint8)
+        stop = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        start = np.r_[0, stop[:-1]]
+        pair = (body[:-1] == 0xC3) & _LATIN[body[1:]]
+        latin = np.r_[pair, False] | np.r_[False, pair]
+        last = np.maximum.accumulate(np.where(_SIGN[body], -1, np.arange(len(body))))[stop - 1]
+        whole = np.zeros(len(words), bool)
+        whole[np.searchsorted(stop, np.flatnonzero((body[:-1] == ord("<")) & (body[1:] == ord("|"))), side="right")] = True
+        cut = np.where((last >= start) & (_ALNUM[body[last]] | latin[last]), last + 1, stop)
+        cut = np.where(whole, stop, cut)
+        count = lambda mask, a, b: (total := np.r_[0, np.cumsum(mask)])[b] - total[a]
+        lower = ~whole & (count((body >= 0x80) & ~latin, start, stop) == 0)
+        low = C.LOWER[body]
+        low[1:][pair & (body[1:] < 0x9F)] += 0x20
+        text = np.where(np.r_[np.repeat(lower, stop - start), False], low, body).tobytes()
+        plain = lower & (count(_LETTER[body] | latin, start, cut) == cut - start)
+        start, cut, stop = start.tolist(), cut.tolist(), stop.tolist()
+        return [text[a:b] for a, b in zip(start, cut)], [text[a:b] for a, b in zip(cut, stop)], plain
+
+    def learn(self, plain: list[bytes], others: list[bytes], at_once: int = 50) -> None:
+        """Ids of new words; ``plain`` are letters only."""
+        for start in range(0, len(plain), 10_000):
+            some = plain[start:start + 10_000]
+            texts = [b" ".join(some[i:i + at_once]).decode("utf-8") for i in range(0, len(some), at_once)]
+            found = [e.ids for e in self.encode(texts, add_special_tokens=False)]
+            ids = np.fromiter(chain.from_iterable(found), "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            due = np.minimum(np.arange(1, len(texts) + 1) * at_once, len(some))  # words up to the end of each text
+            if len(stops) != len(some) or (stops[due - 1] != np.cumsum([len(x) for x in found])).any():
+                others = others + some  # a tokenizer that does not mark the ends of words
+                continue
+            body, stops = ids.tobytes(), (4 * stops).tolist()
+            self.ids.update((w, body[a:b]) for w, a, b in zip(some, [0, *stops], stops))
+        for start in range(0, len(others), 10_000):
+            some = others[start:start + 10_000]
+            for word, found in zip(some, self.encode([w.decode("utf-8") for w in some], add_special_tokens=False)):
+                self.ids[word] = np.asarray(found.ids, "<u4").tobytes()
 
     def tokens(self, texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each text, given as words."""
         if len(self.words) > self.remember:
             self.words.clear()
-        words = set().union(*texts).difference(self.words)
-        split = {w: self.parts(w) for w in words}
-        asked = {p for pair in split.values() for p in pair}
+        words = list(set().union(*texts).difference(self.words))
+        cores, tails, plain = self.parts(words) if words else ([], [], np.zeros(0, bool))
+        letters = set(compress(cores, plain.tolist()))
+        others = {*compress(cores, (~plain).tolist()), *tails}
         if len(self.ids) > self.remember:  # what is asked for again outlives the change
             self.older, self.ids = self.ids, {b"": b""}
         ids = self.ids
-        for p in asked.difference(ids):
-            if p in self.older:
-                ids[p] = self.older[p]
-        new = list(asked.difference(ids))
-        for start in range(0, len(new), 10_000):
-            some = new[start:start + 10_000]
-            for word, found in zip(some, self.encode([w.decode("utf-8") for w in some], add_special_tokens=False)):
-                ids[word] = np.asarray(found.ids, "<u4").tobytes()
-        self.words.update((w, ids[core] + ids[tail] if tail else ids[core]) for w, (core, tail) in split.items())
+        for p in (letters | others).difference(ids).intersection(self.older):
+            ids[p] = self.older[p]
+        self.learn(list(letters.difference(ids)), list(others.difference(ids)))
+        self.words.update((w, ids[core] + ids[tail] if tail else ids[core]) for w, core, tail in zip(words, cores, tails))
         return [b"".join(map(self.words.__getitem__, words)) for words in texts]
 
 
