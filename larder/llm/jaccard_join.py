@@ -6,8 +6,9 @@ documents and leftovers form the groups of the matrix: for every token, the grou
 it lies.  A query document then meets only groups that share one of its rarest shingles (a prefix
 long enough that a linked document must share one), its overlap with the group's token union bounds
 its overlap with any member, and only groups whose bound qualifies are opened and compared member by
-member.  Documents that are already connected never open each other's groups, so a large group of
-near copies costs work in proportion to its size, and no pairs of a group are ever written out.
+member.  Documents that are already connected never open each other's groups, and under a shingle of
+many documents those not yet connected first meet one group of the largest component there, so a large
+group of near copies costs work in proportion to its size, and no pairs of a group are ever written out.
 
 Shingles are named by 64 bits, sets by 63; equal sets are one node.
 
@@ -53,6 +54,10 @@ class JoinParams:
     #: A shingle in the prefixes of more groups than this goes there too, and prefixes are redone.
     crowded_groups: int = 40
     redo: int = 1
+    #: Rows times further components of a shingle above which it is crowded, and turns in which components
+    #: under crowded shingles are joined before queries meet all groups.
+    crowded_pairs: int = 5_000
+    early: int = 3
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
@@ -466,6 +471,62 @@ def first_links(docs: DataFrame, described: DataFrame, scratch: C.Scratch, param
     return scratch.keep(found, "first-links"), places
 
 
+def opened(docs: DataFrame, grouped: DataFrame, pairs: DataFrame, name: str, scratch: C.Scratch, params: JoinParams) -> DataFrame:
+    """Links between the queries and the members of the groups of ``pairs`` (q, grp), at least one of a query
+    to each component that it has a link to."""
+    load = pairs.groupBy("grp").agg(F.ceil(F.count("*") / params.queries).alias("parts"))
+    members = scratch.keep(grouped.join(load, "grp").select("node", "comp", "grp", "parts"), f"{name}-members")
+    wanted = members.select("node").union(pairs.select(F.col("q").alias("node"))).distinct()
+    sets = scratch.keep(sets_of(docs, wanted, params), f"{name}-sets")
+    side = (sets.join(members, "node").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+            .select(F.col("grp").alias("member_grp"), F.col("part").alias("member_part"), F.col("node").alias("member"),
+                    F.col("comp").alias("member_comp"), F.col("tokens").alias("member_tokens")))
+    asking = (pairs.withColumnRenamed("q", "node").join(load, "grp").withColumn("part", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")))
+              .join(sets, "node").select("grp", "part", "node", "tokens"))
+    found = (side.groupBy("member_grp", "member_part").cogroup(asking.groupBy("grp", "part"))
+             .applyInArrow(_open_group(params.percent), "u long, v long"))
+    found = scratch.keep(found, name)
+    scratch.drop(f"{name}-members", f"{name}-sets")
+    return found
+
+
+def crowded_tops(rows: DataFrame, turn: int, params: JoinParams) -> DataFrame:
+    """(token, top, grp, pairs): for each crowded shingle the component with most rows under it, one of its
+    groups there (another one each turn), and rows times further components."""
+    own = rows.groupBy("token", "comp").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64("grp", F.lit(turn)).alias("order"), "grp")).alias("one"))
+    tops = own.groupBy("token").agg(F.max(F.struct("m", "comp", F.col("one.grp").alias("grp"))).alias("top"), F.sum("m").alias("m"), F.count("*").alias("comps"))
+    tops = tops.withColumn("pairs", F.col("m") * (F.col("comps") - 1)).where(F.col("pairs") > params.crowded_pairs)
+    return tops.select("token", F.col("top.comp").alias("top"), F.col("top.grp").alias("grp"), "pairs")
+
+
+def early_links(docs: DataFrame, rows: DataFrame, grouped: DataFrame, scratch: C.Scratch, params: JoinParams) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(``rows`` and ``grouped`` with larger components, links behind these).
+
+    Of many documents alike, most are one component by now, and all of them would ask every group that
+    fell out of it.  So where crowded shingles would pair more than there are rows, what is left under one
+    first asks one group of the component with most rows there: one pair a row at most.  Connected components do not ask each other any more; what
+    stays apart is compared in full later."""
+    links = []
+    for turn in range(params.early):
+        tops = scratch.keep(crowded_tops(rows, turn, params), f"tops{turn}")
+        if (tops.agg(F.sum("pairs")).first()[0] or 0) <= rows.count():  # no more than grows with the input
+            break
+        pairs = (rows.select("token", F.col("node").alias("q"), F.col("comp").alias("qc"), F.col("grp").alias("qg")).join(tops, "token")
+                 .where((F.col("qc") != F.col("top")) & (F.col("qg") != F.col("grp"))).select("q", "grp").distinct())
+        pairs = qualified(scratch.keep(pairs, f"early-asked{turn}"), rows, params)
+        found = opened(docs, grouped, scratch.keep(pairs, f"early-pairs{turn}"), f"early-links{turn}", scratch, params)
+        comp = lambda c: grouped.select(F.col("node").alias(c), F.col("comp").alias(f"{c}c"))
+        edges = found.join(comp("u"), "u").join(comp("v"), "v").select(F.col("uc").alias("u"), F.col("vc").alias("v"))
+        larger = components(edges, scratch, f"early{turn}").select(F.col("node").alias("comp"), "root")
+        if larger.isEmpty():
+            break
+        links.append(found)
+        renamed = lambda df: df.join(larger, "comp", "left").withColumn("comp", F.coalesce("root", "comp")).select(*df.columns)  # noqa: E731, B023
+        rows, grouped = scratch.keep(renamed(rows), f"rows{turn}"), scratch.keep(renamed(grouped), f"grouped{turn}")
+        scratch.drop("rows" if not turn else f"rows{turn - 1}")
+    return rows, grouped, links
+
+
 def cross_links(docs: DataFrame, table: DataFrame, roots: DataFrame, places: DataFrame, scratch: C.Scratch, params: JoinParams) -> DataFrame:
     """Links between documents of different components, through the token-group matrix."""
     sizes = roots.groupBy("root").agg(F.count("*").alias("members"))
@@ -497,6 +558,7 @@ def cross_links(docs: DataFrame, table: DataFrame, roots: DataFrame, places: Dat
     # written once more: most rows belong to tokens of one component only and travel no further
     rows = scratch.keep(shared.join(crossing.select("token"), "token", "left_semi"), "rows")
     scratch.drop(f"shared{attempt}", f"crossing{attempt}")
+    rows, grouped, links = early_links(docs, rows, grouped, scratch, params)
     matrix = (rows.where("index").groupBy("token", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("at").alias("at")))
     asked = rows.select("token", F.col("node").alias("q"), F.col("n").alias("qn"), F.col("at").alias("qat"), F.col("comp").alias("qc"), F.col("grp").alias("qg"))
     pairs = (asked.join(matrix, "token")
@@ -505,18 +567,10 @@ def cross_links(docs: DataFrame, table: DataFrame, roots: DataFrame, places: Dat
              .select("q", "grp").distinct())
     pairs = scratch.keep(pairs, "pairs")
     pairs = scratch.keep(qualified(pairs, rows, params), "qualified")
-    load = pairs.groupBy("grp").agg(F.ceil(F.count("*") / params.queries).alias("parts"))
-    members = scratch.keep(grouped.join(load, "grp").select("node", "comp", "grp", "parts"), "members")
-    wanted = members.select("node").union(pairs.select(F.col("q").alias("node"))).distinct()
-    sets = scratch.keep(sets_of(docs, wanted, params), "sets")
-    side = (sets.join(members, "node").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-            .select(F.col("grp").alias("member_grp"), F.col("part").alias("member_part"), F.col("node").alias("member"),
-                    F.col("comp").alias("member_comp"), F.col("tokens").alias("member_tokens")))
-    asking = (pairs.withColumnRenamed("q", "node").join(load, "grp").withColumn("part", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")))
-              .join(sets, "node").select("grp", "part", "node", "tokens"))
-    found = (side.groupBy("member_grp", "member_part").cogroup(asking.groupBy("grp", "part"))
-             .applyInArrow(_open_group(params.percent), "u long, v long"))
-    return scratch.keep(found, "cross-links")
+    found = opened(docs, grouped, pairs, "cross-links", scratch, params)
+    for one in links:
+        found = found.union(one)
+    return found
 
 
 def membership(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
