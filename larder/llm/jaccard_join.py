@@ -492,9 +492,11 @@ def opened(docs: DataFrame, grouped: DataFrame, pairs: DataFrame, name: str, scr
 
 def crowded_tops(rows: DataFrame, turn: int, params: JoinParams) -> DataFrame:
     """(token, top, grp, pairs): for each crowded shingle the component with most rows under it, one of its
-    groups there (another one each turn), and rows times further components."""
-    own = rows.groupBy("token", "comp").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64("grp", F.lit(turn)).alias("order"), "grp")).alias("one"))
-    tops = own.groupBy("token").agg(F.max(F.struct("m", "comp", F.col("one.grp").alias("grp"))).alias("top"), F.sum("m").alias("m"), F.count("*").alias("comps"))
+    groups there (another one each turn), and rows times further components that can be asked."""
+    place = F.struct((~F.col("index")).alias("late"), F.xxhash64("grp", F.lit(turn)).alias("order"), "grp")
+    own = rows.groupBy("token", "comp").agg(F.max("index").alias("index"), F.count("*").alias("m"), F.min(place).alias("one"))
+    tops = own.groupBy("token").agg(F.max(F.struct("index", "m", "comp", F.col("one.grp").alias("grp"))).alias("top"), F.sum("m").alias("m"),
+                                    F.sum(F.col("index").cast("long")).alias("comps"))
     tops = tops.withColumn("pairs", F.col("m") * (F.col("comps") - 1)).where(F.col("pairs") > params.crowded_pairs)
     return tops.select("token", F.col("top.comp").alias("top"), F.col("top.grp").alias("grp"), "pairs")
 
