@@ -19,7 +19,7 @@ import os
 import zlib
 from collections import defaultdict
 from dataclasses import dataclass
-from itertools import chain, compress
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,8 @@ from larder.llm import common as C
 CAPACITY = 2048
 #: Id that ends every document.
 END = 0
+#: Bytes of text whose words are told apart at once; a longer text is handled alone.
+CHUNK_BYTES = 1 << 22
 PIECES_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -67,6 +69,18 @@ _SIGN = _table(*b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')
 _LATIN = _table(*(set(range(0x80, 0xC0)) - {0x97, 0xB7}))
 
 
+def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The runs of ``data`` between neighbouring offsets."""
+    kind, width = (pa.binary(), np.int32) if len(data) < 2**31 else (pa.large_binary(), np.int64)
+    return pa.Array.from_buffers(kind, len(offsets) - 1, [None, pa.py_buffer(offsets.astype(width)), pa.py_buffer(data)])
+
+
+def _listed(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """The same as Python objects; much faster than asking Arrow for them one by one."""
+    body, at = bytes(data), offsets.tolist()
+    return [body[a:b] for a, b in zip(at[:-1], at[1:])]
+
+
 class Vocabulary:
     """Ids of words as little-endian unsigned 32-bit bytes.
 
@@ -74,11 +88,12 @@ class Vocabulary:
     in a row.  It also never joins letters or digits with the signs after them and reads letters in
     lower case, so words are looked up without trailing signs and in lower case.  Words of letters
     only are encoded many at a time as one text: the last id of each, and no other, ends a word.
+    Arrow tells the words of a chunk apart, so Python meets each of them once a chunk only.
     One per tokenizer file and Python worker, of bounded size."""
 
     known: dict[str, Vocabulary] = {}
 
-    def __init__(self, path: str, remember: int = 350_000):
+    def __init__(self, path: str, remember: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -90,7 +105,6 @@ class Vocabulary:
         self.remember = remember
         self.ids: dict[bytes, bytes] = {b"": b""}  # of what is looked up
         self.older: dict[bytes, bytes] = {}
-        self.words: dict[bytes, bytes] = {}  # of words as they stand
 
     @classmethod
     def of(cls, path: str) -> Vocabulary:
@@ -99,27 +113,33 @@ class Vocabulary:
         return cls.known[path]
 
     @staticmethod
-    def parts(words: list[bytes]) -> tuple[list[bytes], list[bytes], np.ndarray]:
-        """(what is looked up, signs after it, whether it is letters only) of each word; a word that may
-        hold a special token stays whole, and one with other than ASCII and Latin-1 letters keeps its case."""
-        body = np.frombuffer(b"".join(words) + b" ", np.uint8)
-        stop = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        start = np.r_[0, stop[:-1]]
+    def cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of words without white space between them: their bytes as they are looked up, where the signs after
+        each begin, and whether it is letters only up to there; a word that may hold a special token stays
+        whole, and one with other than ASCII and Latin-1 letters keeps its case."""
+        body = np.append(data, np.uint8(ord(" ")))
+        start, stop = offsets[:-1], offsets[1:]
         pair = (body[:-1] == 0xC3) & _LATIN[body[1:]]
         latin = np.r_[pair, False] | np.r_[False, pair]
-        last = np.maximum.accumulate(np.where(_SIGN[body], -1, np.arange(len(body))))[stop - 1]
-        whole = np.zeros(len(words), bool)
+        kind = np.int32 if len(body) < 2**31 else np.int64
+        last = np.maximum.accumulate(np.where(_SIGN[body], kind(-1), np.arange(len(body), dtype=kind)))[stop - 1]
+        whole = np.zeros(len(stop), bool)
         whole[np.searchsorted(stop, np.flatnonzero((body[:-1] == ord("<")) & (body[1:] == ord("|"))), side="right")] = True
-        cut = np.where((last >= start) & (_ALNUM[body[last]] | latin[last]), last + 1, stop)
-        cut = np.where(whole, stop, cut)
-        count = lambda mask, a, b: (total := np.r_[0, np.cumsum(mask)])[b] - total[a]
+        cut = np.where(~whole & (last >= start) & (_ALNUM[body[last]] | latin[last]), last + 1, stop)
+        count = lambda mask, a, b: (total := np.r_[kind(0), np.cumsum(mask, dtype=kind)])[b] - total[a]
         lower = ~whole & (count((body >= 0x80) & ~latin, start, stop) == 0)
         low = C.LOWER[body]
         low[1:][pair & (body[1:] < 0x9F)] += 0x20
-        text = np.where(np.r_[np.repeat(lower, stop - start), False], low, body).tobytes()
         plain = lower & (count(_LETTER[body] | latin, start, cut) == cut - start)
-        start, cut, stop = start.tolist(), cut.tolist(), stop.tolist()
-        return [text[a:b] for a, b in zip(start, cut)], [text[a:b] for a, b in zip(cut, stop)], plain
+        return np.where(np.repeat(lower, stop - start), low[:-1], data), cut, plain
+
+    @classmethod
+    def parts(cls, words: list[bytes]) -> tuple[list[bytes], list[bytes], np.ndarray]:
+        """(what is looked up, signs after it, whether it is letters only) of each word."""
+        data, offsets = C.raw(pa.array(words, pa.binary()))
+        data, cut, plain = cls.cuts(data, offsets)
+        both = _listed(data, np.r_[np.c_[offsets[:-1], cut].ravel(), offsets[-1:]])
+        return both[::2], both[1::2], plain
 
     def learn(self, plain: list[bytes], others: list[bytes], at_once: int = 50) -> None:
         """Ids of new words; ``plain`` are letters only."""
@@ -140,22 +160,47 @@ class Vocabulary:
             for word, found in zip(some, self.encode([w.decode("utf-8") for w in some], add_special_tokens=False)):
                 self.ids[word] = np.asarray(found.ids, "<u4").tobytes()
 
-    def tokens(self, texts: list[list[bytes]]) -> list[bytes]:
-        """The ids of each text, given as words."""
-        if len(self.words) > self.remember:
-            self.words.clear()
-        words = list(set().union(*texts).difference(self.words))
-        cores, tails, plain = self.parts(words) if words else ([], [], np.zeros(0, bool))
-        letters = set(compress(cores, plain.tolist()))
-        others = {*compress(cores, (~plain).tolist()), *tails}
+    def look_up(self, parts: list[bytes], plain: list[bool]) -> list[bytes]:
+        """The ids of each part of a word; ``plain`` are letters only.  Each is named once."""
         if len(self.ids) > self.remember:  # what is asked for again outlives the change
             self.older, self.ids = self.ids, {b"": b""}
         ids = self.ids
-        for p in (letters | others).difference(ids).intersection(self.older):
-            ids[p] = self.older[p]
-        self.learn(list(letters.difference(ids)), list(others.difference(ids)))
-        self.words.update((w, ids[core] + ids[tail] if tail else ids[core]) for w, core, tail in zip(words, cores, tails))
-        return [b"".join(map(self.words.__getitem__, words)) for words in texts]
+        found = list(map(ids.get, parts))
+        missing = [i for i, known in enumerate(found) if known is None]
+        letters, others = [], []
+        for i in missing:
+            part = parts[i]
+            if part in self.older:
+                ids[part] = self.older[part]
+            else:
+                (letters if plain[i] else others).append(part)
+        self.learn(letters, others)
+        for i in missing:
+            found[i] = ids[parts[i]]
+        return found
+
+    def encoded(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, n + 1 offsets of the texts there in bytes)."""
+        start, stop, first = C.words(data, offsets)
+        if not len(start):
+            return np.zeros(0, np.uint8), np.zeros(len(offsets), np.int64)
+        words = _binary(data[~C._SPACE[data]], np.r_[0, np.cumsum(stop - start)]).dictionary_encode()
+        # a word is its letters or digits and the signs after them
+        data, offsets = C.raw(words.dictionary)
+        data, cut, plain = self.cuts(data, offsets)
+        parts = _binary(data, np.r_[np.c_[offsets[:-1], cut].ravel(), offsets[-1:]]).dictionary_encode()
+        letters = np.zeros(len(parts.dictionary), bool)
+        letters[parts.indices.to_numpy()[::2]] = plain
+        ids = pa.array(self.look_up(_listed(*C.raw(parts.dictionary)), letters.tolist()), pa.large_binary())
+        body, at = C.raw(ids.take(parts.indices))
+        ids = pa.Array.from_buffers(pa.large_binary(), len(plain), [None, pa.py_buffer(at[::2].copy()), pa.py_buffer(body)])
+        body, at = C.raw(ids.take(words.indices))
+        return body, at[first]
+
+    def tokens(self, texts: list[list[bytes]]) -> list[bytes]:
+        """The ids of each text, given as words."""
+        body, at = self.encoded(*C.raw(pa.array([b" ".join(words) for words in texts], pa.binary())))
+        return _listed(body, at)
 
 
 C.HELD.append(Vocabulary.known.clear)
@@ -168,11 +213,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
     def run(batches):
         vocabulary = Vocabulary.of(tokenizer_path)
         end = np.asarray([END], "<u4").tobytes()
-        for part, data, offsets in C.chunks(batches, "text"):
-            body, rows = data.tobytes(), []
-            ids = part.column(part.schema.get_field_index("doc_id")).to_pylist()
-            texts = [body[a:b].split() for a, b in zip(offsets[:-1], offsets[1:])]
-            for doc_id, own_tokens in zip(ids, vocabulary.tokens(texts)):
+        for part, data, offsets in C.chunks(batches, "text", CHUNK_BYTES):
+            rows, ids = [], part.column(part.schema.get_field_index("doc_id")).to_pylist()
+            for doc_id, own_tokens in zip(ids, _listed(*vocabulary.encoded(data, offsets))):
                 tokens = own_tokens + end
                 for piece, start in enumerate(range(0, len(tokens) // 4, capacity)):
                     own = tokens[4 * start:4 * (start + capacity)]
