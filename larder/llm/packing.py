@@ -93,7 +93,7 @@ class Vocabulary:
 
     known: dict[str, Vocabulary] = {}
 
-    def __init__(self, path: str, remember: int = 500_000):
+    def __init__(self, path: str, remember: int = 350_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -203,7 +203,14 @@ class Vocabulary:
         return _listed(body, at)
 
 
-C.HELD.append(Vocabulary.known.clear)
+def forget() -> None:
+    """Give back what this worker learnt, and what Arrow keeps of freed chunks."""
+    if Vocabulary.known:
+        Vocabulary.known.clear()
+        pa.default_memory_pool().release_unused()
+
+
+C.HELD.append(forget)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
